@@ -9,18 +9,22 @@ A *result* is one entry of ``completeTrackResults``. Every result is reduced, wh
 it is read, to a *digest*: a struct of plain strings and numbers that holds all later
 steps need. The top-level fields of a body get a digest of their own, and a whole
 body's digest is put together from those two kinds.
+
+The functions compose Spark SQL text. Nested array work reads well in SQL, and one
+``F.expr`` per column keeps plan building fast where thousands of Column calls would not.
+Names of lambda variables differ between functions so that texts can be nested.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwatch.functions.text import strip
-from parcelwatch.functions.times import epoch_micros, iso_utc
-from parcelwatch.schema import STATUS_FIELDS
+from parcelwatch.functions.text import strip_sql
+from parcelwatch.functions.times import epoch_micros_sql
+from parcelwatch.schema import STATUS_FIELDS, col
+
+Sql = str
 
 _LEAVES = "code:variant,derivedCode:variant,statusByLocale:variant,description:variant"
 _EVENT = (
@@ -49,308 +53,299 @@ DIGEST_SHAPE = (
 # ---- small helpers -----------------------------------------------------------
 
 
-def variant_at(v: Column, path: str, kind: str) -> Column:
-    return F.try_variant_get(v, path, kind)
+def variant_at(v: Sql, path: str, kind: str = "variant") -> Sql:
+    return f"try_variant_get({v}, '{path}', '{kind}')"
 
 
-def is_object(v: Column) -> Column:
+def is_object(v: Sql) -> Sql:
     """True for a JSON object. Casting to an empty struct reads no field."""
-    return variant_at(v, "$", "struct<>").isNotNull()
-
-
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return f"({variant_at(v, '$', 'struct<>')} IS NOT NULL)"
 
 
-def head(array: Column) -> Column:
-    return F.get(array, F.lit(0))
+def bind(name: str, value: Sql, use: Sql) -> Sql:
+    """``use`` with the variable ``name`` standing for ``value``, evaluated once."""
+    return f"transform(array({value}), {name} -> {use})[0]"
 
 
-def flat(arrays: Column) -> Column:
-    """Concatenate an array of arrays; NULL members count as empty."""
-    return F.flatten(F.filter(arrays, lambda a: a.isNotNull()))
+def none(kind: str) -> Sql:
+    return f"cast(array() AS array<{kind}>)"
 
 
-def present(array: Column) -> Column:
-    return F.filter(array, lambda x: x.isNotNull())
+def present(array: Sql) -> Sql:
+    return f"filter({array}, it -> it IS NOT NULL)"
 
 
-def or_empty(array: Column, kind: str) -> Column:
-    return F.coalesce(array, F.array().cast(f"array<{kind}>"))
+def flat(arrays: Sql) -> Sql:
+    """Concatenate an array of arrays; NULL members count as empty."""
+    return f"flatten({present(arrays)})"
 
 
-def text_or_null(c: Column) -> Column:
-    return F.when(c != "", c)
+def or_empty(array: Sql, kind: str) -> Sql:
+    return f"coalesce({array}, {none(kind)})"
 
 
-def truthy_text(leaf: Column) -> Column:
+def truthy_text(leaf: Sql) -> Sql:
     """Text of a VARIANT leaf; NULL when the JSON value is empty, zero or false."""
     # Texts of the non-string JSON values that count as blank.
-    falsy = ("false", "0", "0.0", "-0.0", "[]", "{}")
+    falsy = "('false', '0', '0.0', '-0.0', '[]', '{}')"
     return bind(
+        "txt",
         variant_at(leaf, "$", "string"),
-        lambda t: F.when(
-            (t != "") & ~(t.isin(*falsy) & (F.schema_of_variant(leaf) != "STRING")), t
-        ),
+        f"CASE WHEN txt <> '' AND NOT (txt IN {falsy} AND schema_of_variant({leaf}) <> 'STRING') "
+        "THEN txt END",
     )
 
 
-def _status(code: Column, derived: Column, status: Column, description: Column) -> Column:
+def _status(code: Sql, derived: Sql, status: Sql, description: Sql) -> Sql:
     return bind(
-        F.coalesce(code, F.lit("")),
-        lambda c: F.struct(
-            c.alias("code"),
-            F.coalesce(derived, c).alias("derivedCode"),
-            F.coalesce(status, F.lit("")).alias("statusByLocale"),
-            F.coalesce(description, F.lit("")).alias("description"),
-        ),
+        "cod",
+        f"coalesce({code}, '')",
+        f"named_struct('code', cod, 'derivedCode', coalesce({derived}, cod), "
+        f"'statusByLocale', coalesce({status}, ''), 'description', coalesce({description}, ''))",
     )
 
 
-def blank_status() -> Column:
-    nothing = F.lit(None).cast("string")
-    return _status(nothing, nothing, nothing, nothing)
+BLANK_STATUS = (
+    "named_struct('code', '', 'derivedCode', '', 'statusByLocale', '', 'description', '')"
+)
 
 
 # ---- typed view ----------------------------------------------------------------
 
 
-def typed_body(v: Column) -> Column:
+def typed_body(v: Sql) -> Sql:
     return variant_at(v, "$", BODY_SHAPE)
 
 
-def has_wrapper(v: Column) -> Column:
+def has_wrapper(v: Sql) -> Sql:
     """True when the body has an ``output`` key, whatever its value."""
-    return variant_at(v, "$.output", "variant").isNotNull()
+    return f"({variant_at(v, '$.output')} IS NOT NULL)"
 
 
-def results_of(doc: Column, wrapped: Column) -> Column:
+def results_of(doc: Sql, wrapped: Sql) -> Sql:
     """Results of a typed body; an ``output`` key hides a top-level list."""
-    return F.when(wrapped, doc["output"]["completeTrackResults"]).otherwise(
-        doc["completeTrackResults"]
+    return (
+        f"CASE WHEN {wrapped} THEN {doc}.output.completeTrackResults "
+        f"ELSE {doc}.completeTrackResults END"
     )
 
 
 # ---- tracking numbers -------------------------------------------------------------
 
 
-def result_keys(result: Column) -> Column:
+def result_keys(result: Sql) -> Sql:
     """Numbers one result is matched by: its own, then its nested ones, as written."""
-    own = F.array(result["trackingNumber"])
-    nested = F.transform(
-        present(result["trackResults"]), lambda t: t["trackingNumberInfo"]["trackingNumber"]
+    nested = (
+        f"transform({present(f'{result}.trackResults')}, trk -> trk.trackingNumberInfo.trackingNumber)"
     )
-    return F.array_distinct(present(flat(F.array(own, nested))))
+    return f"array_distinct({present(flat(f'array(array({result}.trackingNumber), {nested})'))})"
 
 
-def _index_keys(result: Column) -> Column:
-    own = F.array(result["trackingNumber"])
-    nested = F.transform(
-        present(result["trackResults"]),
-        lambda t: F.coalesce(
-            text_or_null(t["trackingNumberInfo"]["trackingNumber"]), t["trackingNumber"]
-        ),
+def _index_keys(result: Sql) -> Sql:
+    nested = (
+        f"transform({present(f'{result}.trackResults')}, trk -> "
+        "coalesce(nullif(trk.trackingNumberInfo.trackingNumber, ''), trk.trackingNumber))"
     )
-    return F.filter(flat(F.array(own, nested)), lambda k: k != "")
+    keys = flat(f"array(array({result}.trackingNumber), {nested})")
+    return f"filter({keys}, key -> key <> '')"
 
 
-def _keys_anywhere(v: Column) -> Column:
+def _keys_anywhere(v: Sql) -> Sql:
     """String values of number keys at any depth, found in the canonical JSON text."""
-    found = F.regexp_extract_all(
-        F.to_json(v),
-        F.lit(r'(?<!\\)"(?:trackingNumber|tracking_number)":"((?:[^"\\]|\\.)*)"'),
-        F.lit(1),
-    )
-    plain = F.transform(
-        found,
-        lambda m: F.when(
-            F.contains(m, F.lit("\\")),
-            variant_at(F.try_parse_json(F.concat(F.lit('"'), m, F.lit('"'))), "$", "string"),
-        ).otherwise(m),
+    pattern = r"""(?<!\\)"(?:trackingNumber|tracking_number)":"((?:[^"\\]|\\.)*)\""""
+    unescaped = variant_at("""try_parse_json('"' || raw || '"')""", "$", "string")
+    found = (
+        f"transform(regexp_extract_all(to_json({v}), r'{pattern}', 1), raw -> "
+        f"CASE WHEN contains(raw, r'\\') THEN {unescaped} ELSE raw END)"
     )
-    return F.filter(plain, lambda k: strip(k) != "")
+    return f"filter({found}, key -> {strip_sql('key')} <> '')"
 
 
-def tracking_numbers(v: Column, doc: Column) -> Column:
+def tracking_numbers(v: Sql, doc: Sql) -> Sql:
     """Distinct numbers a body answers for: the wrapped results', else any in the document."""
-    wrapped = flat(F.transform(present(doc["output"]["completeTrackResults"]), _index_keys))
-    return bind(
+    results = present(f"{doc}.output.completeTrackResults")
+    wrapped = flat(f"transform({results}, res -> {_index_keys('res')})")
+    return "array_distinct(" + bind(
+        "num",
         or_empty(wrapped, "string"),
-        lambda w: F.array_distinct(
-            F.when(F.size(w) > 0, w).otherwise(or_empty(_keys_anywhere(v), "string"))
-        ),
-    )
+        f"CASE WHEN size(num) > 0 THEN num ELSE {or_empty(_keys_anywhere(v), 'string')} END",
+    ) + ")"
 
 
 # ---- status of one place -----------------------------------------------------------
 
 
-def detail_of(result: Column) -> Column:
+def detail_of(result: Sql) -> Sql:
     """``latestStatusDetail`` of the first track result, as VARIANT."""
-    return head(result["trackResults"])["latestStatusDetail"]
+    return f"get({result}.trackResults, 0).latestStatusDetail"
 
 
-def status_from_detail(detail: Column) -> Column:
-    return _status(*(truthy_text(variant_at(detail, f"$.{n}", "variant")) for n in STATUS_FIELDS))
+def status_from_detail(detail: Sql) -> Sql:
+    return _status(*(truthy_text(variant_at(detail, f"$.{n}")) for n in STATUS_FIELDS))
 
 
-def status_from_event(event_lists: Column) -> Column:
+def status_from_event(event_lists: Sql) -> Sql:
     """Status of the first event of the first non-empty list headed by an object; else NULL."""
-
-    def read(e: Column) -> Column:
-        description = truthy_text(e["eventDescription"])
-        return _status(
-            F.coalesce(truthy_text(e["derivedStatusCode"]), truthy_text(e["eventType"])),
-            truthy_text(e["derivedStatusCode"]),
-            F.coalesce(truthy_text(e["derivedStatus"]), description),
-            description,
-        )
-
-    heads = present(F.transform(F.filter(event_lists, lambda x: F.size(x) > 0), head))
-    return head(F.transform(F.slice(heads, 1, 1), read))
+    description = truthy_text("evt.eventDescription")
+    read = _status(
+        f"coalesce({truthy_text('evt.derivedStatusCode')}, {truthy_text('evt.eventType')})",
+        truthy_text("evt.derivedStatusCode"),
+        f"coalesce({truthy_text('evt.derivedStatus')}, {description})",
+        description,
+    )
+    heads = present(f"transform(filter({event_lists}, lst -> size(lst) > 0), lst -> lst[0])")
+    return f"get(transform(slice({heads}, 1, 1), evt -> {read}), 0)"
 
 
-def status_from_flat(doc: Column) -> Column:
-    return _status(*(truthy_text(doc[n]) for n in STATUS_FIELDS))
+def status_from_flat(doc: Sql) -> Sql:
+    return _status(*(truthy_text(f"{doc}.{n}") for n in STATUS_FIELDS))
 
 
-def first_status(*candidates: Column) -> Column:
+def first_status(*candidates: Sql) -> Sql:
     """First candidate with a code or a status text; the last one is the fallback.
 
     A description alone does not make a candidate count.
     """
-    *early, out = candidates
-    for c in reversed(early):
-        out = F.when((c["code"] != "") | (c["statusByLocale"] != ""), c).otherwise(out)
-    return out
+    *early, last = candidates
+    whens = " ".join(
+        f"WHEN ({c}).code <> '' OR ({c}).statusByLocale <> '' THEN {c}" for c in early
+    )
+    return f"CASE {whens} ELSE {last} END"
 
 
-def ancillary_text(detail: Column) -> Column:
+def ancillary_text(detail: Sql) -> Sql:
     """Reason and action texts of every ancillary entry, blank-separated."""
-    entries = variant_at(detail, "$.ancillaryDetails", "array<variant>")
     # Fields read, in this order.
     fields = ("reasonDescription", "actionDescription", "reason", "action")
-    texts = flat(
-        F.transform(
-            entries,
-            lambda d: F.array(*(truthy_text(variant_at(d, f"$.{f}", "variant")) for f in fields)),
-        )
-    )
-    return F.coalesce(F.array_join(present(texts), " "), F.lit(""))
+    entry = ", ".join(truthy_text(variant_at("anc", f"$.{f}")) for f in fields)
+    entries = variant_at(detail, "$.ancillaryDetails", "array<variant>")
+    texts = present(flat(f"transform({entries}, anc -> array({entry}))"))
+    return f"coalesce(array_join({texts}, ' '), '')"
 
 
 # ---- digests -------------------------------------------------------------------------
 
 
-def _history(event_lists: Column, time_lists: Column) -> list[Column]:
-    """Digest fields about scans; lists hold one array per place events are kept in."""
+def _history(event_lists: Sql, time_lists: Sql, needed: Sql = "true") -> Sql:
+    """Digest fields about scans; lists hold one array per place events are kept in.
+
+    The scan status is left NULL where it is not ``needed``.
+    """
     events = or_empty(flat(event_lists), _EVENT)
     seen = present(events)
-    announced = or_empty(F.transform(present(flat(time_lists)), lambda d: d["dateTime"]), "string")
-    written = flat(F.transform(seen, lambda e: F.array(e["date"], e["dateTime"], e["eventDate"])))
-    return [
-        status_from_event(event_lists).alias("scan_status"),
-        F.size(events).cast("bigint").alias("scan_count"),
-        F.filter(written, lambda x: F.contains(x, F.lit("T"))).alias("scan_times"),
-        F.array_distinct(present(F.concat(F.transform(seen, lambda e: e["date"]), announced))).alias(
-            "dates"
-        ),
-    ]
+    times = flat(f"transform({seen}, evt -> array(evt.date, evt.dateTime, evt.eventDate))")
+    announced = f"transform({present(flat(time_lists))}, ann -> ann.dateTime)"
+    dates = f"concat(transform({seen}, evt -> evt.date), {or_empty(announced, 'string')})"
+    return (
+        f"'scan_status', CASE WHEN {needed} THEN {status_from_event(event_lists)} END, "
+        f"'scan_count', cast(size({events}) AS bigint), "
+        f"'scan_times', filter({times}, tim -> contains(tim, 'T')), "
+        f"'dates', array_distinct({present(dates)})"
+    )
+
+
+def is_blank_status(status: Sql) -> Sql:
+    return f"({status}.code = '' AND {status}.statusByLocale = '')"
 
 
-def result_digest(result: Column) -> Column:
-    """Digest of one result; NULL when the result is not an object."""
-    tracks = present(result["trackResults"])
+def result_digest(result: Sql, need_scans: Sql = "true") -> Sql:
+    """Digest of one result; NULL when the result is not an object.
+
+    The scan status is read when the detail has no status, or ``need_scans`` says so.
+    """
+    tracks = present(f"{result}.trackResults")
     detail = detail_of(result)
     # The status is read from the first track result, which must then be an object.
-    broken = (F.size(result["trackResults"]) > 0) & head(result["trackResults"]).isNull()
-    return F.when(
-        result.isNotNull(),
-        F.struct(
-            result_keys(result).alias("keys"),
-            (~F.coalesce(broken, F.lit(False))).alias("readable"),
-            status_from_detail(detail).alias("detail_status"),
-            F.when(is_object(detail), F.to_json(detail)).otherwise(F.lit("{}")).alias("detail"),
-            ancillary_text(detail).alias("ancillary"),
-            *_history(
-                or_empty(F.transform(tracks, lambda t: t["scanEvents"]), f"array<{_EVENT}>"),
-                or_empty(F.transform(tracks, lambda t: t["dateAndTimes"]), f"array<{_ANNOUNCED}>"),
-            ),
-        ),
+    broken = f"size({result}.trackResults) > 0 AND {result}.trackResults[0] IS NULL"
+    history = _history(
+        or_empty(f"transform({tracks}, trk -> trk.scanEvents)", f"array<{_EVENT}>"),
+        or_empty(f"transform({tracks}, trk -> trk.dateAndTimes)", f"array<{_ANNOUNCED}>"),
+        f"{need_scans} OR {is_blank_status('own')}",
+    )
+    digest = bind(
+        "own",
+        status_from_detail(detail),
+        f"named_struct('keys', {result_keys(result)}, "
+        f"'readable', NOT coalesce({broken}, false), "
+        "'detail_status', own, "
+        f"'detail', CASE WHEN {is_object(detail)} THEN to_json({detail}) ELSE '{{}}' END, "
+        f"'ancillary', {ancillary_text(detail)}, {history})",
     )
+    return f"CASE WHEN {result} IS NOT NULL THEN {digest} END"
 
 
-def top_digest(doc: Column) -> Column:
+def top_digest(doc: Sql) -> Sql:
     """Digest of the top-level fields of a body."""
-    return F.struct(
-        status_from_flat(doc).alias("flat_status"),
-        *_history(F.array(doc["scanEvents"]), F.array(doc["dateAndTimes"])),
-    )
+    history = _history(f"array({doc}.scanEvents)", f"array({doc}.dateAndTimes)")
+    return f"named_struct('flat_status', {status_from_flat(doc)}, {history})"
 
 
-def with_digests(bodies: DataFrame) -> DataFrame:
+def with_digests(bodies: DataFrame, *, all_scans: bool = False) -> DataFrame:
     """Replace ``body`` by ``top``, ``digests``, ``wrapped``, ``numbers`` and ``is_object``.
 
-    One parse and one typed cast per body; the output holds no VARIANT.
+    One parse and one typed cast per body; the output holds no VARIANT. A scan status is
+    read only where a status could come from it: in results without a status of their
+    own, and everywhere when the first result has none, unless ``all_scans`` asks for all.
     """
-    doc, wrapped = F.col("_doc"), F.col("wrapped")
-    typed = bodies.withColumns(
-        {
-            "_doc": typed_body(F.col("body")),
-            "wrapped": F.coalesce(has_wrapper(F.col("body")), F.lit(False)),
-            "is_object": F.coalesce(is_object(F.col("body")), F.lit(False)),
-        }
+    found = results_of("doc", "doc_wrapped")
+    first = status_from_detail(detail_of(f"get({found}, 0)"))
+    results = bind(
+        "headless",
+        "true" if all_scans else is_blank_status(first),
+        f"transform({found}, res -> {result_digest('res', 'headless')})",
+    )
+    # The typed body lives only inside this one expression: written to a row, each of its
+    # VARIANT leaves would carry a copy of the document's key dictionary.
+    reduced = bind(
+        "doc",
+        typed_body("body"),
+        bind(
+            "doc_wrapped",
+            f"coalesce({has_wrapper('body')}, false)",
+            f"named_struct('top', {top_digest('doc')}, "
+            f"'digests', {or_empty(results, DIGEST_SHAPE)}, "
+            f"'numbers', {tracking_numbers('body', 'doc')}, 'wrapped', doc_wrapped)",
+        ),
     )
-    return typed.withColumns(
-        {
-            "top": top_digest(doc),
-            "digests": or_empty(F.transform(results_of(doc, wrapped), result_digest), DIGEST_SHAPE),
-            "numbers": tracking_numbers(F.col("body"), doc),
-        }
-    ).drop("body", "_doc")
+    kept = [c for c in bodies.columns if c != "body"]
+    return bodies.select(
+        *(col(c) for c in kept),
+        F.expr(reduced).alias("_doc"),
+        F.expr(f"coalesce({is_object('body')}, false)").alias("is_object"),
+    ).select(*(col(c) for c in kept), "is_object", "_doc.*")
 
 
-def whole_digest(top: Column, digests: Column) -> Column:
+def whole_digest(top: Sql = "top", digests: Sql = "digests") -> Sql:
     """Digest of a body that is not narrowed: top-level fields first, then every result."""
     seen = present(digests)
-    first = head(digests)
-    return F.struct(
-        F.array().cast("array<string>").alias("keys"),
-        # An empty list is fine; a first entry that is not an object is not.
-        F.when(F.size(digests) > 0, F.coalesce(first["readable"], F.lit(False)))
-        .otherwise(F.lit(True))
-        .alias("readable"),
-        F.coalesce(first["detail_status"], blank_status()).alias("detail_status"),
-        F.coalesce(first["detail"], F.lit("{}")).alias("detail"),
-        F.coalesce(first["ancillary"], F.lit("")).alias("ancillary"),
-        F.coalesce(
-            top["scan_status"], head(present(F.transform(seen, lambda d: d["scan_status"])))
-        ).alias("scan_status"),
-        F.aggregate(seen, top["scan_count"], lambda n, d: n + d["scan_count"]).alias("scan_count"),
-        F.concat(top["scan_times"], F.flatten(F.transform(seen, lambda d: d["scan_times"]))).alias(
-            "scan_times"
-        ),
-        F.concat(top["dates"], F.flatten(F.transform(seen, lambda d: d["dates"]))).alias("dates"),
+    first = f"get({digests}, 0)"
+
+    def gathered(name: str) -> Sql:
+        return f"concat({top}.{name}, flatten(transform({seen}, dig -> dig.{name})))"
+
+    # An empty list of results is fine; a first entry that is not an object is not.
+    return (
+        f"named_struct('keys', {none('string')}, "
+        f"'readable', CASE WHEN size({digests}) > 0 THEN coalesce({first}.readable, false) ELSE true END, "
+        f"'detail_status', coalesce({first}.detail_status, {BLANK_STATUS}), "
+        f"'detail', coalesce({first}.detail, '{{}}'), "
+        f"'ancillary', coalesce({first}.ancillary, ''), "
+        f"'scan_status', coalesce({top}.scan_status, "
+        f"get({present(f'transform({seen}, dig -> dig.scan_status)')}, 0)), "
+        f"'scan_count', aggregate({seen}, {top}.scan_count, (sum, dig) -> sum + dig.scan_count), "
+        f"'scan_times', {gathered('scan_times')}, 'dates', {gathered('dates')})"
     )
 
 
-def scope_position(digests: Column, number: Column, *, stripped: bool) -> Column:
+def scope_position(digests: Sql, number: Sql, *, stripped: bool) -> Sql:
     """Zero-based position of the first result that carries ``number``; NULL if none does."""
-    hits = F.transform(
-        digests,
-        lambda d: F.coalesce(
-            F.exists(d["keys"], lambda k: (strip(k) if stripped else k) == number), F.lit(False)
-        ),
+    key = strip_sql("key") if stripped else "key"
+    hits = (
+        f"transform({digests}, dig -> coalesce(exists(dig.keys, key -> {key} = {number}), false))"
     )
-    at = F.array_position(hits, F.lit(True))
-    return F.when(at > 0, (at - 1).cast("int"))
-
-
-def latest_micros(dates: Column) -> Column:
-    """Latest of the dates that parse; NULL when none does."""
-    return F.array_max(F.transform(dates, epoch_micros))
+    return f"cast(nullif(array_position({hits}, true), 0) - 1 AS int)"
 
 
-def latest_event(micros: Column) -> Column:
-    return F.coalesce(iso_utc(micros), F.lit(""))
+def latest_micros(dates: Sql) -> Sql:
+    """Latest of the dates that parse, in microseconds; NULL when none does."""
+    return f"array_max(transform({dates}, dat -> {epoch_micros_sql('dat')}))"

@@ -23,6 +23,11 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def strip_sql(text: str) -> str:
+    """``strip`` as SQL text."""
+    return f"btrim({text}, '{WHITESPACE}')"
+
+
 def is_blank(c: Column) -> Column:
     """NULL, empty, ``nan`` or ``none`` once stripped, in any case."""
     return F.coalesce(F.lower(strip(c.cast("string"))).isin(*BLANK_TEXTS), F.lit(True))

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwatch.functions.text import strip
+from parcelwatch.functions.text import strip, strip_sql
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -21,26 +21,24 @@ _ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
 DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy/M/d", "MMM d, yyyy")
 
 
-def epoch_micros(c: Column, kind: T.DataType | None = None) -> Column:
-    """Microseconds since the epoch of an ISO text; NULL when it does not parse.
+def epoch_micros_sql(text: str, kind: T.DataType | None = None) -> str:
+    """SQL text: microseconds since the epoch of an ISO text; NULL when it does not parse.
 
     A text without an offset is UTC. The offset is always made explicit before
     the cast, so the session time zone plays no part. Pass the column's type
     to read timestamp and date columns as they are.
     """
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
-        c = c.cast("string")
-    s = strip(c.cast("string"))
+        return f"unix_micros({text})"
+    s = strip_sql(f"cast({text} AS string)")
     # The year guard keeps out texts the cast would read as today, such as '12:30' or 'now'.
     zoned = (
-        F.when(F.substring(s, 5, 1) != "-", F.lit(None))
-        .when(~F.contains(s, F.lit(":")), F.concat(s, F.lit("T00:00:00Z")))
-        .when(s.rlike(f"{_ZONE}$"), F.replace(s, F.lit(" +"), F.lit("+")))
-        .otherwise(F.concat(s, F.lit("Z")))
+        f"CASE WHEN substring({s}, 5, 1) <> '-' THEN NULL "
+        f"WHEN NOT contains({s}, ':') THEN {s} || 'T00:00:00Z' "
+        f"WHEN {s} RLIKE r'{_ZONE}$' THEN replace({s}, ' +', '+') "
+        f"ELSE {s} || 'Z' END"
     )
-    return F.unix_micros(zoned.try_cast("timestamp"))
+    return f"unix_micros(try_cast({zoned} AS timestamp))"
 
 
 def iso_utc(micros: Column) -> Column:

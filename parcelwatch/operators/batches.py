@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelwatch.functions import payload as P
-from parcelwatch.functions.text import key_text, strip
+from parcelwatch.functions.text import key_text, strip_sql
 from parcelwatch.operators.lookup import carrier_map, replay_lookup
 from parcelwatch.schema import TRACKING_NUMBER, col
 
@@ -96,43 +96,38 @@ def request_batches(rows: DataFrame, order: str, size: int = BATCH_SIZE) -> Data
 # ---- responses -----------------------------------------------------------------
 
 
-def _inside(v: Column, key: str) -> Column:
-    return P.variant_at(v, f"$.{key}", "variant")
+_RESULTS = "$.completeTrackResults"
 
 
-def _result_list(v: Column) -> Column:
-    return P.variant_at(v, "$.completeTrackResults", "array<variant>")
-
-
-def response_results(body: Column) -> Column:
-    """Results of a response: its own list, else the list inside all nested envelopes."""
+def response_results(body: str = "body") -> str:
+    """SQL text: results of a response, its own list or the list inside all nested envelopes."""
     inner = body
-    for key in ENVELOPES:
-        step = _inside(inner, key)
-        inner = F.when(P.is_object(step), step).otherwise(inner)
-    return F.coalesce(_result_list(body), _result_list(inner))
-
-
-def unwrap_envelope(body: Column) -> Column:
-    """Content of the first envelope key that holds an object, else the body."""
-    return F.coalesce(
-        *(F.when(P.is_object(_inside(body, k)), _inside(body, k)) for k in ENVELOPES), body
-    )
+    for i, key in enumerate(ENVELOPES):
+        step = P.variant_at(f"env{i}", f"$.{key}")
+        inner = P.bind(f"env{i}", inner, f"CASE WHEN {P.is_object(step)} THEN {step} ELSE env{i} END")
+    own = P.variant_at(body, _RESULTS, "array<variant>")
+    return f"coalesce({own}, {P.variant_at(inner, _RESULTS, 'array<variant>')})"
 
 
-def _nonblank(text: Column) -> Column:
-    return P.text_or_null(strip(text))
+def unwrap_envelope(body: str = "body") -> str:
+    """SQL text: content of the first envelope key that holds an object, else the body."""
+    steps = [P.variant_at(body, f"$.{k}") for k in ENVELOPES]
+    whens = " ".join(f"WHEN {P.is_object(s)} THEN {s}" for s in steps)
+    return f"CASE {whens} ELSE {body} END"
 
 
-def _response_numbers(result: Column) -> Column:
-    """A result's own number, else all its nested numbers, stripped."""
-    typed = P.variant_at(result, "$", P.RESULT_SHAPE)
-    own = _nonblank(typed["trackingNumber"])
-    nested = F.transform(
-        P.present(typed["trackResults"]),
-        lambda t: _nonblank(t["trackingNumberInfo"]["trackingNumber"]),
+def _response_numbers(result: str = "result") -> str:
+    """SQL text: a result's own number, else all its nested numbers, stripped."""
+    own = f"nullif({strip_sql('typ.trackingNumber')}, '')"
+    nested = (
+        f"transform({P.present('typ.trackResults')}, "
+        f"trk -> nullif({strip_sql('trk.trackingNumberInfo.trackingNumber')}, ''))"
+    )
+    return P.bind(
+        "typ",
+        P.variant_at(result, "$", P.RESULT_SHAPE),
+        f"CASE WHEN {own} IS NOT NULL THEN array({own}) ELSE array_distinct({P.present(nested)}) END",
     )
-    return F.when(own.isNotNull(), F.array(own)).otherwise(F.array_distinct(P.present(nested)))
 
 
 def split_batch_response(responses: DataFrame) -> DataFrame:
@@ -142,13 +137,13 @@ def split_batch_response(responses: DataFrame) -> DataFrame:
     the requested numbers join it on the same two keys.
     """
     results = responses.select(
-        "batch", F.posexplode_outer(response_results(F.col("body"))).alias("at", "result")
+        "batch", F.posexplode_outer(F.expr(response_results())).alias("at", "result")
     )
     numbered = results.select(
         "batch",
         "at",
         "result",
-        F.explode_outer(_response_numbers(F.col("result"))).alias("tracking_number"),
+        F.explode_outer(F.expr(_response_numbers())).alias("tracking_number"),
     )
     return (
         numbered.filter(F.col("tracking_number").isNotNull())
@@ -179,7 +174,7 @@ def batch_result_or_body(requested: DataFrame, responses: DataFrame) -> DataFram
         .select(
             "batch",
             "tracking_number",
-            F.coalesce("payload", F.when(P.is_object(F.col("body")), F.col("body")), empty).alias("payload"),
+            F.coalesce("payload", F.expr(f"CASE WHEN {P.is_object('body')} THEN body END"), empty).alias("payload"),
         )
     )
 
@@ -219,15 +214,12 @@ def map_number_to_body(bodies: DataFrame, order: list[str]) -> DataFrame:
 
     Like the replay index this moves numbers only; the bodies are fetched at the end.
     """
-    unwrapped = bodies.withColumn("body", unwrap_envelope(F.col("body")))
-    own = F.filter(
-        F.transform(
-            _result_list(F.col("body")), lambda r: strip(P.variant_at(r, "$.trackingNumber", "string"))
-        ),
-        lambda k: k != "",
-    )
+    unwrapped = bodies.withColumn("body", F.expr(unwrap_envelope()))
+    results = P.variant_at("body", _RESULTS, "array<variant>")
+    number = strip_sql(P.variant_at("res", "$.trackingNumber", "string"))
+    own = F.expr(f"array_distinct(filter(transform({results}, res -> {number}), key -> key <> ''))")
     last = (
-        unwrapped.select(*order, F.explode_outer(F.array_distinct(own)).alias("tracking_number"))
+        unwrapped.select(*order, F.explode_outer(own).alias("tracking_number"))
         .filter(F.col("tracking_number").isNotNull())
         .groupBy("tracking_number")
         .agg(F.max(F.struct(*order)).alias("last"))

@@ -14,9 +14,7 @@ from parcelwatch.functions.payload import (
     ancillary_text,
     detail_of,
     has_wrapper,
-    head,
     results_of,
-    text_or_null,
     typed_body,
 )
 from parcelwatch.functions.text import as_int, latest_code, lower_trim_text, upper_text
@@ -80,14 +78,11 @@ def exception_gate(df: DataFrame) -> Column:
     return F.contains(lower_trim_text(df, "statusByLocale"), F.lit("exception"))
 
 
-def _as_variant(df: DataFrame, name: str) -> Column:
-    c = col(name)
+def _as_variant(df: DataFrame, name: str) -> str:
     kind = df.schema[name].dataType
     if isinstance(kind, T.VariantType):
-        return c
-    if isinstance(kind, T.StringType):
-        return F.try_parse_json(c)
-    return F.try_parse_json(F.to_json(c))
+        return name
+    return f"try_parse_json({name})" if isinstance(kind, T.StringType) else f"try_parse_json(to_json({name}))"
 
 
 def ancillary_series(df: DataFrame) -> Column:
@@ -102,8 +97,10 @@ def ancillary_series(df: DataFrame) -> Column:
         sources.append(ancillary_text(_as_variant(df, LATEST_DETAIL)))
     if has(df, "raw"):
         raw = _as_variant(df, "raw")
-        sources.append(ancillary_text(detail_of(head(results_of(typed_body(raw), has_wrapper(raw))))))
-    return F.lower(F.coalesce(*(text_or_null(s) for s in sources), F.lit("")))
+        first = f"get({results_of(typed_body(raw), has_wrapper(raw))}, 0)"
+        sources.append(ancillary_text(detail_of(first)))
+    texts = [F.nullif(F.expr(s), F.lit("")) for s in sources]
+    return F.lower(F.coalesce(*texts, F.lit("")))
 
 
 def unable_to_deliver(df: DataFrame) -> Column:

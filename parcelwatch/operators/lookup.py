@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwatch.functions import payload as P
-from parcelwatch.functions.text import key_text, strip
+from parcelwatch.functions.text import key_text, strip, strip_sql
+from parcelwatch.functions.times import iso_utc
 from parcelwatch.schema import CARRIER_CODE, STATUS_FIELDS, TRACKING_NUMBER, col
 
 EMPTY_BODY = "{}"
@@ -40,9 +41,9 @@ def _recency(order: Sequence[str]) -> Column:
 def body_numbers(bodies: DataFrame, order: Sequence[str]) -> DataFrame:
     """One row per body and tracking number in it."""
     docs = bodies.select(
-        *(col(c) for c in order), "body", P.typed_body(F.col("body")).alias("_doc")
+        *(col(c) for c in order), "body", F.expr(P.typed_body("body")).alias("_doc")
     )
-    numbers = P.tracking_numbers(F.col("body"), F.col("_doc"))
+    numbers = F.expr(P.tracking_numbers("body", "_doc"))
     return docs.select(
         *(col(c) for c in order), F.explode_outer(numbers).alias("tracking_number")
     ).filter(F.col("tracking_number").isNotNull())
@@ -130,10 +131,37 @@ def carrier_map(rows: DataFrame, order: str) -> DataFrame:
 # ---- facts -----------------------------------------------------------------------
 
 
-def _with_latest(df: DataFrame, dates: Column) -> DataFrame:
-    return df.withColumn("_micros", P.latest_micros(dates)).withColumn(
-        "latest_ts", P.latest_event(F.col("_micros"))
-    )
+def _with_latest(df: DataFrame, dates: str) -> DataFrame:
+    latest = F.coalesce(iso_utc(F.col("_micros")), F.lit(""))
+    return df.withColumn("_micros", F.expr(P.latest_micros(dates))).withColumn("latest_ts", latest)
+
+
+# The numbers of one result as (tn, exact): as written when unpadded; a padded number
+# counts for its stripped form, provided the body answers for that.
+_EXACT = f"filter(dig.keys, key -> key <> '' AND {strip_sql('key')} = key)"
+_PADDED = (
+    f"filter(dig.keys, key -> CASE WHEN {strip_sql('key')} <> key "
+    f"THEN array_contains(numbers, {strip_sql('key')}) ELSE false END)"
+)
+_KEYS = (
+    f"concat(transform({_EXACT}, key -> named_struct('tn', key, 'exact', true)), "
+    f"transform({_PADDED}, key -> named_struct('tn', {strip_sql('key')}, 'exact', false)))"
+)
+_MATCHED = (
+    "transform(digests, (dig, pos) -> CASE WHEN dig IS NOT NULL "
+    f"THEN named_struct('keys', {_KEYS}, 'at', pos, 'd', dig) END)"
+)
+# Numbers no result is matched by are read from the body as a whole, ranked last.
+_UNMATCHED = (
+    f"array_except(numbers, flatten(transform({P.present('digests')}, dig -> dig.keys)))"
+)
+_REST = P.bind(
+    "num",
+    _UNMATCHED,
+    "CASE WHEN size(num) > 0 THEN named_struct("
+    "'keys', transform(num, key -> named_struct('tn', key, 'exact', true)), "
+    f"'at', {_LAST}, 'd', {P.whole_digest()}) END",
+)
 
 
 def replay_facts(
@@ -150,85 +178,49 @@ def replay_facts(
     matched number at zero; the default counts all.
     """
     docs = P.with_digests(bodies.select(*(col(c) for c in order), "body"))
-    numbers, digests, top = F.col("numbers"), F.col("digests"), F.col("top")
-
-    def keys_of(raw: Column) -> Column:
-        """Numbers as (tn, exact). A padded number matches its stripped form, if that is indexed."""
-        exact = F.filter(raw, lambda k: (k != "") & (strip(k) == k))
-        padded = F.filter(
-            raw, lambda k: F.when(strip(k) != k, F.array_contains(numbers, strip(k))).otherwise(False)
-        )
-        return F.concat(
-            F.transform(exact, lambda k: F.struct(k.alias("tn"), F.lit(True).alias("exact"))),
-            F.transform(padded, lambda k: F.struct(strip(k).alias("tn"), F.lit(False).alias("exact"))),
-        )
-
-    matched = F.transform(
-        digests,
-        lambda d, i: F.when(
-            d.isNotNull(), F.struct(keys_of(d["keys"]).alias("keys"), i.alias("at"), d.alias("d"))
-        ),
-    )
-    unmatched = F.array_except(
-        numbers, F.flatten(F.transform(P.present(digests), lambda d: d["keys"]))
-    )
-    rest = F.when(
-        F.size(unmatched) > 0,
-        F.struct(
-            F.transform(
-                unmatched, lambda k: F.struct(k.alias("tn"), F.lit(True).alias("exact"))
-            ).alias("keys"),
-            F.lit(_LAST).alias("at"),
-            P.whole_digest(top, digests).alias("d"),
-        ),
-    )
-    items = P.present(F.concat(matched, F.array(rest)))
     # A body with one result is read whole for the status: its top-level scan events
     # come before, its flat fields after what the result says.
-    alone = F.when(F.size(digests) <= 1, F.struct(top["scan_status"].alias("scan"), top["flat_status"].alias("flat")))
-    per_item = docs.withColumn("_items", items).select(
+    per_item = docs.withColumn(
+        "_items", F.expr(P.present(f"concat({_MATCHED}, array({_REST}))"))
+    ).select(
         F.struct(*(col(c) for c in order)).alias("seq"),
-        alone.alias("alone"),
-        top["flat_status"].alias("flat"),
-        top["scan_count"].alias("top_count"),
-        top["scan_times"].alias("top_times"),
-        (~F.col("wrapped")).alias("bare"),
+        (F.size("digests") <= 1).alias("alone"),
+        "wrapped",
         "is_object",
+        F.col("top.scan_status").alias("top_scan"),
+        F.col("top.flat_status").alias("flat"),
+        F.col("top.scan_count").alias("top_count"),
+        F.col("top.scan_times").alias("top_times"),
         F.inline_outer("_items"),
     )
-    d = F.col("d")
-    whole = F.col("at") == _LAST
-    status = P.first_status(
-        d["detail_status"],
-        F.coalesce(F.col("alone")["scan"], d["scan_status"], P.blank_status()),
-        F.when(whole, F.col("flat")).otherwise(
-            F.coalesce(F.col("alone")["flat"], P.blank_status())
-        ),
-    )
-    count, times = d["scan_count"], d["scan_times"]
+    whole = f"(at = {_LAST})"
+    count, times = "d.scan_count", "d.scan_times"
     if reference_scan_count:
-        none = F.array().cast("array<string>")
-        shown = F.when(F.col("bare"), d["scan_count"]).otherwise(F.col("top_count"))
-        count = F.when(whole, shown).otherwise(F.lit(0).cast("bigint"))
-        times = F.when(
-            whole, F.when(F.col("bare"), d["scan_times"]).otherwise(F.col("top_times"))
-        ).otherwise(none)
-    facts = _with_latest(per_item, d["dates"]).select(
-        F.struct("seq", (-F.col("at")).alias("at")).alias("rank"),
-        F.struct(
-            *(status[f].alias(f) for f in STATUS_FIELDS),
-            (d["readable"] & (F.col("is_object") | ~whole)).alias("readable"),
+        count = f"CASE WHEN NOT {whole} THEN 0L WHEN wrapped THEN top_count ELSE {count} END"
+        times = (
+            f"CASE WHEN NOT {whole} THEN {P.none('string')} WHEN wrapped THEN top_times "
+            f"ELSE {times} END"
+        )
+    placed = _with_latest(per_item, "d.dates").withColumns(
+        {
+            "scan": F.expr(f"coalesce(CASE WHEN alone THEN top_scan END, d.scan_status, {P.BLANK_STATUS})"),
+            "last": F.expr(f"CASE WHEN alone OR {whole} THEN flat ELSE {P.BLANK_STATUS} END"),
+        }
+    )
+    status = P.first_status("d.detail_status", "scan", "last")
+    facts = placed.select(
+        F.expr("struct(seq, -at AS at)").alias("rank"),
+        F.expr(
+            "named_struct("
+            + "".join(f"'{f}', ({status}).{f}, " for f in STATUS_FIELDS)
+            + f"'readable', d.readable AND (is_object OR NOT {whole}))"
         ).alias("status"),
-        F.struct(
-            "latest_ts",
-            count.alias("scan_count"),
-            times.alias("scan_times"),
-            d["detail"].alias("detail"),
-            d["ancillary"].alias("ancillary"),
+        F.expr(
+            f"named_struct('latest_ts', latest_ts, 'scan_count', {count}, 'scan_times', {times}, "
+            "'detail', d.detail, 'ancillary', d.ancillary)"
         ).alias("scoped"),
-        "keys",
-    )
-    facts = facts.select("rank", "status", "scoped", F.inline("keys"))
+        F.inline_outer("keys"),
+    ).filter(F.col("tn").isNotNull())
     best = facts.groupBy("tn").agg(
         F.max_by("status", F.when(F.col("exact"), F.col("rank"))).alias("status"),
         F.max_by("scoped", "rank").alias("scoped"),
@@ -239,7 +231,7 @@ def replay_facts(
 # ---- facts from explicit (number, body) pairs -----------------------------------------
 
 
-def scope_to_number(pairs: DataFrame) -> DataFrame:
+def scope_to_number(pairs: DataFrame, *, all_scans: bool = False) -> DataFrame:
     """Narrow each (``tracking_number``, ``body``) pair to what is read for its number.
 
     ``scope_at`` is the first result matched by the stripped number, ``status_at`` the
@@ -247,36 +239,32 @@ def scope_to_number(pairs: DataFrame) -> DataFrame:
     when there is more than one result; NULL stands for the whole body. ``scoped`` and
     ``focus`` are the two digests.
     """
-    docs = P.with_digests(pairs.withColumn("raw", F.col("body")))
-    digests, tn = F.col("digests"), F.col("tracking_number")
+    docs = P.with_digests(pairs.withColumn("raw", F.col("body")), all_scans=all_scans)
+    anywhere = P.scope_position("digests", "tracking_number", stripped=True)
+    as_written = P.scope_position("digests", "tracking_number", stripped=False)
     placed = docs.withColumns(
         {
-            "scope_at": P.scope_position(digests, tn, stripped=True),
-            "status_at": F.when(
-                F.size(digests) > 1, P.scope_position(digests, tn, stripped=False)
-            ),
+            "scope_at": F.expr(anywhere),
+            "status_at": F.expr(f"CASE WHEN size(digests) > 1 THEN {as_written} END"),
         }
     )
-    whole = P.whole_digest(F.col("top"), digests)
+    whole = P.whole_digest()
     return placed.withColumns(
         {
-            "scoped": F.when(F.col("scope_at").isNull(), whole).otherwise(
-                F.get(digests, F.col("scope_at"))
-            ),
-            "focus": F.when(F.col("status_at").isNull(), whole).otherwise(
-                F.get(digests, F.col("status_at"))
-            ),
+            n: F.expr(f"CASE WHEN {at} IS NULL THEN {whole} ELSE get(digests, {at}) END")
+            for n, at in (("scoped", "scope_at"), ("focus", "status_at"))
         }
     )
 
 
-def normalize_status(scoped: DataFrame) -> Column:
+def normalize_status() -> Column:
     """Status struct of a scoped pair: detail, then first scan event, then flat fields."""
-    focus = F.col("focus")
-    return P.first_status(
-        focus["detail_status"],
-        F.coalesce(focus["scan_status"], P.blank_status()),
-        F.when(F.col("status_at").isNull(), F.col("top")["flat_status"]).otherwise(P.blank_status()),
+    return F.expr(
+        P.first_status(
+            "focus.detail_status",
+            f"coalesce(focus.scan_status, {P.BLANK_STATUS})",
+            f"CASE WHEN status_at IS NULL THEN top.flat_status ELSE {P.BLANK_STATUS} END",
+        )
     )
 
 
@@ -294,30 +282,30 @@ def payload_facts(
     ``normalizer`` replaces the built-in status reading: it gets the scoped pairs
     (``raw`` is the body) and returns columns by name, which enrichment then writes.
     """
-    pairs_scoped = scope_to_number(pairs)
-    scoped, focus = F.col("scoped"), F.col("focus")
+    placed = scope_to_number(pairs)
     if normalizer is None:
-        status = normalize_status(pairs_scoped)
-        fields = {f: status[f] for f in STATUS_FIELDS}
-        readable = F.col("is_object") & focus["readable"]
+        placed = placed.withColumn("_status", normalize_status())
+        fields = {f: F.col(f"_status.{f}") for f in STATUS_FIELDS}
+        readable = F.col("is_object") & F.col("focus.readable")
     else:
-        fields, readable = normalizer(pairs_scoped), F.lit(True)
-    counted = {"scan_count": scoped["scan_count"], "scan_times": scoped["scan_times"]}
+        fields, readable = normalizer(placed), F.lit(True)
+    count, times = "scoped.scan_count", "scoped.scan_times"
     if reference_scan_count:
-        hit, top = F.col("scope_at").isNotNull(), F.col("top")
-        nothing = {"scan_count": F.lit(0).cast("bigint"), "scan_times": F.array().cast("array<string>")}
-        counted = {
-            n: F.when(hit, nothing[n]).when(F.col("wrapped"), top[n]).otherwise(scoped[n])
-            for n in counted
-        }
-    return _with_latest(pairs_scoped, scoped["dates"]).select(
+        hit = "scope_at IS NOT NULL"
+        count = f"CASE WHEN {hit} THEN 0L WHEN wrapped THEN top.scan_count ELSE {count} END"
+        times = (
+            f"CASE WHEN {hit} THEN {P.none('string')} WHEN wrapped THEN top.scan_times "
+            f"ELSE {times} END"
+        )
+    return _with_latest(placed, "scoped.dates").select(
         "tracking_number",
         *(c.alias(n) for n, c in fields.items()),
         readable.alias("readable"),
         "latest_ts",
-        *(c.alias(n) for n, c in counted.items()),
-        scoped["detail"].alias("detail"),
-        scoped["ancillary"].alias("ancillary"),
+        F.expr(count).alias("scan_count"),
+        F.expr(times).alias("scan_times"),
+        F.col("scoped.detail").alias("detail"),
+        F.col("scoped.ancillary").alias("ancillary"),
     )
 
 

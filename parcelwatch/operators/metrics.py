@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwatch.functions.times import aware_now, epoch_micros, whole_days_before
-from parcelwatch.schema import IDLE_DAYS, LATEST_TS, col, has
+from parcelwatch.functions.times import aware_now, epoch_micros_sql, whole_days_before
+from parcelwatch.schema import IDLE_DAYS, LATEST_TS, has
 
 
 def days_since_latest_event(df: DataFrame, now: dt.datetime | None = None) -> Column:
@@ -16,7 +16,7 @@ def days_since_latest_event(df: DataFrame, now: dt.datetime | None = None) -> Co
     zero = F.lit(0).cast("bigint")
     if not has(df, LATEST_TS):
         return zero
-    micros = epoch_micros(col(LATEST_TS), df.schema[LATEST_TS].dataType)
+    micros = F.expr(epoch_micros_sql(LATEST_TS, df.schema[LATEST_TS].dataType))
     return F.coalesce(whole_days_before(aware_now(now), micros), zero)
 
 

@@ -10,7 +10,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwatch.functions.payload import variant_at
 from parcelwatch.functions.text import strip
 
 BODY_ORDER = ["file", "block", "line", "pos"]
@@ -51,10 +50,10 @@ def src_bodies(
     ).filter(strip(F.col("value")) != "")
     parse = F.parse_json if on_corrupt == "fail" else F.try_parse_json
     if layout == "indented":
-        members = variant_at(parse(_as_array(F.col("value"))), "$", "array<variant>")
+        members = F.try_variant_get(parse(_as_array(F.col("value"))), "$", "array<variant>")
     else:
         doc = parse(F.col("value"))
-        members = F.coalesce(variant_at(doc, "$", "array<variant>"), F.array(doc))
+        members = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc))
     if layout == "lines":
         # A line is one body, also when that body is an array.
         members = F.array(parse(F.col("value")))
