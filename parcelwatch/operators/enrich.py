@@ -80,7 +80,7 @@ def detail_text(rows: DataFrame) -> Column:
 def normalized_record(scoped: DataFrame, status: Column, carrier_code: Column) -> Column:
     """Full audit record of one number: identity, status, neutral defaults, raw body.
 
-    ``scoped`` comes from ``scope_to_number``. Fields the carrier data is not read
+    ``scoped`` comes from ``scope_to_number``, which keeps the body as ``raw``. Fields the carrier data is not read
     for are always blank.
     """
     code = F.coalesce(carrier_code.cast("string"), F.lit(""))
@@ -102,7 +102,7 @@ def normalized_record(scoped: DataFrame, status: Column, carrier_code: Column) -
         F.lit("").alias("actual_delivery_dt"),
         F.lit(False).alias("possession_status"),
         *(F.lit("").alias(b) for b in blanks),
-        F.col("body").alias("raw"),
+        F.col("raw"),
         F.lit(None).cast("string").alias("source"),
         F.lit(None).cast("timestamp").alias("captured_at"),
     )

@@ -25,7 +25,7 @@ from parcelwatch.functions.times import iso_utc
 from parcelwatch.schema import CARRIER_CODE, STATUS_FIELDS, TRACKING_NUMBER, col
 
 EMPTY_BODY = "{}"
-_LAST = 2_147_483_647
+WHOLE = 2_147_483_647
 
 # A blank key matches nothing; spreading such rows keeps them off a single reducer.
 _BLANK_SPREAD = 4096
@@ -70,7 +70,8 @@ def replay_lookup(
 ) -> DataFrame:
     """Attach to each row the last body of its tracking number, ``{}`` when there is none.
 
-    ``order`` must identify a body. Rows with a blank number get NULL.
+    Adds ``body`` and the flag ``found``; both are NULL for a blank number. ``order`` must
+    identify a body. Rows grow by whole documents here; enrichment uses facts instead.
     """
     probe = key_text(col(TRACKING_NUMBER) if key is None else key)
     index = replay_index(bodies, order).withColumnRenamed("tracking_number", "_tn")
@@ -81,9 +82,13 @@ def replay_lookup(
     keyed = rows.withColumn("_key", probe)
     return (
         _left_by_key(keyed, resolved)
-        .withColumn(
-            "body",
-            F.when(F.col("_key").isNotNull(), F.coalesce("body", F.parse_json(F.lit(EMPTY_BODY)))),
+        .withColumns(
+            {
+                "found": F.when(F.col("_key").isNotNull(), F.col("body").isNotNull()),
+                "body": F.when(
+                    F.col("_key").isNotNull(), F.coalesce("body", F.parse_json(F.lit(EMPTY_BODY)))
+                ),
+            }
         )
         .drop("_key", "_tn")
     )
@@ -160,26 +165,23 @@ _REST = P.bind(
     _UNMATCHED,
     "CASE WHEN size(num) > 0 THEN named_struct("
     "'keys', transform(num, key -> named_struct('tn', key, 'exact', true)), "
-    f"'at', {_LAST}, 'd', {P.whole_digest()}) END",
+    f"'at', {WHOLE}, 'd', {P.whole_digest()}) END",
 )
 
 
-def replay_facts(
-    bodies: DataFrame, order: Sequence[str], *, reference_scan_count: bool = False
+def number_views(
+    bodies: DataFrame, order: Sequence[str], *, all_scans: bool = False
 ) -> DataFrame:
-    """Facts of the last body of every tracking number.
-
-    Each result of a body gives one item for the numbers it is matched by, and the
-    body as a whole gives one for the numbers no result is matched by; both are linear
-    in the document. One aggregation, combined before the shuffle, then keeps per
-    number the last body and in it the first matching result.
-
-    ``reference_scan_count`` counts only scans outside ``output``, which leaves every
-    matched number at zero; the default counts all.
+    """What every body shows each of its numbers: one row per body, number and matching result.
+
+    Each result of a body gives a row for the numbers it is matched by; the body as a
+    whole gives one for the numbers no result is matched by. The work is linear in the
+    document. Columns: the order columns as struct ``seq``, ``tracking_number``, ``exact``
+    (matched as written, not only stripped), ``at`` (position of the result; ``WHOLE``
+    for the body), ``d`` (its digest), ``top`` (that of the top-level fields), ``alone``
+    (the body has at most one result), ``wrapped`` and ``is_object``.
     """
-    docs = P.with_digests(bodies.select(*(col(c) for c in order), "body"))
-    # A body with one result is read whole for the status: its top-level scan events
-    # come before, its flat fields after what the result says.
+    docs = P.with_digests(bodies.select(*(col(c) for c in order), "body"), all_scans=all_scans)
     per_item = docs.withColumn(
         "_items", F.expr(P.present(f"concat({_MATCHED}, array({_REST}))"))
     ).select(
@@ -187,45 +189,68 @@ def replay_facts(
         (F.size("digests") <= 1).alias("alone"),
         "wrapped",
         "is_object",
-        F.col("top.scan_status").alias("top_scan"),
-        F.col("top.flat_status").alias("flat"),
-        F.col("top.scan_count").alias("top_count"),
-        F.col("top.scan_times").alias("top_times"),
+        "top",
         F.inline_outer("_items"),
     )
-    whole = f"(at = {_LAST})"
+    return (
+        per_item.select("seq", "alone", "wrapped", "is_object", "top", "at", "d", F.inline_outer("keys"))
+        .filter(F.col("tn").isNotNull())
+        .withColumnRenamed("tn", "tracking_number")
+    )
+
+
+def view_status() -> Column:
+    """Status struct of a number view: detail, then first scan event, then flat fields.
+
+    A body with one result is read whole: its top-level scan events come before, its
+    flat fields after what the result says. A result of many stands by itself.
+    """
+    scan = f"coalesce(CASE WHEN alone THEN top.scan_status END, d.scan_status, {P.BLANK_STATUS})"
+    flat = f"CASE WHEN alone OR at = {WHOLE} THEN top.flat_status ELSE {P.BLANK_STATUS} END"
+    return F.expr(P.bind("scn", scan, P.first_status("d.detail_status", "scn", flat)))
+
+
+def replay_facts(
+    bodies: DataFrame, order: Sequence[str], *, reference_scan_count: bool = False
+) -> DataFrame:
+    """Facts of the last body of every tracking number.
+
+    One aggregation over ``number_views``, combined before the shuffle, keeps per number
+    the last body and in it the first matching result.
+
+    ``reference_scan_count`` counts only scans outside ``output``, which leaves every
+    matched number at zero; the default counts all.
+    """
+    whole = f"(at = {WHOLE})"
     count, times = "d.scan_count", "d.scan_times"
     if reference_scan_count:
-        count = f"CASE WHEN NOT {whole} THEN 0L WHEN wrapped THEN top_count ELSE {count} END"
+        count = f"CASE WHEN NOT {whole} THEN 0L WHEN wrapped THEN top.scan_count ELSE {count} END"
         times = (
-            f"CASE WHEN NOT {whole} THEN {P.none('string')} WHEN wrapped THEN top_times "
+            f"CASE WHEN NOT {whole} THEN {P.none('string')} WHEN wrapped THEN top.scan_times "
             f"ELSE {times} END"
         )
-    placed = _with_latest(per_item, "d.dates").withColumns(
-        {
-            "scan": F.expr(f"coalesce(CASE WHEN alone THEN top_scan END, d.scan_status, {P.BLANK_STATUS})"),
-            "last": F.expr(f"CASE WHEN alone OR {whole} THEN flat ELSE {P.BLANK_STATUS} END"),
-        }
-    )
-    status = P.first_status("d.detail_status", "scan", "last")
-    facts = placed.select(
+    views = _with_latest(number_views(bodies, order), "d.dates").withColumn("s", view_status())
+    facts = views.select(
+        "tracking_number",
+        "exact",
         F.expr("struct(seq, -at AS at)").alias("rank"),
-        F.expr(
-            "named_struct("
-            + "".join(f"'{f}', ({status}).{f}, " for f in STATUS_FIELDS)
-            + f"'readable', d.readable AND (is_object OR NOT {whole}))"
+        F.struct(
+            *(F.col(f"s.{f}").alias(f) for f in STATUS_FIELDS),
+            F.expr(f"d.readable AND (is_object OR NOT {whole})").alias("readable"),
         ).alias("status"),
-        F.expr(
-            f"named_struct('latest_ts', latest_ts, 'scan_count', {count}, 'scan_times', {times}, "
-            "'detail', d.detail, 'ancillary', d.ancillary)"
+        F.struct(
+            "latest_ts",
+            F.expr(count).alias("scan_count"),
+            F.expr(times).alias("scan_times"),
+            F.col("d.detail").alias("detail"),
+            F.col("d.ancillary").alias("ancillary"),
         ).alias("scoped"),
-        F.inline_outer("keys"),
-    ).filter(F.col("tn").isNotNull())
-    best = facts.groupBy("tn").agg(
+    )
+    best = facts.groupBy("tracking_number").agg(
         F.max_by("status", F.when(F.col("exact"), F.col("rank"))).alias("status"),
         F.max_by("scoped", "rank").alias("scoped"),
     )
-    return best.select(F.col("tn").alias("tracking_number"), "status.*", "scoped.*")
+    return best.select("tracking_number", "status.*", "scoped.*")
 
 
 # ---- facts from explicit (number, body) pairs -----------------------------------------
@@ -312,10 +337,13 @@ def payload_facts(
 __all__ = [
     "body_numbers",
     "carrier_map",
+    "WHOLE",
     "normalize_status",
+    "number_views",
     "payload_facts",
     "replay_facts",
     "replay_index",
     "replay_lookup",
     "scope_to_number",
+    "view_status",
 ]

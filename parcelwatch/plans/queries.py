@@ -90,9 +90,9 @@ def flag(df: DataFrame, c: Column, name: str, key: str = "event_id") -> DataFram
 @query
 def q_src_shipments(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "shipments") + ".csv"
-    # CSV cannot tell an empty text from NULL; blanks are written as NULL.
-    fx.shipments(spark, sf).write.option("header", True).csv(path)
-    return snake(src_shipments(spark, path))
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    fx.shipments(spark, sf).write.options(**options).csv(path)
+    return snake(src_shipments(spark, path)).withColumn("row_id", F.col("row_id").cast("bigint"))
 
 
 def _write_body_files(spark: SparkSession, sf: str) -> str:
@@ -315,21 +315,29 @@ def q_status_columns(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", *(c.alias(SNAKE[n]) for n, c in cols.items()))
 
 
-def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """(tracking_number, body): every number of every body, still with the body's place."""
-    bodies = fx.bodies(spark, sf)
-    docs = bodies.withColumn("_doc", F.expr(P.typed_body("body")))
-    numbers = F.expr(P.tracking_numbers("body", "_doc"))
-    return docs.select(*fx.BODY_ORDER, "body", F.explode_outer(numbers).alias("tracking_number"))
+def _views(spark: SparkSession, sf: str, **options: bool) -> DataFrame:
+    views = lookup.number_views(fx.bodies(spark, sf), fx.BODY_ORDER, **options)
+    return views.withColumn("capture", F.col("seq.capture"))
 
 
-def _scoped(spark: SparkSession, sf: str, **options: bool) -> DataFrame:
-    return lookup.scope_to_number(_pairs(spark, sf), **options)
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """(tracking_number, body) with a body of its own for every number: split batches, flat bodies."""
+    deep = batches.split_batch_response(
+        fx.bodies(spark, sf).filter("kind = 0").select(F.struct("capture", "part").alias("batch"), "body")
+    ).select(F.col("batch.capture").alias("capture"), "tracking_number", F.col("payload").alias("body"))
+    flat = fx.bodies(spark, sf).filter("kind = 1")
+    return deep.unionByName(
+        flat.select(
+            "capture",
+            F.expr(P.variant_at("body", "$.trackingNumber", "string")).alias("tracking_number"),
+            "body",
+        )
+    )
 
 
 @query
 def q_normalized_record(spark: SparkSession, sf: str) -> DataFrame:
-    scoped = _scoped(spark, sf).withColumn("status", lookup.normalize_status())
+    scoped = lookup.scope_to_number(_pairs(spark, sf)).withColumn("status", lookup.normalize_status())
     record = enrich.normalized_record(scoped, F.col("status"), F.lit("fdxg"))
     flat = scoped.select("capture", record.alias("r"))
     return flat.select(
@@ -435,29 +443,30 @@ def q_replay_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         F.col("RowId").alias("row_id"),
         F.expr("try_variant_get(body, '$.code', 'string')").alias("flat_code"),
-        F.expr("to_json(body) = '{}'").cast("bigint").alias("is_miss"),
+        (~F.col("found")).cast("bigint").alias("is_miss"),
     )
 
 
 @query
 def q_scope_to_tn(spark: SparkSession, sf: str) -> DataFrame:
-    return _scoped(spark, sf).select(
+    return _views(spark, sf).select(
         "capture",
         "tracking_number",
-        F.col("scope_at").isNotNull().cast("bigint").alias("matched"),
-        F.col("scoped.scan_count").alias("scan_count"),
-        F.array_contains("scoped.keys", F.col("tracking_number")).cast("bigint").alias("own_result"),
+        (F.col("at") != lookup.WHOLE).cast("bigint").alias("matched"),
+        F.col("d.scan_count").alias("scan_count"),
+        F.array_contains("d.keys", F.col("tracking_number")).cast("bigint").alias("own_result"),
     )
 
 
 @query
 def q_normalize_scope(spark: SparkSession, sf: str) -> DataFrame:
-    return _scoped(spark, sf).select(
+    many = (~F.col("alone")).cast("bigint")
+    return _views(spark, sf).select(
         "capture",
         "tracking_number",
-        (F.size("digests") > 1).cast("bigint").alias("is_batch"),
-        F.col("status_at").isNotNull().cast("bigint").alias("narrowed"),
-        F.col("focus.detail_status.code").alias("code"),
+        many.alias("is_batch"),
+        F.when(F.col("at") != lookup.WHOLE, many).otherwise(F.lit(0)).cast("bigint").alias("narrowed"),
+        F.col("d.detail_status.code").alias("code"),
     )
 
 
@@ -570,7 +579,7 @@ def q_map_tn_to_body(spark: SparkSession, sf: str) -> DataFrame:
 
 def _status_query(status: str, **options: bool) -> Query:
     def fn(spark: SparkSession, sf: str) -> DataFrame:
-        read = _scoped(spark, sf, **options).select(
+        read = _views(spark, sf, **options).select(
             "capture", "tracking_number", F.expr(status).alias("s")
         )
         return read.select(
@@ -580,16 +589,16 @@ def _status_query(status: str, **options: bool) -> Query:
     return fn
 
 
-QUERIES["status_from_lsd"] = _status_query("focus.detail_status")
+QUERIES["status_from_lsd"] = _status_query("d.detail_status")
 QUERIES["status_from_scans"] = _status_query(
-    f"coalesce(focus.scan_status, {P.BLANK_STATUS})", all_scans=True
+    f"coalesce(d.scan_status, {P.BLANK_STATUS})", all_scans=True
 )
 QUERIES["status_from_flat"] = _status_query("top.flat_status")
 
 
 @query
 def q_normalize_status(spark: SparkSession, sf: str) -> DataFrame:
-    read = _scoped(spark, sf).withColumn("s", lookup.normalize_status())
+    read = _views(spark, sf).withColumn("s", lookup.view_status())
     return read.select(
         "capture", "tracking_number", *(F.col(f"s.{f}").alias(SNAKE[f]) for f in STATUS_FIELDS)
     )
@@ -597,7 +606,7 @@ def q_normalize_status(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_latest_event_ts(spark: SparkSession, sf: str) -> DataFrame:
-    read = _scoped(spark, sf).withColumn("m", F.expr(P.latest_micros("scoped.dates")))
+    read = _views(spark, sf).withColumn("m", F.expr(P.latest_micros("d.dates")))
     return read.select(
         "capture", "tracking_number", F.coalesce(iso_utc(F.col("m")), F.lit("")).alias("latest_ts")
     )
@@ -605,8 +614,8 @@ def q_latest_event_ts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_latest_status_detail(spark: SparkSession, sf: str) -> DataFrame:
-    read = _scoped(spark, sf)
-    detail = F.col("scoped.detail")
+    read = _views(spark, sf)
+    detail = F.col("d.detail")
     return read.select(
         "capture",
         "tracking_number",
@@ -618,8 +627,8 @@ def q_latest_status_detail(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_ancillary_text(spark: SparkSession, sf: str) -> DataFrame:
-    return _scoped(spark, sf).select(
-        "capture", "tracking_number", F.col("scoped.ancillary").alias("ancillary")
+    return _views(spark, sf).select(
+        "capture", "tracking_number", F.col("d.ancillary").alias("ancillary")
     )
 
 
@@ -661,8 +670,8 @@ def q_scan_event_count_literal(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_scan_event_timestamps(spark: SparkSession, sf: str) -> DataFrame:
-    return _scoped(spark, sf).select(
-        "capture", "tracking_number", F.array_join("scoped.scan_times", "|").alias("scan_times")
+    return _views(spark, sf).select(
+        "capture", "tracking_number", F.array_join("d.scan_times", "|").alias("scan_times")
     )
 
 
