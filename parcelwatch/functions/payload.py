@@ -186,13 +186,14 @@ def status_from_detail(detail: Sql) -> Sql:
 
 def status_from_event(event_lists: Sql) -> Sql:
     """Status of the first event of the first non-empty list headed by an object; else NULL."""
-    description = truthy_text("evt.eventDescription")
     read = _status(
-        f"coalesce({truthy_text('evt.derivedStatusCode')}, {truthy_text('evt.eventType')})",
-        truthy_text("evt.derivedStatusCode"),
-        f"coalesce({truthy_text('evt.derivedStatus')}, {description})",
-        description,
+        f"coalesce(dcd, {truthy_text('evt.eventType')})",
+        "dcd",
+        f"coalesce({truthy_text('evt.derivedStatus')}, dsc)",
+        "dsc",
     )
+    read = bind("dsc", truthy_text("evt.eventDescription"), read)
+    read = bind("dcd", truthy_text("evt.derivedStatusCode"), read)
     heads = present(f"transform(filter({event_lists}, lst -> size(lst) > 0), lst -> lst[0])")
     return f"get(transform(slice({heads}, 1, 1), evt -> {read}), 0)"
 
@@ -206,11 +207,12 @@ def first_status(*candidates: Sql) -> Sql:
 
     A description alone does not make a candidate count.
     """
-    *early, last = candidates
-    whens = " ".join(
-        f"WHEN ({c}).code <> '' OR ({c}).statusByLocale <> '' THEN {c}" for c in early
-    )
-    return f"CASE {whens} ELSE {last} END"
+    first, *rest = candidates
+    if not rest:
+        return first
+    name = f"cand{len(rest)}"
+    taken = f"CASE WHEN {name}.code <> '' OR {name}.statusByLocale <> '' THEN {name}"
+    return bind(name, first, f"{taken} ELSE {first_status(*rest)} END")
 
 
 def ancillary_text(detail: Sql) -> Sql:
@@ -226,26 +228,27 @@ def ancillary_text(detail: Sql) -> Sql:
 # ---- digests -------------------------------------------------------------------------
 
 
-def _history(event_lists: Sql, time_lists: Sql, needed: Sql = "true") -> Sql:
-    """Digest fields about scans; lists hold one array per place events are kept in.
+def _digest(fields: Sql, event_lists: Sql, time_lists: Sql, need_scans: Sql = "true") -> Sql:
+    """A digest of ``fields`` and what the scans say; lists hold one array per place of events.
 
-    The scan status is left NULL where it is not ``needed``.
+    The scan status is left NULL where it is not needed.
     """
-    events = or_empty(flat(event_lists), _EVENT)
-    seen = present(events)
-    times = flat(f"transform({seen}, evt -> array(evt.date, evt.dateTime, evt.eventDate))")
     announced = f"transform({present(flat(time_lists))}, ann -> ann.dateTime)"
-    dates = f"concat(transform({seen}, evt -> evt.date), {or_empty(announced, 'string')})"
-    return (
-        f"'scan_status', CASE WHEN {needed} THEN {status_from_event(event_lists)} END, "
-        f"'scan_count', cast(size({events}) AS bigint), "
+    dates = f"concat(transform(seen, evt -> evt.date), {or_empty(announced, 'string')})"
+    times = "flatten(transform(seen, evt -> array(evt.date, evt.dateTime, evt.eventDate)))"
+    digest = (
+        f"named_struct({fields}, "
+        f"'scan_status', CASE WHEN {need_scans} THEN {status_from_event('evs')} END, "
+        "'scan_count', cast(size(listed) AS bigint), "
         f"'scan_times', filter({times}, tim -> contains(tim, 'T')), "
-        f"'dates', array_distinct({present(dates)})"
+        f"'dates', array_distinct({present(dates)}))"
     )
+    listed = or_empty(flat("evs"), _EVENT)
+    return bind("evs", event_lists, bind("listed", listed, bind("seen", present("listed"), digest)))
 
 
 def is_blank_status(status: Sql) -> Sql:
-    return f"({status}.code = '' AND {status}.statusByLocale = '')"
+    return bind("sta", status, "sta.code = '' AND sta.statusByLocale = ''")
 
 
 def result_digest(result: Sql, need_scans: Sql = "true") -> Sql:
@@ -253,31 +256,32 @@ def result_digest(result: Sql, need_scans: Sql = "true") -> Sql:
 
     The scan status is read when the detail has no status, or ``need_scans`` says so.
     """
-    tracks = present(f"{result}.trackResults")
-    detail = detail_of(result)
     # The status is read from the first track result, which must then be an object.
     broken = f"size({result}.trackResults) > 0 AND {result}.trackResults[0] IS NULL"
-    history = _history(
-        or_empty(f"transform({tracks}, trk -> trk.scanEvents)", f"array<{_EVENT}>"),
-        or_empty(f"transform({tracks}, trk -> trk.dateAndTimes)", f"array<{_ANNOUNCED}>"),
-        f"{need_scans} OR {is_blank_status('own')}",
-    )
-    digest = bind(
-        "own",
-        status_from_detail(detail),
-        f"named_struct('keys', {result_keys(result)}, "
-        f"'readable', NOT coalesce({broken}, false), "
+    fields = (
+        f"'keys', {result_keys(result)}, 'readable', NOT coalesce({broken}, false), "
         "'detail_status', own, "
-        f"'detail', CASE WHEN {is_object(detail)} THEN to_json({detail}) ELSE '{{}}' END, "
-        f"'ancillary', {ancillary_text(detail)}, {history})",
+        f"'detail', CASE WHEN {is_object('lsd')} THEN to_json(lsd) ELSE '{{}}' END, "
+        f"'ancillary', {ancillary_text('lsd')}"
+    )
+    digest = _digest(
+        fields,
+        or_empty("transform(trks, trk -> trk.scanEvents)", f"array<{_EVENT}>"),
+        or_empty("transform(trks, trk -> trk.dateAndTimes)", f"array<{_ANNOUNCED}>"),
+        f"{need_scans} OR (own.code = '' AND own.statusByLocale = '')",
     )
+    digest = bind("trks", present(f"{result}.trackResults"), digest)
+    digest = bind("lsd", detail_of(result), bind("own", status_from_detail("lsd"), digest))
     return f"CASE WHEN {result} IS NOT NULL THEN {digest} END"
 
 
 def top_digest(doc: Sql) -> Sql:
     """Digest of the top-level fields of a body."""
-    history = _history(f"array({doc}.scanEvents)", f"array({doc}.dateAndTimes)")
-    return f"named_struct('flat_status', {status_from_flat(doc)}, {history})"
+    return _digest(
+        f"'flat_status', {status_from_flat(doc)}",
+        f"array({doc}.scanEvents)",
+        f"array({doc}.dateAndTimes)",
+    )
 
 
 def with_digests(bodies: DataFrame, *, all_scans: bool = False) -> DataFrame:
@@ -287,12 +291,15 @@ def with_digests(bodies: DataFrame, *, all_scans: bool = False) -> DataFrame:
     read only where a status could come from it: in results without a status of their
     own, and everywhere when the first result has none, unless ``all_scans`` asks for all.
     """
-    found = results_of("doc", "doc_wrapped")
-    first = status_from_detail(detail_of(f"get({found}, 0)"))
+    first = status_from_detail(detail_of("get(found, 0)"))
     results = bind(
-        "headless",
-        "true" if all_scans else is_blank_status(first),
-        f"transform({found}, res -> {result_digest('res', 'headless')})",
+        "found",
+        results_of("doc", "doc_wrapped"),
+        bind(
+            "headless",
+            "true" if all_scans else is_blank_status(first),
+            f"transform(found, res -> {result_digest('res', 'headless')})",
+        ),
     )
     # The typed body lives only inside this one expression: written to a row, each of its
     # VARIANT leaves would carry a copy of the document's key dictionary.
@@ -317,24 +324,23 @@ def with_digests(bodies: DataFrame, *, all_scans: bool = False) -> DataFrame:
 
 def whole_digest(top: Sql = "top", digests: Sql = "digests") -> Sql:
     """Digest of a body that is not narrowed: top-level fields first, then every result."""
-    seen = present(digests)
-    first = f"get({digests}, 0)"
 
     def gathered(name: str) -> Sql:
-        return f"concat({top}.{name}, flatten(transform({seen}, dig -> dig.{name})))"
+        return f"concat({top}.{name}, flatten(transform(digs, dig -> dig.{name})))"
 
     # An empty list of results is fine; a first entry that is not an object is not.
-    return (
+    whole = (
         f"named_struct('keys', {none('string')}, "
-        f"'readable', CASE WHEN size({digests}) > 0 THEN coalesce({first}.readable, false) ELSE true END, "
-        f"'detail_status', coalesce({first}.detail_status, {BLANK_STATUS}), "
-        f"'detail', coalesce({first}.detail, '{{}}'), "
-        f"'ancillary', coalesce({first}.ancillary, ''), "
+        f"'readable', CASE WHEN size({digests}) > 0 THEN coalesce(one.readable, false) ELSE true END, "
+        f"'detail_status', coalesce(one.detail_status, {BLANK_STATUS}), "
+        f"'detail', coalesce(one.detail, '{{}}'), "
+        f"'ancillary', coalesce(one.ancillary, ''), "
         f"'scan_status', coalesce({top}.scan_status, "
-        f"get({present(f'transform({seen}, dig -> dig.scan_status)')}, 0)), "
-        f"'scan_count', aggregate({seen}, {top}.scan_count, (sum, dig) -> sum + dig.scan_count), "
+        f"get({present('transform(digs, dig -> dig.scan_status)')}, 0)), "
+        f"'scan_count', aggregate(digs, {top}.scan_count, (sum, dig) -> sum + dig.scan_count), "
         f"'scan_times', {gathered('scan_times')}, 'dates', {gathered('dates')})"
     )
+    return bind("digs", present(digests), bind("one", f"get({digests}, 0)", whole))
 
 
 def scope_position(digests: Sql, number: Sql, *, stripped: bool) -> Sql:
