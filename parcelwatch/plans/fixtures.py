@@ -6,7 +6,7 @@ be checked against one computed straight from the events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Events are captured in runs of this many ids, so a body never holds more than that.
@@ -213,30 +213,31 @@ def body_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Deep users share batch bodies of up to 30, every other one without the ``output``
     wrapper; flat users have a body each.
     """
-    per_user = packages(spark, sf_dir)
-    results = F.col("results")
-    wrapped = F.to_json(
-        F.struct(
-            F.concat(F.lit("tx-"), F.col("part").cast("string")).alias("transactionId"),
-            F.struct(results.alias("completeTrackResults")).alias("output"),
-        )
-    )
-    bare = F.to_json(F.struct(results.alias("completeTrackResults")))
-    deep = (
-        per_user.filter(F.col("kind") < 4)
+    kind = F.col("kind")
+    groups = (
+        packages(spark, sf_dir)
         .groupBy("capture", "part")
-        .agg(F.collect_list("result").alias("results"))
-        .select(
-            "capture",
-            F.lit(0).alias("kind"),
-            "part",
-            F.when(F.col("part") % 2 == 0, wrapped).otherwise(bare).alias("text"),
+        .agg(
+            F.collect_list(F.when(kind < 4, F.col("result"))).alias("results"),
+            F.collect_list(F.when(kind == 4, F.struct("user_id", "flat"))).alias("flats"),
         )
     )
-    flat = per_user.filter(F.col("kind") == 4).select(
-        "capture", F.lit(1).alias("kind"), F.col("user_id").alias("part"), F.to_json("flat").alias("text")
+    results = F.col("results")
+    transaction = F.concat(F.lit("tx-"), F.col("part").cast("string"))
+    output = F.struct(results.alias("completeTrackResults"))
+    wrapped = F.to_json(F.struct(transaction.alias("transactionId"), output.alias("output")))
+    text = F.when(F.col("part") % 2 == 0, wrapped).otherwise(F.to_json(output))
+    deep = F.when(
+        F.size(results) > 0, F.array(_body(F.lit(0), F.col("part"), text))
+    ).otherwise(F.array().cast("array<struct<kind:int,part:bigint,text:string>>"))
+    flat = F.transform("flats", lambda x: _body(F.lit(1), x["user_id"], F.to_json(x["flat"])))
+    return groups.select("capture", F.concat(deep, flat).alias("b")).select(
+        "capture", F.inline_outer("b")
     )
-    return deep.unionByName(flat)
+
+
+def _body(kind: Column, part: Column, text: Column) -> Column:
+    return F.struct(kind.alias("kind"), part.alias("part"), text.alias("text"))
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
