@@ -18,8 +18,8 @@ SHIPMENTS_SQL = """
 SELECT 'drop-me' AS lead, o_orderkey AS row_id,
  CASE WHEN o_orderkey % 97 = 0 THEN ' nan '
       WHEN o_orderkey % 89 = 0 THEN NULL
-      WHEN o_orderkey % 11 = 0 THEN '  ' || CAST(o_custkey % n_keys AS STRING) || ' '
-      ELSE CAST(o_custkey % n_keys AS STRING) END AS tracking_number,
+      WHEN o_orderkey % 11 = 0 THEN '  ' || CAST(o_custkey % (SELECT 2 * MAX(user_id) + 2 FROM {events}) AS STRING) || ' '
+      ELSE CAST(o_custkey % (SELECT 2 * MAX(user_id) + 2 FROM {events}) AS STRING) END AS tracking_number,
  CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN 'none'
       WHEN o_orderkey % 3 = 0 THEN 'FEDEX' WHEN o_orderkey % 3 = 1 THEN ' FDX ' ELSE 'ups' END AS carrier_code,
  CASE WHEN o_orderkey % 50 = 0 THEN 'N/A'
@@ -27,7 +27,7 @@ SELECT 'drop-me' AS lead, o_orderkey AS row_id,
                                    || '/' || CAST(YEAR(o_orderdate) AS STRING)
       ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS promised_delivery_date,
  CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'In transit' END AS delivery_tracking_status
-FROM {orders} CROSS JOIN (SELECT 2 * MAX(user_id) + 2 AS n_keys FROM {events}) AS k
+FROM {orders}
 """
 
 EVENTS_SQL = f"""

@@ -93,10 +93,18 @@ def run_marker(
 
 def shape_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     """Row and column counts of both tables as one row."""
-    rows = F.count(F.lit(1))
+
+    def marks(df: DataFrame, is_input: bool) -> DataFrame:
+        return df.select(F.lit(is_input).alias("is_input"))
+
+    is_input = F.col("is_input")
     return (
-        before.agg(rows.alias("input_rows"))
-        .crossJoin(after.agg(rows.alias("output_rows")))
+        marks(before, True)
+        .union(marks(after, False))
+        .agg(
+            F.count_if(is_input).alias("input_rows"),
+            F.count_if(~is_input).alias("output_rows"),
+        )
         .withColumns(
             {
                 "input_cols": F.lit(len(before.columns)).cast("bigint"),
