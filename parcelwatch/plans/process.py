@@ -131,7 +131,7 @@ def process_and_publish(
     views are cut from the written processed table. Row counts ride on the writes.
     """
     out_dir = out_dir.rstrip("/")
-    shipments = src_shipments(spark, input_path, input_format)
+    shipments = src_shipments(spark, input_path, input_format, must_exist=True)
     facts = None
     if bodies_path is not None:
         facts = replay_facts(src_bodies(spark, bodies_path, bodies_layout), BODY_ORDER)

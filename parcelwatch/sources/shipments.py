@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -11,11 +12,14 @@ from pyspark.sql import types as T
 _log = logging.getLogger(__name__)
 
 
-def src_shipments(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def src_shipments(
+    spark: SparkSession, path: str, fmt: str | None = None, *, must_exist: bool = False
+) -> DataFrame:
     """Read a CSV, JSON, Parquet or ORC table; what cannot be opened is an empty table.
 
     CSV columns are read as text, without inference, so tracking numbers keep
-    their digits. The format defaults to the file extension, else Parquet.
+    their digits. The format defaults to the file extension, else Parquet. With
+    ``must_exist`` a path that is not there is a ``FileNotFoundError``.
     """
     fmt = fmt or {"csv": "csv", "json": "json", "ndjson": "json", "orc": "orc"}.get(
         path.rstrip("/").rsplit(".", 1)[-1].lower(), "parquet"
@@ -27,6 +31,8 @@ def src_shipments(spark: SparkSession, path: str, fmt: str | None = None) -> Dat
         reader = reader.option("primitivesAsString", True)
     try:
         return reader.load(path)
-    except (AnalysisException, PySparkException) as ex:
+    except (PySparkException, Py4JJavaError) as ex:
+        if must_exist and isinstance(ex, AnalysisException) and ex.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(path) from ex
         _log.warning("could not read shipment table %s: %s", path, ex)
         return spark.createDataFrame([], T.StructType([]))
