@@ -152,7 +152,11 @@ def _index_keys(result: Sql) -> Sql:
 
 def _keys_anywhere(v: Sql) -> Sql:
     """String values of number keys at any depth, found in the canonical JSON text."""
-    pattern = r"""(?<!\\)"(?:trackingNumber|tracking_number)":"((?:[^"\\]|\\.)*)\""""
+    # It starts with plain text, which the matcher can skip to; the key must not be part
+    # of a longer one that ends in an escaped quote.
+    pattern = (
+        r'"tracking(?<!\\"tracking)(?:Number|_number)":"([^"\\]*(?:\\.[^"\\]*)*)"'
+    )
     unescaped = variant_at("""try_parse_json('"' || raw || '"')""", "$", "string")
     found = (
         f"transform(regexp_extract_all(to_json({v}), r'{pattern}', 1), raw -> "

@@ -24,8 +24,13 @@ def strip(c: Column) -> Column:
 
 
 def strip_sql(text: str) -> str:
-    """``strip`` as SQL text."""
-    return f"btrim({text}, '{WHITESPACE}')"
+    """``strip`` as SQL text, for a variable or column name.
+
+    Trimming a set of characters is slow; a text with printable ASCII at both ends is
+    taken as it is.
+    """
+    ends = " AND ".join(f"{end}({text}, 1) BETWEEN '!' AND '~'" for end in ("left", "right"))
+    return f"(CASE WHEN {ends} THEN {text} ELSE btrim({text}, '{WHITESPACE}') END)"
 
 
 def is_blank(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwatch.functions.text import strip, strip_sql
+from parcelwatch.functions.text import strip
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -30,15 +30,19 @@ def epoch_micros_sql(text: str, kind: T.DataType | None = None) -> str:
     """
     if isinstance(kind, T.TimestampType):
         return f"unix_micros({text})"
-    s = strip_sql(f"cast({text} AS string)")
     # The year guard keeps out texts the cast would read as today, such as '12:30' or 'now'.
+    # The two common endings are told apart by position, the rare ones by pattern.
     zoned = (
-        f"CASE WHEN substring({s}, 5, 1) <> '-' THEN NULL "
-        f"WHEN NOT contains({s}, ':') THEN {s} || 'T00:00:00Z' "
-        f"WHEN {s} RLIKE r'{_ZONE}$' THEN replace({s}, ' +', '+') "
-        f"ELSE {s} || 'Z' END"
+        "CASE WHEN substring(stamp, 5, 1) <> '-' THEN NULL "
+        "WHEN NOT contains(stamp, ':') THEN stamp || 'T00:00:00Z' "
+        "WHEN right(stamp, 1) = 'Z' THEN stamp "
+        "WHEN substring(stamp, -6, 1) IN ('+', '-') AND substring(stamp, -3, 1) = ':' "
+        "THEN replace(stamp, ' +', '+') "
+        f"WHEN stamp RLIKE r'{_ZONE}$' THEN replace(stamp, ' +', '+') "
+        "ELSE stamp || 'Z' END"
     )
-    return f"unix_micros(try_cast({zoned} AS timestamp))"
+    micros = f"unix_micros(try_cast({zoned} AS timestamp))"
+    return f"transform(array(trim(cast({text} AS string))), stamp -> {micros})[0]"
 
 
 def iso_utc(micros: Column) -> Column:

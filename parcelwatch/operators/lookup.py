@@ -230,6 +230,8 @@ def replay_facts(
             f"ELSE {times} END"
         )
     views = _with_latest(number_views(bodies, order), "d.dates").withColumn("s", view_status())
+    # The status is read where the number is matched as written; time, scans and detail
+    # also where it is matched padded, should that result come first.
     facts = views.select(
         "tracking_number",
         "exact",
@@ -247,10 +249,13 @@ def replay_facts(
         ).alias("scoped"),
     )
     best = facts.groupBy("tracking_number").agg(
-        F.max_by("status", F.when(F.col("exact"), F.col("rank"))).alias("status"),
-        F.max_by("scoped", "rank").alias("scoped"),
+        F.max(F.expr("CASE WHEN exact THEN struct(rank, status, scoped) END")).alias("best"),
+        F.max(F.expr("CASE WHEN NOT exact THEN struct(rank, scoped) END")).alias("padded"),
+    )
+    scoped = F.expr("CASE WHEN padded.rank > best.rank THEN padded.scoped ELSE best.scoped END")
+    return best.select("tracking_number", "best.status.*", scoped.alias("scoped")).select(
+        "tracking_number", *STATUS_FIELDS, "readable", "scoped.*"
     )
-    return best.select("tracking_number", "status.*", "scoped.*")
 
 
 # ---- facts from explicit (number, body) pairs -----------------------------------------
