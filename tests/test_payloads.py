@@ -331,3 +331,33 @@ def test_carrier_map(rows):
     )
     got = {r[0]: r[1] for r in lookup.carrier_map(df, "o").collect()}
     assert got == {"A": "Y", "B": None}
+
+
+def test_hot_number_is_split_by_the_adaptive_join(bodies, spark):
+    """A number with a third of all rows, and as many blank ones, must not make one big task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts_df = lookup.replay_facts(bodies({"trackingNumber": "1", "code": "DL"}), ["pos"])
+        df = spark.range(0, 120000, 1, 8).select(
+            F.expr("CASE id % 3 WHEN 0 THEN '1' WHEN 1 THEN NULL ELSE string(id) END").alias("Tracking Number"),
+            F.lit("FDX").alias("Carrier Code"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        out = enrich.enrich(df, facts_df)
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert out.filter("code = 'DL'").count() == 40000
+        # Without splitting, the hot number alone would fill one partition with 40,000 rows.
+        assert max(r["count"] for r in sizes) < 25000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
