@@ -196,17 +196,12 @@ def batch_then_single(
         .filter(F.col("tracking_number").isNotNull())
         .distinct()
     )
-    batch = last_batch_payload(payloads)
-    both = numbers.join(batch, "tracking_number", "left")
-    single = replay_lookup(
-        both.filter(F.col("payload").isNull()).select("tracking_number"),
-        bodies,
-        order,
-        key=F.col("tracking_number"),
-    )
-    return both.filter(F.col("payload").isNotNull()).select(
-        "tracking_number", F.col("payload").alias("body")
-    ).unionByName(single.select("tracking_number", "body"))
+    known = numbers.join(last_batch_payload(payloads), "tracking_number", "left")
+    # Numbers with a payload look nothing up.
+    open_number = F.when(F.col("payload").isNull(), F.col("tracking_number"))
+    return replay_lookup(known, bodies, order, key=open_number).select(
+        "tracking_number", F.coalesce("payload", "body").alias("body")
+    )
 
 
 def map_number_to_body(bodies: DataFrame, order: list[str]) -> DataFrame:

@@ -74,23 +74,25 @@ def replay_lookup(
     identify a body. Rows grow by whole documents here; enrichment uses facts instead.
     """
     probe = key_text(col(TRACKING_NUMBER) if key is None else key)
-    index = replay_index(bodies, order).withColumnRenamed("tracking_number", "_tn")
-    docs = bodies.select(*(col(c).alias(f"_doc_{i}") for i, c in enumerate(order)), "body")
-    pointers = index.select("_tn", *(col(c).alias(f"_ptr_{i}") for i, c in enumerate(order)))
-    same = [F.col(f"_ptr_{i}") == F.col(f"_doc_{i}") for i in range(len(order))]
-    resolved = pointers.join(docs, same).select("_tn", "body")
-    keyed = rows.withColumn("_key", probe)
+    place = F.to_json(_recency(order))
+    # Two joins, the first with pointers only, so that a body is shuffled once and not
+    # once for each of its numbers.
+    pointers = replay_index(bodies, order).select(
+        F.col("tracking_number").alias("_tn"), place.alias("_place")
+    )
+    docs = bodies.select(place.alias("_tn"), "body")
+    pointed = _left_by_key(rows.withColumn("_key", probe), pointers).drop("_tn")
+    looked_up = pointed.withColumnsRenamed({"_key": "_number", "_place": "_key"})
+    wanted = F.col("_number").isNotNull()
     return (
-        _left_by_key(keyed, resolved)
+        _left_by_key(looked_up, docs)
         .withColumns(
             {
-                "found": F.when(F.col("_key").isNotNull(), F.col("body").isNotNull()),
-                "body": F.when(
-                    F.col("_key").isNotNull(), F.coalesce("body", F.parse_json(F.lit(EMPTY_BODY)))
-                ),
+                "found": F.when(wanted, F.col("body").isNotNull()),
+                "body": F.when(wanted, F.coalesce("body", F.parse_json(F.lit(EMPTY_BODY)))),
             }
         )
-        .drop("_key", "_tn")
+        .drop("_key", "_number", "_tn")
     )
 
 
