@@ -19,16 +19,18 @@ _PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
 def strip(c: Column) -> Column:
-    """Trim all Unicode whitespace (``F.trim`` alone removes only spaces)."""
-    return F.btrim(c, F.lit(WHITESPACE))
-
-
-def strip_sql(text: str) -> str:
-    """``strip`` as SQL text, for a variable or column name.
+    """Trim all Unicode whitespace (``F.trim`` alone removes only spaces).
 
     Trimming a set of characters is slow; a text with printable ASCII at both ends is
     taken as it is.
     """
+    one = F.lit(1)
+    ends = F.left(c, one).between("!", "~") & F.right(c, one).between("!", "~")
+    return F.when(ends, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
+
+
+def strip_sql(text: str) -> str:
+    """``strip`` as SQL text, for a variable or column name."""
     ends = " AND ".join(f"{end}({text}, 1) BETWEEN '!' AND '~'" for end in ("left", "right"))
     return f"(CASE WHEN {ends} THEN {text} ELSE btrim({text}, '{WHITESPACE}') END)"
 

@@ -21,7 +21,7 @@ from parcelwatch.operators.shaping import column_contract, publishable, reasons_
 from parcelwatch.schema import IDLE_DAYS, REASONS, TRACKING_NUMBER, col
 from parcelwatch.sources.bodies import BODY_ORDER, src_bodies
 from parcelwatch.sources.shipments import src_shipments
-from parcelwatch.sources.views import sink_views
+from parcelwatch.sources.views import sink_sidecar, sink_views
 
 
 @dataclass(frozen=True)
@@ -74,6 +74,7 @@ def run_marker(
         return parent, name
 
     return spark.range(1).select(
+        # Fixed value: the name and content of the column that marks the table.
         F.lit("ok").alias("_oss_marker"),
         F.lit(split(input_path)[1]).alias("input_name"),
         F.lit(split(input_path)[0]).alias("input_dir"),
@@ -124,10 +125,12 @@ def process_and_publish(
     input_format: str | None = None,
     settings: Settings = Settings(),
     has_credentials: bool = False,
+    sidecar_order: str | None = None,
 ) -> dict[str, Any]:
     """Run the job and publish ``all_shipments``, ``processed``, the views and the ``marker``.
 
-    The input is scanned for the raw copy and once more for the processed table; the
+    With ``sidecar_order``, the column that orders the input rows, the status of every
+    (carrier, tracking number) is also published as ``sidecar``. The input is scanned for the raw copy and once more for the processed table; the
     views are cut from the written processed table. Row counts ride on the writes.
     """
     out_dir = out_dir.rstrip("/")
@@ -139,7 +142,7 @@ def process_and_publish(
 
     def write(df: DataFrame, name: str) -> int:
         if not df.columns:
-            # A table without columns has no file form; only its row count remains.
+            # A table without columns has no file form; only its row count is kept.
             return df.count()
         seen = Observation(name)
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
@@ -150,7 +153,10 @@ def process_and_publish(
     rows_in = write(publishable(shipments), "all_shipments")
     processed = process_shipments(shipments, facts, settings)
     rows_out = write(processed, "processed")
-    views = sink_views(spark.read.parquet(f"{out_dir}/processed"), out_dir)
+    written = spark.read.parquet(f"{out_dir}/processed")
+    views = sink_views(written, out_dir)
+    if sidecar_order is not None:
+        sink_sidecar(written, sidecar_order, f"{out_dir}/sidecar")
     run_marker(
         spark,
         input_path=input_path,

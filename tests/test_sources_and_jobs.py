@@ -134,6 +134,7 @@ def published(spark, tmp_path_factory):
         str(base / "out"),
         bodies_path=str(base / "bodies.json"),
         bodies_layout="indented",
+        sidecar_order="RowId",
         settings=parcelwatch.Settings(
             reference_date=dt.date(2025, 10, 7), reference_now=NOW, stalled_threshold_days=1
         ),
@@ -190,6 +191,8 @@ def test_snapshot_and_sidecar(spark, published):
     got = {r[0]: tuple(r)[1:] for r in tn_snapshot(processed, numbers, "RowId").collect()}
     assert got == {"1": (1.0, "Exception;Stalled", 1), "4": (0.0, "Stalled", 1), "99": (None, None, None)}
     side = {(r[0], r[1]): json.loads(r[2])["code"] for r in sidecar(processed, "RowId").collect()}
+    published_side = spark.read.schema("carrier string, tracking_number string").json(f"{out}/sidecar")
+    assert {tuple(r) for r in published_side.collect()} == set(side)
     assert side == {("FDX", "1"): "DE", ("FDX", "2"): "OC", ("FDX", "3"): "DL", ("None", "4"): ""}
 
 
@@ -203,6 +206,13 @@ def test_job_without_bodies_and_without_key_columns(spark, tmp_path):
     assert summary["output_shape"][0] == 1
 
 
+def test_unreadable_input_gives_an_empty_run(spark, tmp_path):
+    (tmp_path / "junk.parquet").write_text("not parquet")
+    summary = parcelwatch.process_and_publish(spark, str(tmp_path / "junk.parquet"), str(tmp_path / "out"))
+    assert summary["output_shape"][0] == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "stalled")).count() == 0
+
+
 def test_missing_input_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         parcelwatch.process_and_publish(spark, str(tmp_path / "no.csv"), str(tmp_path / "out"))
