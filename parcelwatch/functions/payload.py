@@ -118,8 +118,14 @@ def typed_body(v: Sql) -> Sql:
 
 
 def has_wrapper(v: Sql) -> Sql:
-    """True when the body has an ``output`` key, whatever its value."""
-    return f"({variant_at(v, '$.output')} IS NOT NULL)"
+    """True when the body has an ``output`` key, whatever its value.
+
+    The object test comes first because reading a value as VARIANT copies it.
+    """
+    path = "$.output"
+    return (
+        f"({variant_at(v, path, 'struct<>')} IS NOT NULL OR {variant_at(v, path)} IS NOT NULL)"
+    )
 
 
 def results_of(doc: Sql, wrapped: Sql) -> Sql:
@@ -135,10 +141,8 @@ def results_of(doc: Sql, wrapped: Sql) -> Sql:
 
 def result_keys(result: Sql) -> Sql:
     """Numbers one result is matched by: its own, then its nested ones, as written."""
-    nested = (
-        f"transform({present(f'{result}.trackResults')}, trk -> trk.trackingNumberInfo.trackingNumber)"
-    )
-    return f"array_distinct({present(flat(f'array(array({result}.trackingNumber), {nested})'))})"
+    nested = or_empty(f"{result}.trackResults.trackingNumberInfo.trackingNumber", "string")
+    return f"array_distinct({present(f'concat(array({result}.trackingNumber), {nested})')})"
 
 
 def _index_keys(result: Sql) -> Sql:
@@ -235,54 +239,62 @@ def ancillary_text(detail: Sql) -> Sql:
 def _digest(fields: Sql, event_lists: Sql, time_lists: Sql, need_scans: Sql = "true") -> Sql:
     """A digest of ``fields`` and what the scans say; lists hold one array per place of events.
 
-    The scan status is left NULL where it is not needed.
+    The scan status is left NULL where it is not needed. Events are named again instead
+    of bound: the results of ``transform`` are copied, field access is not.
     """
-    announced = f"transform({present(flat(time_lists))}, ann -> ann.dateTime)"
-    dates = f"concat(transform(seen, evt -> evt.date), {or_empty(announced, 'string')})"
-    times = "flatten(transform(seen, evt -> array(evt.date, evt.dateTime, evt.eventDate)))"
-    digest = (
+    listed = or_empty(flat(event_lists), _EVENT)
+    seen = present(listed)
+    times = f"flatten(transform({seen}, evt -> array(evt.date, evt.dateTime, evt.eventDate)))"
+    announced = or_empty(f"{flat(time_lists)}.dateTime", "string")
+    return (
         f"named_struct({fields}, "
-        f"'scan_status', CASE WHEN {need_scans} THEN {status_from_event('evs')} END, "
-        "'scan_count', cast(size(listed) AS bigint), "
+        f"'scan_status', CASE WHEN {need_scans} THEN {status_from_event(event_lists)} END, "
+        f"'scan_count', cast(size({listed}) AS bigint), "
         f"'scan_times', filter({times}, tim -> contains(tim, 'T')), "
-        f"'dates', array_distinct({present(dates)}))"
+        f"'dates', array_distinct({present(f'concat({seen}.date, {announced})')}))"
     )
-    listed = or_empty(flat("evs"), _EVENT)
-    return bind("evs", event_lists, bind("listed", listed, bind("seen", present("listed"), digest)))
 
 
-def is_blank_status(status: Sql) -> Sql:
-    return bind("sta", status, "sta.code = '' AND sta.statusByLocale = ''")
+def has_no_status(detail: Sql) -> Sql:
+    """True when a detail gives neither a code nor a status text."""
+    code, status = (truthy_text(variant_at(detail, f"$.{n}")) for n in ("code", "statusByLocale"))
+    return f"({code} IS NULL AND {status} IS NULL)"
 
 
-def result_digest(result: Sql, need_scans: Sql = "true") -> Sql:
+def result_digest(result: Sql, need_scans: Sql | None = None) -> Sql:
     """Digest of one result; NULL when the result is not an object.
 
-    The scan status is read when the detail has no status, or ``need_scans`` says so.
+    The scan status is read when the detail has no status, unless ``need_scans`` says else.
     """
+    detail = detail_of(result)
     # The status is read from the first track result, which must then be an object.
     broken = f"size({result}.trackResults) > 0 AND {result}.trackResults[0] IS NULL"
     fields = (
         f"'keys', {result_keys(result)}, 'readable', NOT coalesce({broken}, false), "
-        "'detail_status', own, "
-        f"'detail', CASE WHEN {is_object('lsd')} THEN to_json(lsd) ELSE '{{}}' END, "
-        f"'ancillary', {ancillary_text('lsd')}"
+        f"'detail_status', {status_from_detail(detail)}, "
+        f"'detail', CASE WHEN {is_object(detail)} THEN to_json({detail}) ELSE '{{}}' END, "
+        f"'ancillary', {ancillary_text(detail)}"
     )
     digest = _digest(
         fields,
-        or_empty("transform(trks, trk -> trk.scanEvents)", f"array<{_EVENT}>"),
-        or_empty("transform(trks, trk -> trk.dateAndTimes)", f"array<{_ANNOUNCED}>"),
-        f"{need_scans} OR (own.code = '' AND own.statusByLocale = '')",
+        f"{result}.trackResults.scanEvents",
+        f"{result}.trackResults.dateAndTimes",
+        need_scans or has_no_status(detail),
     )
-    digest = bind("trks", present(f"{result}.trackResults"), digest)
-    digest = bind("lsd", detail_of(result), bind("own", status_from_detail("lsd"), digest))
     return f"CASE WHEN {result} IS NOT NULL THEN {digest} END"
 
 
-def top_digest(doc: Sql) -> Sql:
-    """Digest of the top-level fields of a body."""
+def top_digest(doc: Sql, results: Sql) -> Sql:
+    """Digest of the top-level fields of a body.
+
+    ``any_scan`` is the scan status of the results together, read only when the first
+    of them has no status of its own: a body read as a whole may fall back to it.
+    """
+    first = detail_of(f"get({results}, 0)")
+    lists = f"{flat(f'{results}.trackResults')}.scanEvents"
+    fallback = f"CASE WHEN {has_no_status(first)} THEN {status_from_event(lists)} END"
     return _digest(
-        f"'flat_status', {status_from_flat(doc)}",
+        f"'flat_status', {status_from_flat(doc)}, 'any_scan', {fallback}",
         f"array({doc}.scanEvents)",
         f"array({doc}.dateAndTimes)",
     )
@@ -291,32 +303,20 @@ def top_digest(doc: Sql) -> Sql:
 def with_digests(bodies: DataFrame, *, all_scans: bool = False) -> DataFrame:
     """Replace ``body`` by ``top``, ``digests``, ``wrapped``, ``numbers`` and ``is_object``.
 
-    One parse and one typed cast per body; the output holds no VARIANT. A scan status is
-    read only where a status could come from it: in results without a status of their
-    own, and everywhere when the first result has none, unless ``all_scans`` asks for all.
+    One parse and one typed cast per body; the output holds no VARIANT. A result's scan
+    status is read only where its detail has no status, unless ``all_scans`` asks for all.
     """
-    first = status_from_detail(detail_of("get(found, 0)"))
-    results = bind(
-        "found",
-        results_of("doc", "doc_wrapped"),
-        bind(
-            "headless",
-            "true" if all_scans else is_blank_status(first),
-            f"transform(found, res -> {result_digest('res', 'headless')})",
-        ),
-    )
+    wrapped = f"coalesce({has_wrapper('body')}, false)"
+    results = results_of("doc", wrapped)
+    digest = result_digest("res", "true" if all_scans else None)
     # The typed body lives only inside this one expression: written to a row, each of its
     # VARIANT leaves would carry a copy of the document's key dictionary.
     reduced = bind(
         "doc",
         typed_body("body"),
-        bind(
-            "doc_wrapped",
-            f"coalesce({has_wrapper('body')}, false)",
-            f"named_struct('top', {top_digest('doc')}, "
-            f"'digests', {or_empty(results, DIGEST_SHAPE)}, "
-            f"'numbers', {tracking_numbers('body', 'doc')}, 'wrapped', doc_wrapped)",
-        ),
+        f"named_struct('top', {top_digest('doc', f'({results})')}, "
+        f"'digests', {or_empty(f'transform({results}, res -> {digest})', DIGEST_SHAPE)}, "
+        f"'numbers', {tracking_numbers('body', 'doc')}, 'wrapped', {wrapped})",
     )
     kept = [c for c in bodies.columns if c != "body"]
     return bodies.select(
@@ -339,8 +339,7 @@ def whole_digest(top: Sql = "top", digests: Sql = "digests") -> Sql:
         f"'detail_status', coalesce(one.detail_status, {BLANK_STATUS}), "
         f"'detail', coalesce(one.detail, '{{}}'), "
         f"'ancillary', coalesce(one.ancillary, ''), "
-        f"'scan_status', coalesce({top}.scan_status, "
-        f"get({present('transform(digs, dig -> dig.scan_status)')}, 0)), "
+        f"'scan_status', coalesce({top}.scan_status, {top}.any_scan), "
         f"'scan_count', aggregate(digs, {top}.scan_count, (sum, dig) -> sum + dig.scan_count), "
         f"'scan_times', {gathered('scan_times')}, 'dates', {gathered('dates')})"
     )
