@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
+    """A new folder under the shared folder of ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own machine.
+    A session without that setting keeps it beside its tables, in the warehouse, which driver and
+    executors share as well. The folder goes when the session's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="parcelwatch-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
