@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, length_histogram, piece_chunks, rans
+from . import exact_dedup, length_histogram, piece_chunks, rans, secret_links
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,42 @@ def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.context_limits(length_histogram.length_histogram(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN))
 
 
+@query
+def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_links.secret_report(documents(spark, sf_dir))
+
+
+def _secret_sql() -> str:
+    letters = "(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
+    parts = []
+    for rank, (kind, pattern, group, least) in enumerate(secret_links.KINDS):
+        if kind == "assign":
+            pattern = letters + pattern.removeprefix("(?i)(password|passwd|secret|token|api_?key)")
+        quoted = pattern.replace("'", "''")
+        counts = f"length(p) >= {least}" + (" AND regexp_matches(h, '[0-9]') AND regexp_matches(h, '[A-Z]') AND regexp_matches(h, '[a-z]')" if kind == "value" else "")
+        parts.append(f"""
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {counts} AS counts, n, h, sum(length(g) + length(h)) OVER (PARTITION BY doc_id ORDER BY n) AS e
+FROM (SELECT doc_id, unnest(string_split_regex(t, '{quoted}')) AS g, unnest(regexp_extract_all(t, '{quoted}')) AS h,
+             unnest(regexp_extract_all(t, '{quoted}', {group})) AS p, unnest(range(1, 1 + len(regexp_extract_all(t, '{quoted}')))) AS n FROM d
+      WHERE regexp_matches(t, '{quoted}')) WHERE h IS NOT NULL""")
+    near = f"EXISTS (FROM s o WHERE o.doc_id = s.doc_id AND o.kind IN (%s) AND o.b <= s.e + {secret_links.REACH} AND o.e >= s.b - {secret_links.REACH})"
+    ident, secret = near % "'access', 'ident'", near % "'assign', 'hex', 'value'"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+s AS (SELECT doc_id, rank, kind, CAST(e - length(h) AS BIGINT) AS b, CAST(e AS BIGINT) AS e FROM m WHERE counts),
+k AS (SELECT *, kind || ':' || b || ':' || e AS w FROM s
+      WHERE rank < 3 OR kind = 'ident' AND {secret} OR kind = 'value' AND {ident} OR kind = 'endpoint' AND {ident} AND {secret})
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(w, ',' ORDER BY b, rank) FILTER (rank < 3), '')) AS base_sha256,
+       coalesce(string_agg(w, ',' ORDER BY b, rank), '') AS spans
+FROM d LEFT JOIN k USING (doc_id) GROUP BY doc_id
+"""
+
+
+ORACLES["op4_secret_links"] = _secret_sql()
+
+
 @query
 def op7_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_chunks.encoded_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
