@@ -60,3 +60,18 @@ def components(links: DataFrame, label: str = "components", rounds: int = 40) ->
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+#: Most ids that are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def small_or_shuffled(ids: DataFrame) -> DataFrame:
+    """``ids``, a stored table of one or two integers a row, marked for broadcast if it is counted to be small."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in the stored table ``ids(gone)``. A null doc_id equals null only."""
+    gone = small_or_shuffled(ids)
+    return docs.join(gone, docs["doc_id"].cast("bigint").eqNullSafe(gone["gone"]), "left_anti")

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import stored, whole_text, without_ids
 
 #: Digests that a summary keeps; also the greatest number of rows that are broadcast.
 COUNTERS = 1024
@@ -73,13 +73,17 @@ def exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns."""
+    """The rows of ``docs`` that stay, all columns. A row that the table holds twice, with the same doc_id, is one
+    document and stays once."""
+    copies = stored(exact_copies(docs, counters), "copies")
+    if copies.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return without_ids(docs, stored(copies.where("not kept").select(F.col("doc_id").alias("gone")), "gone"))
+    # Some doc_ids repeat: a row is then known by doc_id and text.
     names = docs.columns
-    stay = exact_copies(docs, counters).where("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"))
+    stay = copies.where("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"))
     marked = docs.withColumn("_digest_", F.unhex(F.sha2(whole_text(docs), 256)))
     found = marked.join(
         stay, marked["doc_id"].cast("bigint").eqNullSafe(stay["_id"]) & (marked["_digest_"] == stay["_digest"]), "left_semi"
     )
-    # A row that the table holds twice, with the same doc_id, is one document.
     at = Window.partitionBy(F.col("doc_id").cast("bigint"), "_digest_").orderBy(F.lit(1))
     return found.withColumn("_nth", F.row_number().over(at)).where("_nth = 1").select(*names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, length_histogram, piece_chunks, rans, secret_links
+from . import exact_dedup, length_histogram, near_dup, piece_chunks, rans, secret_links
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ FROM d LEFT JOIN k USING (doc_id) GROUP BY doc_id
 ORACLES["op4_secret_links"] = _secret_sql()
 
 
+@query
+def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_copies(documents(spark, sf_dir), width=3, percent=85, bands=40, rows=7)
+
+
 @query
 def op7_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_chunks.encoded_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
