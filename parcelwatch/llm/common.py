@@ -2,12 +2,41 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
+import parcelwatch
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwatch.sources.scratch import scratch_dir
 
 
+_shipped: set[str] = set()
+
+
+def mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the Python workers once per application."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    folder = Path(parcelwatch.__file__).parent
+    if app not in _shipped and folder.is_dir():
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for source in sorted(folder.rglob("*.py")):
+                z.write(source, source.relative_to(folder.parent))
+        path = f"{scratch_dir(spark, 'package')}/parcelwatch.zip"
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+        out.write(packed.getvalue())
+        out.close()
+        spark.sparkContext.addPyFile(path)
+        _shipped.add(app)
+    return df.mapInArrow(f, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text, without_ids
+from .common import mapped, stored, whole_text, without_ids
 
 #: Digests that a summary keeps; also the greatest number of rows that are broadcast.
 COUNTERS = 1024
@@ -38,7 +38,7 @@ def _summarise(counters: int):
 
 def frequent_digests(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """At most ``counters`` digests with their lower bounds; none with over 2 n / (counters + 1) rows is missing."""
-    parts = digests.select("digest").mapInArrow(_summarise(counters), "digest binary, n bigint")
+    parts = mapped(digests.select("digest"), _summarise(counters), "digest binary, n bigint")
     return parts.groupBy("digest").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "digest").limit(counters)
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import mapped, whole_text
 
 BLOCK = 1024
 
@@ -43,7 +43,7 @@ def token_lengths(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 counts[n] = counts.get(n, 0) + 1
             yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(list(counts), pa.int64()), "docs": pa.array(list(counts.values()), pa.int64())})
 
-    return docs.select(whole_text(docs).alias("text")).mapInArrow(run, "n_tokens bigint, docs bigint")
+    return mapped(docs.select(whole_text(docs).alias("text")), run, "n_tokens bigint, docs bigint")
 
 
 def length_histogram(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, small_or_shuffled, stored, whole_text, without_ids
+from .common import components, mapped, small_or_shuffled, stored, whole_text, without_ids
 from .shingles import Shingler, band_keys, signatures
 
 SMALL = 4
@@ -148,7 +148,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     null doc_id is never the smallest beside another. An empty table gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-    signed = stored(texts.mapInArrow(_sign(width, bands, rows), "doc_id bigint, n bigint, print binary, keys array<bigint>"), "signatures")
+    signed = stored(mapped(texts, _sign(width, bands, rows), "doc_id bigint, n bigint, print binary, keys array<bigint>"), "signatures")
     classes = (
         signed.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"))
     )
@@ -164,7 +164,8 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
 
     needed = stored(hits.select("node").distinct().join(classes.select("node", "doc_id", "print"), "node"), "needed")
     wanted = small_or_shuffled(needed.select(F.col("doc_id").alias("_id")))
-    sets = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]), "left_semi").select("text").mapInArrow(_full_sets(width), "print binary, shingles binary")
+    sets = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]), "left_semi").select("text")
+    sets = mapped(sets, _full_sets(width), "print binary, shingles binary")
     sets = sets.join(needed.select("print", "node"), "print").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
     sets = stored(sets, "sets")
 
@@ -177,7 +178,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     pairs = pairs.union(to_lead).distinct()
     pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    links = stored(pairs.mapInArrow(_confirm(percent), "a bigint, b bigint"), "links")
+    links = stored(mapped(pairs, _confirm(percent), "a bigint, b bigint"), "links")
 
     groups = stored(components(links), "groups")
     marked = many.select("key", "lead", "node", "n").join(groups.withColumnRenamed("component", "group"), "node", "left")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import mapped, whole_text
 
 MARK = "▁"
 
@@ -110,4 +110,4 @@ def encoded_pieces(docs: DataFrame, model: str, with_ids: bool = False) -> DataF
                 out.append([*row, np.frombuffer(ids, "<u4").tolist(), decoded] if with_ids else row)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text")).mapInArrow(run, names)
+    return mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text")), run, names)

@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType
 
 from parcelwatch.sources.scratch import scratch_dir
 
-from .common import whole_text
+from .common import mapped, whole_text
 from .word_ids import word_ids
 
 SEGMENT = 1 << 21
@@ -198,7 +198,7 @@ def write_ids(docs: DataFrame, tokenizer: str, to: str, end_id: int = 1) -> None
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
     )
-    ordered.mapInArrow(_writer(tokenizer, end_id), SCHEMA).write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).parquet(to)
+    mapped(ordered, _writer(tokenizer, end_id), SCHEMA).write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).parquet(to)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -265,7 +265,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     segments = read_segments(spark, path)
     sizes = segments.groupBy("part").agg(F.sum("n_ids").alias("size"))
     starts = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("base"))
-    pieces = segments.mapInArrow(_reader, "part int, doc_row bigint, doc_id bigint, place bigint, n bigint, crc bigint")
+    pieces = mapped(segments, _reader, "part int, doc_row bigint, doc_id bigint, place bigint, n bigint, crc bigint")
     whole = pieces.groupBy("part", "doc_row").agg(
         F.first("doc_id").alias("doc_id"),
         F.min("place").alias("place"),
