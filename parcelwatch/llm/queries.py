@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, length_histogram, near_dup, piece_chunks, rans, secret_links
+from . import exact_dedup, language, length_histogram, near_dup, piece_chunks, rans, secret_links
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_chunks.encoded_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(documents(spark, sf_dir))
