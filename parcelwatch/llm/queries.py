@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, length_histogram, near_dup, piece_chunks, rans, secret_links
+from . import exact_dedup, language, length_histogram, near_dup, piece_chunks, rans, secret_links, template_leaks
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op7_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(documents(spark, sf_dir))
+
+
+@query
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_leaks.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
