@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, length_histogram, near_dup, piece_chunks, rans, secret_links, template_leaks
+from . import exact_dedup, language, length_histogram, near_dup, piece_chunks, quality, rans, secret_links, template_leaks
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template_leaks.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.quality_scores(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
