@@ -89,25 +89,30 @@ def piece_chunks(path: str) -> PieceChunks:
 
 
 def encoded_pieces(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row; ``with_ids`` adds ids and decoded text.
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row; ``with_ids`` adds the ids.
 
     Null text counts as empty and gives the begin and end ids alone. Other columns are not read.
     """
-    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    names = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    if with_ids:
-        fields += [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-        names += ", ids array<int>, decoded string"
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(part: pa.RecordBatch) -> pa.RecordBatch:
         pieces = piece_chunks(model)
+        ids = [pieces.ids(t.as_py()) for t in part.column(1)]
+        columns = [
+            part.column(0),
+            pa.array([len(i) // 4 for i in ids], pa.int64()),
+            pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
+            pa.array([hashlib.sha256(pieces.decode(i).encode()).hexdigest() for i in ids]),
+        ]
+        if with_ids:
+            offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = pieces.ids(text.as_py())
-                decoded = pieces.decode(ids)
-                row = [doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
-                out.append([*row, np.frombuffer(ids, "<u4").tolist(), decoded] if with_ids else row)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
-
-    return mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text")), run, names)
+            for at in range(0, batch.num_rows, 256):
+                yield encoded(batch.slice(at, 256))
+
+    return mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text")), run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, length_histogram, near_dup, piece_chunks, quality, rans, secret_links, template_leaks
+from . import exact_dedup, language, length_histogram, license_scan, near_dup, piece_chunks, quality, rans, secret_links, template_leaks
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,39 @@ FROM d LEFT JOIN k USING (doc_id) GROUP BY doc_id
 ORACLES["op4_secret_links"] = _secret_sql()
 
 
+@query
+def op5_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(documents(spark, sf_dir))
+
+
+def _license_sql() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quote(n)}, {quote(t)})" for i, (n, t) in enumerate(license_scan.TEMPLATES))
+    normal = "regexp_replace(lower(%s), '[^\\p{L}\\p{N}\\n]+', ' ', 'g')"
+    grams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
+    words = "list_filter(string_split(replace(%s, chr(10), ' '), ' '), lambda x: x <> '')"
+    return f"""
+WITH t AS (SELECT i, n, {grams} AS g FROM (SELECT i, n, {words % (normal % 'x')} AS w FROM (VALUES {rows}) v(i, n, x))),
+d AS (SELECT doc_id, {normal % "coalesce(text, '')"} AS x FROM documents),
+l AS (SELECT doc_id, x, unnest(string_split(x, chr(10))) AS u, unnest(range(len(string_split(x, chr(10))))) AS nth FROM d),
+p AS (SELECT doc_id, x, unnest(s) AS u, unnest(range(len(s))) AS nth, len(s) AS k FROM (SELECT *, string_split_regex(x, '\n *\n[ \n]*') AS s FROM d)),
+u AS (SELECT doc_id, 0 AS o, 'line' AS unit, nth, u FROM l UNION ALL
+      SELECT doc_id, 1, 'paragraph', nth, u FROM p WHERE contains(trim(u), chr(10)) UNION ALL
+      SELECT doc_id, 2, 'text', 0, x FROM p WHERE nth = 0 AND k > 1),
+w AS (SELECT * EXCLUDE (u), {words % 'u'} AS w FROM u),
+b AS (SELECT * EXCLUDE (w), {grams} AS g FROM w WHERE len(w) > 1),
+m AS (SELECT doc_id, o, unit, nth, n, i, CAST(2000 * len(list_intersect(b.g, t.g)) // (len(b.g) + len(t.g)) AS INTEGER) AS permille
+      FROM b JOIN t ON len(list_intersect(b.g, t.g)) * 2 >= 0.8 * (len(b.g) + len(t.g))),
+k AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, o, nth ORDER BY permille DESC, i) = 1)
+SELECT doc_id, CAST(count(n) AS INTEGER) AS n_matches, coalesce(string_agg(DISTINCT n, ',' ORDER BY n), '') AS licenses, max(permille) AS best,
+       coalesce(string_agg(unit || ':' || nth || ':' || n || ':' || permille, ',' ORDER BY o, nth), '') AS matches
+FROM d LEFT JOIN k USING (doc_id) GROUP BY doc_id
+"""
+
+
+ORACLES["op5_license_dice"] = _license_sql()
+
+
 @query
 def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_copies(documents(spark, sf_dir), width=3, percent=85, bands=40, rows=7)
