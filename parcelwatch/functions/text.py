@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +17,15 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 BLANK_TEXTS = ("", "nan", "none")
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_SCIENTIFIC = r"^[+-]?(\d*)\.?(\d*)[eE]([+-]?\d+)$"
 _PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` evaluated once and written once into the plan, however often ``use`` names it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim all Unicode whitespace (``F.trim`` alone removes only spaces).
 
@@ -25,8 +33,12 @@ def strip(c: Column) -> Column:
     taken as it is.
     """
     one = F.lit(1)
-    ends = F.left(c, one).between("!", "~") & F.right(c, one).between("!", "~")
-    return F.when(ends, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
+
+    def trimmed(s: Column) -> Column:
+        ends = F.left(s, one).between("!", "~") & F.right(s, one).between("!", "~")
+        return F.when(ends, s).otherwise(F.btrim(s, F.lit(WHITESPACE)))
+
+    return let(c, trimmed)
 
 
 def strip_sql(text: str) -> str:
@@ -42,7 +54,7 @@ def is_blank(c: Column) -> Column:
 
 def key_text(c: Column) -> Column:
     """Stripped key, NULL when blank."""
-    return F.when(~is_blank(c), strip(c.cast("string")))
+    return let(strip(c.cast("string")), lambda s: F.when(~F.lower(s).isin(*BLANK_TEXTS), s))
 
 
 def text_or_blank(df: DataFrame, name: str) -> Column:
@@ -76,10 +88,12 @@ def as_int(df: DataFrame, name: str) -> Column:
         n = c.try_cast("bigint")
     else:
         # The guard keeps out texts such as '5d', which the SQL cast would accept.
-        s = strip(c.cast("string"))
-        n = F.coalesce(
-            s.try_cast("bigint"),
-            F.when(s.rlike(_NUMBER), s.try_cast("double").try_cast("bigint")),
+        n = let(
+            strip(c.cast("string")),
+            lambda s: F.coalesce(
+                s.try_cast("bigint"),
+                F.when(s.rlike(_NUMBER), s.try_cast("double").try_cast("bigint")),
+            ),
         )
     return F.coalesce(n, F.lit(0).cast("bigint"))
 
@@ -87,23 +101,37 @@ def as_int(df: DataFrame, name: str) -> Column:
 def clean_tracking_number(c: Column) -> Column:
     """Publishable tracking number: blanks become '', numeric texts become integers.
 
-    Plain numbers are cut by digits, so values of any length stay exact; only
-    scientific notation goes through decimal arithmetic.
+    Digits are cut and shifted as text, so values of any length stay exact. A number
+    beyond the range of a double stays text.
     """
-    s = strip(c.cast("string"))
-    n = F.replace(s, F.lit(","), F.lit(""))
-    sign = F.when(n.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_extract(n, r"^[+-]?0*(\d*)", 1)
-    plain = F.when(digits == "", F.lit("0")).otherwise(F.concat(sign, digits))
-    dec = n.try_cast("decimal(38,9)")
-    scientific = F.when(dec < 0, F.ceil(dec)).otherwise(F.floor(dec)).cast("string")
-    as_text = F.when(s.endswith(".0"), F.substring(s, F.lit(1), F.length(s) - 2)).otherwise(s)
-    return (
-        F.when(is_blank(c), F.lit(""))
-        .when(n.rlike(_PLAIN_NUMBER), plain)
-        .when(n.rlike(_NUMBER), F.coalesce(scientific, as_text))
-        .otherwise(as_text)
-    )
+
+    def whole(n: Column, digits: Column) -> Column:
+        sign = F.when(n.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+        return let(
+            F.ltrim(digits, F.lit("0")),
+            lambda d: F.when(d == "", F.lit("0")).otherwise(F.concat(sign, d)),
+        )
+
+    def shifted(n: Column) -> Column:
+        """The digits before the point of a number in scientific notation."""
+        before, after = (F.regexp_extract(n, _SCIENTIFIC, i) for i in (1, 2))
+        by = F.regexp_extract(n, _SCIENTIFIC, 3).try_cast("int")
+        up = let(by, lambda e: F.concat(before, F.rpad(F.left(after, e), e, F.lit("0"))))
+        down = F.left(before, F.greatest(F.length(before) + by, F.lit(0)))
+        return F.when(by > 0, up).otherwise(down)
+
+    def cleaned(s: Column) -> Column:
+        as_text = F.when(s.endswith(".0"), F.substring(s, F.lit(1), F.length(s) - 2)).otherwise(s)
+        finite = let(s, lambda t: F.abs(F.replace(t, F.lit(","), F.lit("")).try_cast("double")) < float("inf"))
+        number = let(
+            F.replace(s, F.lit(","), F.lit("")),
+            lambda n: F.when(n.rlike(_PLAIN_NUMBER), whole(n, F.regexp_extract(n, r"^[+-]?(\d*)", 1))).when(
+                n.rlike(_NUMBER) & finite, whole(n, shifted(n))
+            ),
+        )
+        return F.when(F.coalesce(F.lower(s).isin(*BLANK_TEXTS), F.lit(True)), F.lit("")).otherwise(F.coalesce(number, as_text))
+
+    return let(strip(c.cast("string")), cleaned)
 
 
 def carrier_name(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwatch.functions.text import strip
+from parcelwatch.functions.text import let, strip
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -69,12 +69,15 @@ def parse_date(
         return c
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
-    s = strip(c.cast("string"))
-    iso = F.when(
-        s.rlike(f"^{_DAY}([T ]{_CLOCK} ?{_ZONE}?)?$"),
-        F.regexp_extract(s, f"^({_DAY})", 1).try_cast("date"),
-    )
-    return F.coalesce(iso, *(F.try_to_timestamp(s, F.lit(f)).cast("date") for f in formats))
+
+    def read(s: Column) -> Column:
+        iso = F.when(
+            s.rlike(f"^{_DAY}([T ]{_CLOCK} ?{_ZONE}?)?$"),
+            F.regexp_extract(s, f"^({_DAY})", 1).try_cast("date"),
+        )
+        return F.coalesce(iso, *(F.try_to_timestamp(s, F.lit(f)).cast("date") for f in formats))
+
+    return let(strip(c.cast("string")), read)
 
 
 def prior_week_range(ref: dt.date | None = None) -> tuple[dt.date, dt.date]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelwatch.functions import payload as P
 from parcelwatch.functions.text import key_text, strip_sql
-from parcelwatch.operators.lookup import carrier_map, replay_lookup
+from parcelwatch.operators.lookup import carrier_map, pointers_and_bodies, replay_lookup
 from parcelwatch.schema import TRACKING_NUMBER, col
 
 # Numbers per request, and envelope keys in unwrap order.
@@ -26,7 +26,7 @@ def global_rank(df: DataFrame, order: str) -> DataFrame:
     no window ever spans more than 65,536 rows however the values are spread, and
     nothing is sampled or brought to the driver.
     """
-    o = col(order).cast("bigint")
+    o = F.coalesce(col(order).cast("bigint"), F.raise_error(F.lit(f"{order} must not be NULL")).cast("bigint"))
     cut = {f"_d{i}": F.shiftright(o, _BITS * i) for i in (1, 2, 3)}
     keyed = df.withColumns(cut)
     fine = keyed.groupBy("_d3", "_d2", "_d1").agg(F.count(F.lit(1)).alias("n"))
@@ -160,7 +160,8 @@ def split_batch_response(responses: DataFrame) -> DataFrame:
 def batch_result_or_body(requested: DataFrame, responses: DataFrame) -> DataFrame:
     """Payload of each requested (``batch``, ``tracking_number``).
 
-    Its own result, else the whole response of its batch, else an empty object. A
+    Its own result, else the whole response of its batch, whatever that is (one that is
+    no object cannot be read, so its rows keep what they have), else an empty object: a
     batch without a response row (no access token, failed call) gives empty objects.
     """
     split = split_batch_response(responses)
@@ -174,7 +175,7 @@ def batch_result_or_body(requested: DataFrame, responses: DataFrame) -> DataFram
         .select(
             "batch",
             "tracking_number",
-            F.coalesce("payload", F.expr(f"CASE WHEN {P.is_object('body')} THEN body END"), empty).alias("payload"),
+            F.coalesce("payload", "body", empty).alias("payload"),
         )
     )
 
@@ -209,18 +210,16 @@ def map_number_to_body(bodies: DataFrame, order: list[str]) -> DataFrame:
 
     Like the replay index this moves numbers only; the bodies are fetched at the end.
     """
-    unwrapped = bodies.withColumn("body", F.expr(unwrap_envelope()))
     results = P.variant_at("body", _RESULTS, "array<variant>")
     number = strip_sql(P.variant_at("res", "$.trackingNumber", "string"))
     own = F.expr(f"array_distinct(filter(transform({results}, res -> {number}), key -> key <> ''))")
-    last = (
-        unwrapped.select(*order, F.explode_outer(own).alias("tracking_number"))
-        .filter(F.col("tracking_number").isNotNull())
-        .groupBy("tracking_number")
-        .agg(F.max(F.struct(*order)).alias("last"))
-        .select("tracking_number", "last.*")
-    )
-    return last.join(unwrapped, order).select("tracking_number", *order, "body")
+
+    def numbers(marked: DataFrame, keys: list[str]) -> DataFrame:
+        return marked.select(*keys, F.explode_outer(own).alias("tracking_number")).filter(F.col("tracking_number").isNotNull())
+
+    unwrapped = bodies.withColumn("body", F.expr(unwrap_envelope()))
+    last, found = pointers_and_bodies(unwrapped, order, numbers)
+    return last.join(found, "digest").select("tracking_number", *order, "body")
 
 
 __all__ = [

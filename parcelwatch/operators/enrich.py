@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from parcelwatch.functions.text import carrier_name, key_text, text_or_blank
+from parcelwatch.functions.text import as_int, carrier_name, key_text, text_or_blank
 from parcelwatch.operators.lookup import _left_by_key
 from parcelwatch.schema import (
     ANCILLARY,
@@ -60,11 +61,12 @@ def enrich(rows: DataFrame, facts: DataFrame | None) -> DataFrame:
     new[ANCILLARY] = F.when(written, F.coalesce(fact("ancillary"), F.lit(""))).otherwise(kept(ANCILLARY))
     new[LATEST_TS] = F.when(written & (fact("latest_ts") != ""), fact("latest_ts")).otherwise(kept(LATEST_TS))
     new[SCAN_COUNT] = F.when(written, F.coalesce(fact("scan_count"), F.lit(0))).otherwise(
-        F.coalesce(col(SCAN_COUNT).try_cast("bigint"), F.lit(0)) if has(rows, SCAN_COUNT) else F.lit(0)
+        as_int(rows, SCAN_COUNT)
     ).cast("bigint")
-    new[SCAN_TIMES] = F.coalesce(
-        F.when(written, fact("scan_times")), F.array().cast("array<string>")
-    )
+    none = F.array().cast("array<string>")
+    listed = has(rows, SCAN_TIMES) and isinstance(rows.schema[SCAN_TIMES].dataType, ArrayType)
+    old_times = col(SCAN_TIMES).cast("array<string>") if listed else none
+    new[SCAN_TIMES] = F.coalesce(F.when(written, fact("scan_times")).otherwise(old_times), none)
     order = [*rows.columns, *(n for n in new if n not in rows.columns)]
     return joined.select(*(new[n].alias(n) if n in new else col(n) for n in order))
 

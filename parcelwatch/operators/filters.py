@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
-from parcelwatch.functions.text import as_int
+from parcelwatch.functions.text import as_int, let
 from parcelwatch.functions.times import DATE_FORMATS, parse_date, prior_week_range
 from parcelwatch.operators.shaping import drop_first_column
 from parcelwatch.schema import DELIVERY_STATUS, PROMISED_DATE, col, has
@@ -22,9 +23,15 @@ def in_prior_week(
     """Promised date inside the week before ``ref``; TRUE when there is no such column."""
     if not has(df, PROMISED_DATE):
         return F.lit(True)
-    first, last = prior_week_range(ref)
-    day = parse_date(col(PROMISED_DATE), df.schema[PROMISED_DATE].dataType, formats)
-    return F.coalesce(day.between(F.lit(first), F.lit(last)), F.lit(False))
+    return F.coalesce(_promised_between(df, *prior_week_range(ref), formats), F.lit(False))
+
+
+def _promised_between(df: DataFrame, first: dt.date, last: dt.date, formats: Sequence[str]) -> Column:
+    kind = df.schema[PROMISED_DATE].dataType
+    day = parse_date(col(PROMISED_DATE), kind, formats)
+    if isinstance(kind, DateType):  # as it stands, it reaches the file scan
+        return day.between(F.lit(first), F.lit(last))
+    return let(day, lambda d: d.between(F.lit(first), F.lit(last)))
 
 
 def not_delivered(df: DataFrame) -> Column:
@@ -43,9 +50,7 @@ def filter_prior_week(
 ) -> DataFrame:
     if not enabled or not has(df, PROMISED_DATE):
         return df
-    first, last = prior_week_range(ref)
-    day = parse_date(col(PROMISED_DATE), df.schema[PROMISED_DATE].dataType, formats)
-    return df.filter(day.between(F.lit(first), F.lit(last)))
+    return df.filter(_promised_between(df, *prior_week_range(ref), formats))
 
 
 def filter_not_delivered(df: DataFrame) -> DataFrame:

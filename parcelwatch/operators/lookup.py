@@ -62,6 +62,22 @@ def replay_index(bodies: DataFrame, order: Sequence[str]) -> DataFrame:
     return last.select("tracking_number", *(F.col("last")[c].alias(c) for c in order))
 
 
+def pointers_and_bodies(
+    bodies: DataFrame, order: Sequence[str], numbers: Callable[[DataFrame, list[str]], DataFrame] = body_numbers
+) -> tuple[DataFrame, DataFrame]:
+    """(tracking_number, order columns, digest) of the last body of each number, and (digest, body) of those bodies.
+
+    Bodies meet by a digest of their content, not by their place, which another scan of the
+    same files may tell differently.
+    """
+    marked = bodies.withColumn("digest", F.sha2(F.to_json("body"), 256))
+    keys = [*order, "digest"]
+    last = numbers(marked, keys).groupBy("tracking_number").agg(F.max(_recency(keys)).alias("last"))
+    last = last.select("tracking_number", *(F.col("last")[c].alias(c) for c in keys))
+    found = marked.select("digest", "body").join(last.select("digest").distinct(), "digest", "left_semi")
+    return last, found.groupBy("digest").agg(F.any_value("body").alias("body"))
+
+
 def replay_lookup(
     rows: DataFrame,
     bodies: DataFrame,
@@ -74,13 +90,11 @@ def replay_lookup(
     identify a body. Rows grow by whole documents here; enrichment uses facts instead.
     """
     probe = key_text(col(TRACKING_NUMBER) if key is None else key)
-    place = F.to_json(_recency(order))
     # Two joins, the first with pointers only, so that a body is shuffled once and not
-    # once for each of its numbers.
-    pointers = replay_index(bodies, order).select(
-        F.col("tracking_number").alias("_tn"), place.alias("_place")
-    )
-    docs = bodies.select(place.alias("_tn"), "body")
+    # once for each of its numbers, and only bodies that some number points to.
+    pointers, docs = pointers_and_bodies(bodies, order)
+    pointers = pointers.select(F.col("tracking_number").alias("_tn"), F.col("digest").alias("_place"))
+    docs = docs.withColumnRenamed("digest", "_tn")
     pointed = _left_by_key(rows.withColumn("_key", probe), pointers).drop("_tn")
     looked_up = pointed.withColumnsRenamed({"_key": "_number", "_place": "_key"})
     wanted = F.col("_number").isNotNull()

@@ -223,7 +223,7 @@ ORACLES: dict[str, str] = {
     "sink_bodies": f"""WITH {_FACT}, body AS (SELECT DISTINCT capture, part, 0 AS is_flat FROM fact WHERE kind < 4
         UNION ALL SELECT capture, user_id, 1 FROM fact WHERE kind = 4)
         SELECT capture % 2 AS batch, CAST(is_flat AS BIGINT) AS is_flat, COUNT(*) AS bodies FROM body GROUP BY 1, 2""",
-    "read_bodies": f"WITH {_FACT}, {_LAST_APPENDED} SELECT tracking_number, code, status_by_locale FROM last WHERE kind = 4",
+    "read_bodies": f"WITH {_FACT}, {_LAST_APPENDED} SELECT tracking_number, code, status_by_locale FROM last",
     "sink_views": f"""{_judged()}
         SELECT v.view, row_id, {_CLEAN} AS tracking_number FROM judged, (VALUES ('all_issues'), ('pretransit'),
          ('stalled'), ('damaged_or_returned')) AS v(view)
@@ -231,7 +231,8 @@ ORACLES: dict[str, str] = {
          WHEN 'stalled' THEN is_stalled = 1 ELSE damaged = 1 OR is_rts = 1 END""",
     "sink_sidecar": f"""{_enriched()}
         SELECT COALESCE({_key("carrier_code")}, 'None') AS carrier, k AS tracking_number,
-         arg_max(code, row_id) AS code, arg_max(description, row_id) AS description
+         arg_max(code, row_id) AS code, arg_max(derived_code, row_id) AS derived_code,
+         arg_max(status_by_locale, row_id) AS status_by_locale, arg_max(description, row_id) AS description
         FROM enriched WHERE k IS NOT NULL GROUP BY 1, 2""",
     "run_marker": f"""{_judged()} SELECT (SELECT COUNT(*) FROM ship) AS input_rows,
         (SELECT COUNT(*) FROM judged) AS output_rows, CAST(6 AS BIGINT) AS input_cols, CAST(24 AS BIGINT) AS output_cols""",
@@ -309,8 +310,9 @@ ORACLES: dict[str, str] = {
     "split_batch_response": _facts(f"{_BATCH}, tracking_number, scan_count", _TN_DEEP),
     "batch_result_or_body": f"""WITH {_FACT}, deep AS (SELECT capture, part, COUNT(*) FILTER (WHERE kind < 4) AS n
         FROM fact GROUP BY 1, 2) SELECT capture * 1000000 + part AS batch, tracking_number,
-        CASE WHEN part % 2 = 1 OR n = 0 THEN 'none' WHEN kind < 4 THEN 'own' ELSE 'whole' END AS source
-        FROM fact JOIN deep USING (capture, part)""",
+        CASE WHEN n = 0 THEN 'none' WHEN kind < 4 THEN 'own' ELSE 'whole' END AS source
+        FROM fact JOIN deep USING (capture, part)
+        UNION ALL SELECT DISTINCT CAST(-1 AS BIGINT), tracking_number, 'none' FROM fact""",
     "batch_then_single": f"""WITH {_SHIP}, {_FACT}, {_LAST},
         keyed AS (SELECT DISTINCT {_key("tracking_number")} AS k FROM ship)
         SELECT k AS tracking_number, COALESCE(derived_code, '') AS derived_code,
@@ -412,10 +414,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'stalled', COUNT(*) FROM judged WHERE is_stalled = 1
         UNION ALL SELECT 'damaged_or_returned', COUNT(*) FROM judged WHERE damaged = 1 OR is_rts = 1
         UNION ALL SELECT 'marker', CAST(1 AS BIGINT)""",
-    "tn_snapshot": f"""{_judged()}, firsts AS (SELECT tracking_number, arg_min(idle_days, row_id) AS d,
-        arg_min(calculated_reasons, row_id) AS r, arg_min(is_stalled, row_id) AS s FROM judged GROUP BY 1)
+    "tn_snapshot": f"""{_judged()}, firsts AS (SELECT k AS tracking_number, arg_min(idle_days, row_id) AS d,
+        arg_min(calculated_reasons, row_id) AS r, arg_min(is_stalled, row_id) AS s FROM judged WHERE k IS NOT NULL GROUP BY 1)
         SELECT CAST(c_custkey AS STRING) AS tracking_number, CAST(d AS DOUBLE) AS days, r AS reasons, s AS stalled
         FROM customer LEFT JOIN firsts ON tracking_number = CAST(c_custkey AS STRING)""",
-    "sidecar": f"""{_enriched()} SELECT DISTINCT COALESCE({_key("carrier_code")}, 'None') AS carrier,
-        k AS tracking_number FROM enriched WHERE k IS NOT NULL""",
 }

@@ -10,12 +10,14 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from parcelwatch.functions.text import clean_tracking_number
 from parcelwatch.functions.times import DATE_FORMATS, aware_now
+from parcelwatch.operators.batches import batch_result_or_body, last_batch_payload, number_batches
 from parcelwatch.operators.enrich import enrich
 from parcelwatch.operators.filters import preprocess
 from parcelwatch.operators.indicators import DEFAULT_STALLED_DAYS, apply_indicators
 from parcelwatch.operators.labels import apply_labels
-from parcelwatch.operators.lookup import replay_facts
+from parcelwatch.operators.lookup import Normalizer, payload_facts, replay_facts, replay_index, replay_lookup
 from parcelwatch.operators.metrics import with_idle_days
 from parcelwatch.operators.shaping import column_contract, publishable, reasons_not_null
 from parcelwatch.schema import IDLE_DAYS, REASONS, TRACKING_NUMBER, col
@@ -36,9 +38,16 @@ class Settings:
 
 
 def process_shipments(
-    shipments: DataFrame, facts: DataFrame | None = None, settings: Settings = Settings()
+    shipments: DataFrame,
+    facts: DataFrame | None = None,
+    settings: Settings = Settings(),
+    *,
+    observe: dict[str, Observation] | None = None,
 ) -> DataFrame:
-    """Prepare, enrich and judge shipments: one lazy plan whose only join is the lookup."""
+    """Prepare, enrich and judge shipments: one lazy plan whose only join is the lookup.
+
+    ``observe`` is filled with one row count per stage of preparation (see ``preprocess``).
+    """
     now = aware_now(settings.reference_now)
     return (
         preprocess(
@@ -46,6 +55,7 @@ def process_shipments(
             settings.reference_date,
             date_filter=settings.date_filter,
             formats=settings.date_formats,
+            observe=observe,
         )
         .transform(column_contract)
         .transform(enrich, facts)
@@ -67,15 +77,14 @@ def run_marker(
     input_shape: tuple[int, int],
     output_shape: tuple[int, int],
 ) -> DataFrame:
-    """The audit row of a run."""
+    """The audit row of a run. ``bodies_path`` is where the run saved bodies, NULL if it saved none."""
 
     def split(path: str) -> tuple[str, str]:
         parent, _, name = path.rstrip("/").rpartition("/")
         return parent, name
 
     return spark.range(1).select(
-        # Fixed value: the name and content of the column that marks the table.
-        F.lit("ok").alias("_oss_marker"),
+        F.lit("ok").alias("run_marker"),
         F.lit(split(input_path)[1]).alias("input_name"),
         F.lit(split(input_path)[0]).alias("input_dir"),
         F.lit(split(output_path)[1]).alias("output_name"),
@@ -126,23 +135,30 @@ def process_and_publish(
     settings: Settings = Settings(),
     has_credentials: bool = False,
     sidecar_order: str | None = None,
+    facts: DataFrame | None = None,
+    normalizer: Normalizer | None = None,
 ) -> dict[str, Any]:
     """Run the job and publish ``all_shipments``, ``processed``, the views and the ``marker``.
 
-    With ``sidecar_order``, the column that orders the input rows, the status of every
+    Facts come from replayed bodies, read by ``normalizer`` if that is given, or are handed in
+    as ``facts``, such as those of ``response_facts``. The summary has the rows after each
+    stage of preparation. With ``sidecar_order``, the column that orders the input rows, the status of every
     (carrier, tracking number) is also published as ``sidecar``. The input is scanned for the raw copy and once more for the processed table; the
     views are cut from the written processed table. Row counts ride on the writes.
     """
     out_dir = out_dir.rstrip("/")
     shipments = src_shipments(spark, input_path, input_format, must_exist=True)
-    facts = None
     if bodies_path is not None:
-        facts = replay_facts(src_bodies(spark, bodies_path, bodies_layout), BODY_ORDER)
+        bodies = src_bodies(spark, bodies_path, bodies_layout)
+        facts = replay_facts(bodies, BODY_ORDER) if normalizer is None else replayed_pairs_facts(bodies, BODY_ORDER, normalizer)
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
 
     def write(df: DataFrame, name: str) -> int:
         if not df.columns:
-            # A table without columns has no file form; only its row count is kept.
+            # A table without columns has no file form; only its row count is kept, and no
+            # earlier run's table stays in its place.
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{name}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
             return df.count()
         seen = Observation(name)
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
@@ -151,7 +167,8 @@ def process_and_publish(
         return seen.get["rows"]
 
     rows_in = write(publishable(shipments), "all_shipments")
-    processed = process_shipments(shipments, facts, settings)
+    stages: dict[str, Observation] = {}
+    processed = process_shipments(shipments, facts, settings, observe=stages)
     rows_out = write(processed, "processed")
     written = spark.read.parquet(f"{out_dir}/processed")
     views = sink_views(written, out_dir)
@@ -161,7 +178,7 @@ def process_and_publish(
         spark,
         input_path=input_path,
         output_path=out_dir,
-        bodies_path=bodies_path,
+        bodies_path=None,  # replayed bodies are not saved again
         has_credentials=has_credentials,
         timestamp=stamp,
         input_shape=(rows_in, len(shipments.columns)),
@@ -174,6 +191,7 @@ def process_and_publish(
         "timestamp_utc": stamp,
         "output_cols": list(processed.columns),
         "output_shape": (rows_out, len(processed.columns)),
+        "stage_rows": {"input": rows_in, **{name: seen.get["rows"] for name, seen in stages.items()}},
     }
 
 
@@ -182,11 +200,10 @@ def tn_snapshot(processed: DataFrame, numbers: DataFrame, order: str) -> DataFra
 
     ``numbers`` has a column ``tracking_number``; a number without rows gives NULLs.
     """
-    wanted = numbers.select("tracking_number").distinct()
+    wanted = numbers.select("tracking_number", clean_tracking_number(F.col("tracking_number")).alias("_clean")).distinct()
     first = (
-        processed.withColumn("tracking_number", col(TRACKING_NUMBER))
-        .join(wanted, "tracking_number", "left_semi")
-        .groupBy("tracking_number")
+        only_listed(processed.withColumn("_clean", clean_tracking_number(col(TRACKING_NUMBER))), wanted)
+        .groupBy("_clean")
         .agg(
             F.min_by(
                 F.struct(
@@ -198,4 +215,38 @@ def tn_snapshot(processed: DataFrame, numbers: DataFrame, order: str) -> DataFra
             ).alias("s")
         )
     )
-    return wanted.join(first, "tracking_number", "left").select("tracking_number", "s.*")
+    return wanted.join(first, "_clean", "left").select("tracking_number", "s.*")
+
+
+def only_listed(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose cleaned number ``_clean`` is listed."""
+    return rows.join(wanted.select("_clean"), "_clean", "left_semi")
+
+
+def snapshot_of(
+    shipments: DataFrame, facts: DataFrame | None, numbers: DataFrame, order: str, settings: Settings = Settings()
+) -> DataFrame:
+    """``tn_snapshot`` of the job's result, for which only the listed shipments are enriched and judged."""
+    wanted = numbers.select(clean_tracking_number(F.col("tracking_number")).alias("_clean")).distinct()
+    listed = only_listed(shipments.withColumn("_clean", clean_tracking_number(col(TRACKING_NUMBER))), wanted)
+    listed = listed.select(*(col(c) for c in shipments.columns))
+    return tn_snapshot(process_shipments(listed, facts, settings), numbers, order)
+
+
+def replayed_pairs_facts(bodies: DataFrame, order: Sequence[str], normalizer: Normalizer) -> DataFrame:
+    """Facts of the last body of every number, with the status read by ``normalizer``."""
+    numbers = replay_index(bodies, order).select(F.col("tracking_number").alias(TRACKING_NUMBER))
+    pairs = replay_lookup(numbers, bodies, order).select(F.col(f"`{TRACKING_NUMBER}`").alias("tracking_number"), "body")
+    return payload_facts(pairs, normalizer=normalizer)
+
+
+def response_facts(
+    shipments: DataFrame, responses: DataFrame, order: str, *, normalizer: Normalizer | None = None
+) -> DataFrame:
+    """Facts from the carrier's responses (``batch``, ``body``) to ``request_batches(shipments, order)``.
+
+    A number that was requested in several batches has the facts of the last one.
+    """
+    requested = number_batches(shipments, order).select("batch", "tracking_number")
+    pairs = last_batch_payload(batch_result_or_body(requested, responses))
+    return payload_facts(pairs.select("tracking_number", F.col("payload").alias("body")), normalizer=normalizer)

@@ -22,13 +22,13 @@ from parcelwatch.plans.process import (
     process_and_publish,
     process_shipments,
     shape_counts,
-    tn_snapshot,
+    snapshot_of,
 )
 from parcelwatch.schema import FLAGS, LABEL, REASONS, STATUS_FIELDS, col
 from parcelwatch.sources import bodies as body_files
 from parcelwatch.sources.scratch import scratch_dir
 from parcelwatch.sources.shipments import src_shipments
-from parcelwatch.sources.views import sidecar, sink_sidecar, sink_views
+from parcelwatch.sources.views import sink_sidecar, sink_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,11 +136,10 @@ def q_sink_bodies(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_read_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """Facts of the flat users from an appended dump: the later append wins."""
+    """Facts from an appended dump: the later append wins."""
     read = body_files.read_bodies(spark, _append_in_two(spark, sf))
     facts = lookup.replay_facts(read, body_files.BODY_ORDER)
-    flat = F.col("tracking_number").cast("bigint") % 5 == 4
-    return facts.filter(flat).select("tracking_number", "code", F.col("statusByLocale").alias("status_by_locale"))
+    return facts.select("tracking_number", "code", F.col("statusByLocale").alias("status_by_locale"))
 
 
 def _facts(spark: SparkSession, sf: str, **options: bool) -> DataFrame:
@@ -184,6 +183,8 @@ def q_sink_sidecar(spark: SparkSession, sf: str) -> DataFrame:
         "carrier",
         "tracking_number",
         F.get_json_object("json", "$.code").alias("code"),
+        F.get_json_object("json", "$.derivedCode").alias("derived_code"),
+        F.get_json_object("json", "$.statusByLocale").alias("status_by_locale"),
         F.get_json_object("json", "$.description").alias("description"),
     )
 
@@ -518,8 +519,9 @@ def q_split_batch_response(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def q_batch_result_or_body(spark: SparkSession, sf: str) -> DataFrame:
     requested, responses = _responses(spark, sf)
-    every_other = responses.filter(F.col("batch") % 2 == 0)
-    got = batches.batch_result_or_body(requested, every_other)
+    # Every number is also requested in a batch that got no response.
+    unanswered = requested.select(F.lit(-1).cast("bigint").alias("batch"), "tracking_number").distinct()
+    got = batches.batch_result_or_body(requested.union(unanswered), responses)
     return got.select(
         "batch",
         "tracking_number",
@@ -850,10 +852,4 @@ def q_tn_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     numbers = fx.table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("tracking_number")
     )
-    return tn_snapshot(_processed(spark, sf), numbers, "RowId")
-
-
-@query
-def q_sidecar(spark: SparkSession, sf: str) -> DataFrame:
-    enriched = enrich.enrich(shaping.column_contract(fx.shipments(spark, sf)), _facts(spark, sf))
-    return sidecar(enriched, "RowId").select("carrier", "tracking_number")
+    return snapshot_of(fx.shipments(spark, sf), _facts(spark, sf), numbers, "RowId", ALL_WEEKS)

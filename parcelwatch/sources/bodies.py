@@ -1,7 +1,8 @@
 """Carrier response bodies on disk.
 
-Every reader returns ``file``, ``block``, ``line``, ``pos`` (the body's place, comparable
-in that order, see ``BODY_ORDER``) and ``body`` as VARIANT.
+Every reader returns ``file``, ``block``, ``line``, ``pos`` and ``body`` as VARIANT. The first
+four say which body came later (see ``BODY_ORDER``). They are told within one scan: another
+scan may cut the files elsewhere, so nothing is joined by them.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwatch.functions.text import strip
+from parcelwatch.functions.text import let, strip
 
 BODY_ORDER = ["file", "block", "line", "pos"]
 
@@ -24,71 +25,99 @@ def src_bodies(
     """Read bodies. ``layout`` says how a file holds them:
 
     ``document``  one JSON text per file, an array of bodies or a single body. A file
-                  is read by one task, so this is for files of ordinary size.
+                  is read by one task.
     ``lines``     one body per line; files are split across tasks.
     ``indented``  an array written with an indent of two, as this job's dumps are; it
                   is cut at member ends, so a file of any size is split across tasks.
+                  Other arrays, and single bodies, are read by one task a file; a single
+                  body in which a cut would fall is refused.
 
-    ``on_corrupt``: ``fail`` raises on a text that is not JSON, ``skip`` drops it.
+    Members are parsed one by one, so only a single body is bound by the size of a VARIANT.
+    ``on_corrupt``: ``fail`` raises on a text that is not JSON or a body that is too large,
+    ``skip`` drops it.
     """
     if layout not in ("document", "lines", "indented"):
         raise ValueError(f"unknown layout: {layout}")
     if on_corrupt not in ("fail", "skip"):
         raise ValueError(f"unknown on_corrupt: {on_corrupt}")
-    options: dict[str, object] = {"wholetext": layout == "document"}
-    if layout == "indented":
-        options["lineSep"] = _MEMBER_END
     try:
-        raw = spark.read.options(**options).text(path)
+        raw = spark.read.text(path, wholetext=layout == "document", lineSep=_MEMBER_END if layout == "indented" else None)
     except AnalysisException as ex:
         raise ValueError(f"no bodies at {path}") from ex
     raw = raw.select(
-        F.col("_metadata.file_path").alias("file"),
+        _in_write_order(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
     ).filter(strip(F.col("value")) != "")
+    # A line is one body, also when that body is an array.
+    texts = {"lines": _alone, "document": _members, "indented": lambda c: _members(_as_array(c))}[layout]
     parse = F.parse_json if on_corrupt == "fail" else F.try_parse_json
-    if layout == "indented":
-        members = F.try_variant_get(parse(_as_array(F.col("value"))), "$", "array<variant>")
-    else:
-        doc = parse(F.col("value"))
-        members = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc))
-    if layout == "lines":
-        # A line is one body, also when that body is an array.
-        members = F.array(parse(F.col("value")))
-    return raw.select("file", "block", "line", F.posexplode_outer(members).alias("pos", "body")).filter(
-        F.col("body").isNotNull()
+    members = raw.select("file", "block", "line", F.posexplode_outer(texts(F.col("value"))).alias("pos", "m"))
+    text = F.col("m.text")
+    # The text of a string member comes without its quotes.
+    body = F.when(F.col("m.alone") | text.rlike(r"^\s*[\[{]"), parse(text)).otherwise(
+        F.coalesce(F.try_parse_json(text), text.cast("variant"))
     )
+    return members.select("file", "block", "line", "pos", body.alias("body")).filter(F.col("body").isNotNull())
+
+
+def _in_write_order(path: Column) -> Column:
+    """A path that compares as its writer numbered the files, also beyond 99,999 of them."""
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1)
+    padded = F.concat(F.lit("part-"), F.lpad(number, 12, "0"))
+    return F.when(number == "", path).otherwise(F.regexp_replace(path, F.lit(r"part-\d+(?=[^/]*$)"), padded))
+
+
+def _alone(text: Column) -> Column:
+    return F.array(F.struct(text.alias("text"), F.lit(True).alias("alone")))
+
+
+def _members(text: Column) -> Column:
+    """The texts of an array's members, as they are written; any other text is one that stands alone."""
+
+    def read(t: Column) -> Column:
+        listed = F.from_json(F.ltrim(t, F.lit("\ufeff \t\r\n")), "array<string>")
+        members = F.transform(listed, lambda m: F.struct(F.coalesce(m, F.lit("null")).alias("text"), F.lit(False).alias("alone")))
+        return F.coalesce(F.when(t.rlike("^\ufeff?\\s*\\["), members), _alone(t))
+
+    return let(text, read)
 
 
 def _as_array(chunk: Column) -> Column:
-    """One cut of an indented array as an array text of its own.
+    """One cut of an indented array as an array text of its own; a single body as it is.
 
     The first cut still has the opening bracket, the last one the closing bracket;
-    all others lost the brace that ended their last member.
+    all others lost the brace that ended their last member. Members are indented, so a
+    brace at the start of a line is that of a single body, and what starts with a key is a
+    piece of one.
     """
-    opened = F.regexp_replace(chunk, r"^﻿?\[\s*\n", "")
-    closed = F.regexp_like(opened, F.lit(r"(^|\n)\]\s*$"))
-    return F.when(opened.rlike(r"^\s*\[\s*\]\s*$"), F.lit("[]")).otherwise(
-        F.concat(
-            F.lit("["),
-            F.when(closed, F.regexp_replace(opened, r"\]\s*$", "")).otherwise(
-                F.concat(opened, F.lit("\n}"))
-            ),
-            F.lit("]"),
+
+    def read(opened: Column) -> Column:
+        closed = F.when(opened.rlike(r"(^|\n)\]\s*$"), F.regexp_replace(opened, r"\]\s*$", "")).otherwise(
+            F.concat(opened, F.lit("\n}"))
         )
-    )
+        refused = F.raise_error(F.lit("a single body is cut; read it with the layout document")).cast("string")
+        return (
+            F.when(opened.rlike("^\ufeff?\\["), opened)
+            .when(opened.rlike(r"^\{([^\n]*|(?s:.*)\n)\}\s*$"), opened)
+            .when(opened.rlike(r'^(\{|\s*"([^"\\]|\\.)*"\s*:)'), refused)
+            .otherwise(F.concat(F.lit("["), closed, F.lit("]")))
+        )
+
+    return let(F.regexp_replace(chunk, "^\ufeff?\\[\\s*\n", ""), read)
 
 
-def sink_bodies(bodies: DataFrame, path: str, batch_id: int) -> None:
-    """Append bodies, one JSON document per line, as batch ``batch_id``.
+def sink_bodies(bodies: DataFrame, path: str, batch_id: int, order: str | None = None) -> None:
+    """Append bodies, one JSON document per line, as batch ``batch_id``, in the order of column ``order``.
 
     Each batch is a directory of its own: earlier bodies are never rewritten, writing
     the same batch again replaces it, and later batches sort after earlier ones.
     """
     kind = bodies.schema["body"].dataType.simpleString()
     text = F.to_json("body") if kind == "variant" else F.col("body")
+    if order is not None:
+        bodies = bodies.repartitionByRange(order).sortWithinPartitions(order)
     bodies.select(text.alias("value")).write.mode("overwrite").text(
         f"{path.rstrip('/')}/batch={batch_id:012d}"
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwatch.functions.text import is_blank, key_text
@@ -15,7 +15,7 @@ from parcelwatch.operators.filters import (
     view_stalled,
 )
 from parcelwatch.operators.shaping import publishable
-from parcelwatch.schema import CARRIER_CODE, STATUS_FIELDS, TRACKING_NUMBER, col
+from parcelwatch.schema import CARRIER_CODE, LATEST_DETAIL, STATUS_FIELDS, TRACKING_NUMBER, col, has
 
 VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "all_issues": view_all_issues,
@@ -39,8 +39,13 @@ def sink_views(processed: DataFrame, out_dir: str) -> dict[str, str]:
 
 
 def sidecar(enriched: DataFrame, order: str) -> DataFrame:
-    """One JSON of the status columns per (carrier, tracking number), the last row winning."""
-    keyed = enriched.filter(~is_blank(col(TRACKING_NUMBER))).select(
+    """One JSON of the status columns per (carrier, tracking number), the last row winning.
+
+    Rows that were looked up have a detail; a row without one had no facts, or a body that
+    could not be read, and gets no entry.
+    """
+    looked_up = col(LATEST_DETAIL).isNotNull() if has(enriched, LATEST_DETAIL) else F.lit(False)
+    keyed = enriched.filter(looked_up & ~is_blank(col(TRACKING_NUMBER))).select(
         F.coalesce(key_text(col(CARRIER_CODE)), F.lit("None")).alias("carrier"),
         key_text(col(TRACKING_NUMBER)).alias("tracking_number"),
         F.to_json(F.struct(*(col(f).alias(f) for f in STATUS_FIELDS))).alias("json"),
@@ -52,7 +57,3 @@ def sidecar(enriched: DataFrame, order: str) -> DataFrame:
 def sink_sidecar(enriched: DataFrame, order: str, path: str) -> None:
     """Write the sidecar as one dataset, not as a file per key."""
     sidecar(enriched, order).write.mode("overwrite").json(path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         # Not UTC on purpose: no result may depend on it.

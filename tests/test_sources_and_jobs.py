@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import parcelwatch
-from parcelwatch.operators import lookup
+from parcelwatch.operators import enrich, lookup, shaping
+from parcelwatch.plans import process
 from parcelwatch.plans.process import tn_snapshot
 from parcelwatch.sources import bodies as src
+from parcelwatch.sources.bodies import BODY_ORDER, read_bodies, sink_bodies, src_bodies
 from parcelwatch.sources.scratch import scratch_dir
 from parcelwatch.sources.shipments import src_shipments
 from parcelwatch.sources.views import sidecar, sink_views
@@ -161,7 +163,7 @@ def test_job_end_to_end(spark, published):
     assert set(table("stalled")) == {"1", "4"}
     assert set(table("damaged_or_returned")) == {"1"}
     marker = spark.read.parquet(f"{out}/marker").first()
-    assert (marker["_oss_marker"], marker["input_rows"], marker["input_cols"]) == ("ok", 6, 7)
+    assert (marker["run_marker"], marker["input_rows"], marker["input_cols"]) == ("ok", 6, 7)
     assert (marker["output_rows"], marker["output_cols"]) == summary["output_shape"]
     assert marker["input_name"] == "in.csv"
 
@@ -222,3 +224,93 @@ def test_seeded_flags_survive(spark, rows):
     df = rows([{"X": "d", "IsDelivered": "1"}, {"X": "d", "IsDelivered": "0"}])
     out = parcelwatch.process_shipments(df, settings=parcelwatch.Settings(reference_now=NOW))
     assert sorted(r["CalculatedStatus"] for r in out.collect()) == ["", "Delivered"]
+
+
+def test_places_and_splits_do_not_change_results(spark, rows, tmp_path):
+    """Two scans with different split sizes: the same order, and lookups that join two scans find the same bodies."""
+    docs = [{"trackingNumber": str(i % 40), "code": f"C{i}", "description": "x" * 300} for i in range(400)]
+    (tmp_path / "dump.json").write_text(json.dumps(docs, indent=2))
+    numbers = rows([{"Tracking Number": str(n)} for n in range(45)])
+    found = []
+    for size in ("2k", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            read = src_bodies(spark, str(tmp_path / "dump.json"), "indented")
+            got = lookup.replay_lookup(numbers, read, BODY_ORDER)
+            found.append({r[0]: r[1] for r in got.select("Tracking Number", F.to_json("body")).collect()})
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] and len(found[0]) == 45
+    assert all(json.loads(found[0][str(n)])["code"] == f"C{360 + n}" for n in range(40)) and found[0]["44"] == "{}"
+
+
+def test_a_single_body_that_would_be_cut_is_refused(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps({"a": {"b": 1}, "c": {"d": 2}}, indent=2))
+    for on_corrupt in ("skip", "fail"):
+        with pytest.raises(Exception, match="a single body is cut"):
+            src_bodies(spark, str(tmp_path / "one.json"), "indented", on_corrupt=on_corrupt).collect()
+    assert src_bodies(spark, str(tmp_path / "one.json"), "document").count() == 1
+    (tmp_path / "short.json").write_text('{"a": {"b": 1}}')
+    assert src_bodies(spark, str(tmp_path / "short.json"), "indented").count() == 1
+
+
+def test_array_beyond_the_size_of_a_variant(spark, tmp_path):
+    """Members are read one by one, so an array may be larger than any single body."""
+    member = json.dumps({"trackingNumber": "7", "description": "y" * 4_000_000})
+    with open(tmp_path / "large.json", "w") as f:
+        f.write("[" + ",".join([member] * 36) + "]")
+    assert src_bodies(spark, str(tmp_path / "large.json"), "document", on_corrupt="skip").count() == 36
+
+
+def test_appended_bodies_keep_their_order(spark, tmp_path):
+    bodies = spark.createDataFrame([(i, json.dumps({"trackingNumber": "1", "code": f"C{i}"})) for i in range(200)], "seq int, body string")
+    sink_bodies(bodies.repartition(5), str(tmp_path / "dump"), 1, order="seq")
+    facts = lookup.replay_facts(read_bodies(spark, str(tmp_path / "dump")), BODY_ORDER)
+    assert facts.first()["code"] == "C199"
+
+
+def test_rows_without_facts_keep_their_times(spark, rows):
+    table = rows([{"Tracking Number": "nan", "Carrier Code": "", "ScanEventsCount": "2.7"}, {"Tracking Number": "5", "Carrier Code": "", "ScanEventsCount": "2.7"}])
+    table = table.withColumn("ScanEventTimestamps", F.array(F.lit("2024-01-01T00:00:00Z")))
+    bodies = spark.createDataFrame([(1, '{"trackingNumber": "6"}')], "pos int, text string").select("pos", F.parse_json("text").alias("body"))
+    got = {r["Tracking Number"]: r for r in enrich.enrich(table, lookup.replay_facts(bodies, ["pos"])).collect()}
+    assert got["nan"]["ScanEventTimestamps"] == ["2024-01-01T00:00:00Z"] and got["nan"]["ScanEventsCount"] == 2
+    assert got["5"]["ScanEventTimestamps"] == [] and got["5"]["ScanEventsCount"] == 0
+    assert sidecar(shaping.column_contract(enrich.enrich(table, lookup.replay_facts(bodies, ["pos"]))).withColumn("n", F.lit(1)), "n").count() == 1
+
+
+def test_snapshot_compares_cleaned_numbers(rows, spark):
+    table = rows([{"Tracking Number": " 7 ", "DaysSinceLatestEvent": "3", "CalculatedReasons": "r", "IsStalled": "1", "at": "1"}])
+    numbers = spark.createDataFrame([("7",), ("07.0",), ("8",)], "tracking_number string")
+    got = {r[0]: r[1] for r in tn_snapshot(table, numbers, "at").collect()}
+    assert got == {"7": 3.0, "07.0": 3.0, "8": None}
+
+
+def test_job_from_responses(spark, rows):
+    """Requests, their responses and the job: own results, a whole response, no response, and one that is no object."""
+    table = rows([{"X": "", "Tracking Number": str(n), "Carrier Code": "FDX", "derivedCode": "OLD"} for n in range(62)]).withColumn("at", F.monotonically_increasing_id())
+    result = {"trackingNumber": "3", "trackResults": [{"latestStatusDetail": {"code": "DL", "statusByLocale": "Delivered"}}]}
+    bodies = [(0, json.dumps({"output": {"completeTrackResults": [result]}})), (1, '"busy"')]
+    responses = spark.createDataFrame(bodies, "batch bigint, text string").select("batch", F.parse_json("text").alias("body"))
+    facts = process.response_facts(table, responses, "at")
+    out = {r["Tracking Number"]: r for r in parcelwatch.process_shipments(table, facts, parcelwatch.Settings(date_filter=False, reference_now=NOW)).collect()}
+    assert len(out) == 62 and out["3"]["IsDelivered"] == 1
+    assert out["40"]["derivedCode"] == "OLD" and out["61"]["derivedCode"] == ""
+
+
+def test_stages_are_counted(published):
+    _, summary = published
+    assert list(summary["stage_rows"].values()) == [6, 6, 5, 4]
+
+
+def test_other_failures_than_unreadable_content_are_raised(spark, tmp_path, monkeypatch):
+    (tmp_path / "in.csv").write_text("A\n1\n")
+    from pyspark.errors import PySparkException
+    from pyspark.sql import DataFrameReader
+
+    def refuse(*_):
+        raise PySparkException("access denied")
+
+    monkeypatch.setattr(DataFrameReader, "load", refuse)
+    with pytest.raises(PySparkException):
+        src_shipments(spark, str(tmp_path / "in.csv"))

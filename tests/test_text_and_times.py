@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelwatch.functions import text, times
+from parcelwatch.functions.text import clean_tracking_number, key_text, strip
+from parcelwatch.functions.times import parse_date
 
 
 def column(df, expr):
@@ -125,3 +127,19 @@ def test_whole_days_round_down(spark):
     )
     got = column(df, times.whole_days_before(now, F.expr(times.epoch_micros_sql("c"))))
     assert got == [5, 4, -1, None]
+
+
+def test_numbers_of_any_size_are_cleaned_exactly(spark):
+    cases = {
+        "1e29": "1" + "0" * 29, "1.5E+30": "15" + "0" * 29, "-2.25e3": "-2250", "12345E-2": "123", "9.99E-1": "0", "1,5E3": "15000",
+        "1E999": "1E999", ".5e1": "5", "007e2": "700", "1" * 60: "1" * 60, "5.": "5", "-0": "0",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r[0]: r[1] for r in df.select("t", clean_tracking_number(F.col("t"))).collect()} == cases
+
+
+def test_arguments_are_written_once(spark):
+    heavy = F.concat(F.col("t"), F.lit("ARGUMENT"))
+    for rule in (clean_tracking_number, key_text, strip, parse_date):
+        plan = spark.createDataFrame([("1",)], "t string").select(rule(heavy).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ARGUMENT") == 1, rule.__name__
