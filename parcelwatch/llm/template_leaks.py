@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mapped, stored, whole_text, without_ids
-from .shingles import mixed
 
 WINDOW = 8
 LITERAL = 5
@@ -46,82 +45,110 @@ _SIGNS = frozenset("%€$£")
 NUMBER, UNIT, NAME = 1, 2, 3
 
 
+#: What is known of a token by itself: kind (-1: ends a sentence), whether it may be a name or a unit, hash.
+_FACTS = np.dtype([("kind", "i1"), ("name", "?"), ("unit", "?"), ("hash", "<u8")])
+
+
 class Canonical:
-    """``read(text)``: the words of a text, the kind of slot each is (0: none), and hashes in both forms."""
+    """``read(text)``: the tokens of a text, which of them are words, the kind of slot of each word (0: none), and
+    their hashes in both forms."""
 
     def __init__(self, max_words: int = 500_000):
         self.max_words = max_words
-        self.known: dict[str, tuple[int, bytes, bool]] = {}
-        self.slots = [xxhash.xxh64_digest(b"\0slot" + bytes([k])) for k in range(4)]
-
-    def _word(self, token: str) -> tuple[int, bytes, bool]:
-        """Kind as it is known from the word alone, hash, whether it may be a name."""
-        if token in _ENDS:
-            kind = -1
-        elif token in _SIGNS:
-            kind = UNIT
-        elif token[0].isdecimal():
-            kind = NUMBER
-        else:
-            kind = 0
+        self.known: dict[str, bytes] = {}
+        self.slots = np.array([xxhash.xxh64_intdigest(b"\0slot" + bytes([k])) for k in range(4)], _U)
+
+    def _facts(self, token: str) -> bytes:
+        kind = -1 if token in _ENDS else UNIT if token in _SIGNS else NUMBER if token[0].isdecimal() else 0
         low = token.lower()
-        out = (kind, self.slots[kind] if kind > 0 else xxhash.xxh64_digest(low.encode()), kind == 0 and token[0] != low[0])
-        if len(self.known) > self.max_words:
-            self.known.clear()
-        if len(token) <= 64:
-            self.known[token] = out
-        return out
-
-    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        tokens = _TOKEN.findall(text)
+        digest = int(self.slots[kind]) if kind > 0 else xxhash.xxh64_intdigest(low.encode())
+        return np.array((kind, kind == 0 and token[0] != low[0], kind == 0 and low in UNITS, digest), _FACTS).tobytes()
+
+    def _joined(self, tokens: list[str]) -> bytes:
         known = self.known
-        facts = [known.get(t) or self._word(t) for t in tokens]
-        base = np.array([f[0] for f in facts], np.int64)
-        plain = np.frombuffer(b"".join([f[1] for f in facts]), "<u8").astype(_U)
-        capital = np.array([f[2] for f in facts], bool)
-        starts = np.concatenate([[True], base[:-1] == -1]) if len(base) else np.zeros(0, bool)
-        word = base >= 0
-        # A unit is only one after a number.
-        after = np.flatnonzero((base == 0) & np.concatenate([[False], base[:-1] == NUMBER])) if len(base) else []
-        for i in after:
-            if tokens[i].lower() in UNITS:
-                base[i] = UNIT
-                plain[i] = _hash(self.slots[UNIT])
-        kind = base.copy()
-        kind[capital & ~starts & (base == 0)] = NAME
-        named = np.where(kind == NAME, _hash(self.slots[NAME]), plain)
-        at = np.flatnonzero(word)
-        return [tokens[i] for i in at], kind[at], plain[at], named[at]
-
-
-def _hash(digest: bytes) -> np.uint64:
-    return np.frombuffer(digest, "<u8").astype(_U)[0]
-
-
-def windows(words: np.ndarray, kind: np.ndarray, form: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of ``size`` words with enough ordinary words, and where they start, in one form (0: names
-    as words, 1: as slots)."""
+        try:
+            return b"".join([known[t] for t in tokens])
+        except KeyError:
+            pass
+        if len(known) > self.max_words:
+            known.clear()
+        out = []
+        for t in tokens:
+            got = known.get(t)
+            if got is None:
+                got = self._facts(t)
+                if len(t) <= 64:
+                    known[t] = got
+            out.append(got)
+        return b"".join(out)
+
+    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        tokens = _TOKEN.findall(text)
+        facts = np.frombuffer(self._joined(tokens), _FACTS)
+        kind, plain = facts["kind"].astype(np.int8), facts["hash"].astype(_U)
+        if len(kind):
+            number, end = kind[:-1] == NUMBER, kind[:-1] == -1
+            unit = np.concatenate([[False], number]) & facts["unit"]  # a unit is only one after a number
+            kind[unit] = UNIT
+            plain[unit] = self.slots[UNIT]
+            kind[facts["name"] & (kind == 0) & ~np.concatenate([[True], end])] = NAME
+        at = np.flatnonzero(kind >= 0)
+        kind, plain = kind[at], plain[at]
+        return tokens, at, kind, plain, np.where(kind == NAME, self.slots[NAME], plain)
+
+
+_made: list[Canonical] = []
+
+
+def canonical_words() -> Canonical:
+    """One table of known words per Python worker."""
+    if not _made:
+        _made.append(Canonical())
+    return _made[0]
+
+
+_P = 0x9E3779B97F4A7C15
+_powers = [np.ones(1, _U), np.ones(1, _U)]
+
+
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_P, pow(_P, -1, 1 << 64))):
+            steps = np.full(2 * n, base, _U)
+            steps[0] = 1
+            _powers[i] = np.multiply.accumulate(steps)
+    return _powers[0][:n], _powers[1][:n]
+
+
+def window_hashes(words: np.ndarray, form: int, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` words: sums of word hashes times powers by place, as differences of running sums."""
     n = len(words) - size + 1
     if n < 1 or size < LITERAL:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    h = np.full(n, (size << 1) + form, _U)
-    for i in range(size):
-        h = (h ^ words[i : n + i]) * _U(0x9E3779B97F4A7C15)
-        h ^= h >> _U(29)
+        return np.zeros(0, _U)
+    up, down = _power_table(len(words))
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(words * up)])
+    return (sums[size:] - sums[:-size]) * down[:n] + _U((size << 1) + form)
+
+
+def telling(kind: np.ndarray, form: int, size: int, at: np.ndarray) -> np.ndarray:
+    """Of windows that start ``at`` these places, those with enough ordinary words (names count in form 0)."""
     slots = np.concatenate([[0], np.cumsum((kind > 0) if form else (kind == NUMBER) | (kind == UNIT))])
-    ok = np.flatnonzero(size - (slots[size:] - slots[:-size]) >= LITERAL)
-    return mixed(h[ok]), ok
+    return at[size - (slots[at + size] - slots[at]) >= LITERAL]
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    canonical = Canonical()
+    canonical = canonical_words()
     for batch in batches:
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words, kind, plain, named = canonical.read(text.as_py())
+            tokens, order, kind, plain, named = canonical.read(text.as_py())
+            words = [tokens[i].lower() for i in order]
             size = min(WINDOW, len(words))
             for form, h in ((0, plain), (1, named)):
-                hashes, at = windows(h, kind, form, size)
-                values = [[w.lower() for w in words[a : a + size]] for a in at]
+                hashes = window_hashes(h, form, size)
+                at = telling(kind, form, size, np.arange(len(hashes)))
+                hashes = hashes[at]
+                values = [words[a : a + size] for a in at]
                 kinds = [kind[a : a + size].tolist() for a in at]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -145,7 +172,7 @@ def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
     """All windows of documents whose hash is among ``wanted`` (sorted), or all if that is None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canonical = Canonical()
+        canonical = canonical_words()
         marks = None
         if wanted is not None:
             marks = np.zeros(1 << 22, bool)  # most windows are told off by their last bits
@@ -153,19 +180,22 @@ def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
         for batch in batches:
             docs, hashes, values = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words, kind, plain, named = canonical.read(text.as_py())
+                tokens, order, kind, plain, named = canonical.read(text.as_py())
                 for form, h in ((0, plain), (1, named)):
                     for size in sizes:
-                        found, at = windows(h, kind, form, size)
-                        if wanted is not None and len(found):
-                            near = np.flatnonzero(marks[found & _U((1 << 22) - 1)])
-                            near = near[wanted[np.searchsorted(wanted, found[near]).clip(max=len(wanted) - 1)] == found[near]]
-                            found, at = found[near], at[near]
+                        found = window_hashes(h, form, size)
+                        if wanted is None:
+                            at = np.arange(len(found))
+                        else:
+                            at = np.flatnonzero(marks[found & _U((1 << 22) - 1)])
+                            at = at[wanted[np.searchsorted(wanted, found[at]).clip(max=len(wanted) - 1)] == found[at]]
+                        at = telling(kind, form, size, at)
+                        found = found[at]
                         if not len(found):
                             continue
                         docs += [doc_id] * len(at)
                         hashes.append(found)
-                        values += [[w.lower() for w in words[a : a + size]] for a in at]
+                        values += [[tokens[i].lower() for i in order[a : a + size]] for a in at]
             if docs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(docs, pa.int64()), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(values, pa.list_(pa.string()))],
