@@ -55,12 +55,13 @@ def _bigrams(words: list[str]) -> list[str]:
 
 
 def anchors(words: list[str], least: float) -> set[str]:
-    """Words of a template, longest first, such that fewer than the share r of its bigrams are without any of them."""
+    """Words of a template, longest first, such that a unit without any of them stays below ``least``."""
     grams = _bigrams(words)
-    r = least / (2 - least)
+    part = round(1000 * least)
     picked: set[str] = set()
     for w in sorted(set(words), key=lambda w: (-len(w), w)):
-        if sum(not picked & set(g.split(" ")) for g in grams) < r * len(grams):
+        without = sum(not picked & set(g.split(" ")) for g in grams)
+        if 2000 * without < part * (without + len(grams)):
             break
         picked.add(w)
     return picked
@@ -74,7 +75,7 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
     coefficient, cut off. Null text counts as empty and has no matches. A unit of one word has no bigrams.
     """
     known = [(name, _bigrams(_normal(t))) for name, t in templates]
-    r = least / (2 - least)
+    part = round(1000 * least)  # bounds are compared in whole numbers
     hints = F.array(*map(F.lit, sorted(set().union(*(anchors(_normal(t), least) for _, t in templates)))))
     table = F.array(
         *(F.struct(F.lit(-i).alias("order"), F.lit(n).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(len(g)).alias("size")) for i, (n, g) in enumerate(known))
@@ -91,7 +92,7 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
         return F.array_distinct(F.filter(each, lambda x: x.isNotNull()))
 
     def best(u: Column) -> Column:
-        near = F.filter(table, lambda t: (t["size"] >= F.size(u["grams"]) * r) & (t["size"] * r <= F.size(u["grams"])))
+        near = F.filter(table, lambda t: (t["size"] * (2000 - part) >= F.size(u["grams"]) * part) & (t["size"] * part <= F.size(u["grams"]) * (2000 - part)))
         scored = F.transform(
             near,
             lambda t: F.struct(
@@ -115,7 +116,7 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
     hopeful = F.filter(units, lambda u: F.arrays_overlap(u["words"], hints))
     with_grams = F.transform(hopeful, lambda u: F.struct(u["unit"], u["nth"], bigrams(u["words"]).alias("grams")))
     judged = F.transform(with_grams, lambda u: F.struct(u["unit"].alias("unit"), u["nth"].alias("nth"), best(u).alias("best")))
-    found = F.filter(judged, lambda m: m["best"]["permille"] >= int(1000 * least))
+    found = F.filter(judged, lambda m: m["best"]["permille"] >= part)
     found = F.transform(found, lambda m: F.struct(m["unit"], m["nth"], m["best"]["permille"].alias("permille"), m["best"]["license"].alias("license")))
     none = F.array().cast("array<struct<unit:string,nth:int,permille:int,license:string>>")
     read = docs.select(*names, text.alias("_text"))

@@ -54,7 +54,7 @@ def test_weak_parts_count_only_together(spark):
 
 def test_sweep_equals_all_pairs(spark):
     rnd = random.Random(2)
-    parts = {"ident": "user_id=ab", "value": "Zk3" * 12, "endpoint": "10.1.2.3", "assign": "token=abcdefgh", "access": "AKIA0123456789AB"}
+    parts = {"ident": "user_id=abc", "value": "Zk3" * 12, "endpoint": "10.1.2.3", "assign": "token=abcdefgh", "access": "AKIA0123456789AB"}
     rows = []
     for i in range(60):
         rows.append((i, " ".join(rnd.choice(list(parts.values())) if rnd.random() < 0.3 else "w" * rnd.randint(1, 90) for _ in range(rnd.randint(1, 60)))))
@@ -95,7 +95,7 @@ def test_license_units_and_bounds(spark, edge_docs, no_docs):
     ]
     got = {r.doc_id: r for r in license_scan.license_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert {i: r.licenses for i, r in got.items()} == {1: "MIT", 2: "MIT", 3: "MIT", 4: "CC-BY-NC-4.0", 5: "GPL-2.0", 6: "", 7: "MIT"}
-    assert got[1].matches == "line:1:MIT:1000" and got[2].matches == "paragraph:1:MIT:1000" and got[6].best is None
+    assert got[1].matches == "line:1:MIT:1000" and got[2].matches.startswith("paragraph:1:MIT:1000,") and got[6].best is None
     edge = license_scan.license_report(edge_docs).collect()
     assert len(edge) == edge_docs.count() and {r.n_matches for r in edge} == {0}
     assert license_scan.license_report(no_docs).count() == 0
