@@ -181,24 +181,28 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     links = stored(mapped(pairs, _confirm(percent), "a bigint, b bigint"), "links")
 
     groups = stored(components(links), "groups")
-    marked = many.select("key", "lead", "node", "n").join(groups.withColumnRenamed("component", "group"), "node", "left")
+    # Buckets with the same first member hold much the same members: they are taken as one where that compares less.
+    cost = many.groupBy("lead").agg(F.sum("size").alias("apart"), F.countDistinct("node").alias("all"))
+    at_once = F.col("all") * F.col("all") <= F.col("apart")
+    many = many.join(cost, "lead").select(F.when(at_once, F.lit(0)).otherwise(F.col("key")).alias("key"), "lead", "node", "n").distinct()
+    marked = many.join(groups.withColumnRenamed("component", "group"), "node", "left")
     marked = marked.join(groups.select(F.col("node").alias("lead"), F.col("component").alias("core")), "lead", "left")
-    marked = stored(marked.select("key", "node", "n", (F.coalesce("group", "node") != F.coalesce("core", "lead")).alias("rest")), "open")
-    tally = marked.groupBy("key").agg(
+    marked = stored(marked.select("lead", "key", "node", "n", (F.coalesce("group", "node") != F.coalesce("core", "lead")).alias("rest")), "open")
+    tally = marked.groupBy("lead", "key").agg(
         *(
             F.greatest(F.ceil(F.count_if(side) / BLOCK), F.ceil(F.sum(F.when(side, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).alias(name)
             for name, side in (("core_blocks", ~F.col("rest")), ("rest_blocks", F.col("rest")))
         )
     )
-    split = marked.join(tally.where("rest_blocks > 0"), "key")
+    split = marked.join(tally.where("rest_blocks > 0"), ["lead", "key"])
     # Blocks of the rest are numbered first, then those of the core; core blocks meet blocks of the rest only.
     own = F.when(F.col("rest"), F.pmod(F.xxhash64("node"), F.col("rest_blocks"))).otherwise(
         F.col("rest_blocks") + F.pmod(F.xxhash64("node"), F.col("core_blocks"))
     )
     last = F.when(F.col("rest"), F.col("rest_blocks") + F.col("core_blocks") - 1).otherwise(F.col("rest_blocks") - 1)
-    split = split.select("key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("with"))
-    split = split.select("key", "node", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"))
-    more = split.join(sets, "node").groupBy("key", "lo", "hi").applyInPandas(_compare_blocks(percent), "a bigint, b bigint")
+    split = split.select("lead", "key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("with"))
+    split = split.select("lead", "key", "node", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"))
+    more = split.join(sets, "node").groupBy("lead", "key", "lo", "hi").applyInPandas(_compare_blocks(percent), "a bigint, b bigint")
     # A block is compared with itself whenever it meets another, so equal numbers are needed only where it is alone.
     links = links.union(stored(more.distinct(), "more_links"))
 
