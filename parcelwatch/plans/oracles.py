@@ -63,6 +63,7 @@ _LAST_APPENDED = (
     "ORDER BY capture % 2 DESC, capture DESC) = 1)"
 )
 
+# The codes, texts and patterns of the rules, as SQL.
 _RTS = r"\bRETURN(ING)?\s(PACKAGE\sTO\sSHIPPER|TO\s(SHIPPER|SENDER))\b"
 
 
@@ -177,6 +178,7 @@ def _hint(columns: str, codes: str, hints: tuple[str, ...]) -> str:
     return f"(UPPER(code) IN ({codes}) OR UPPER(derived) IN ({codes}) OR {texts})"
 
 
+# Codes and hints of the classifier.
 _C_PRE = _hint(
     "",
     "'OC', 'LP'",
@@ -408,12 +410,13 @@ ORACLES: dict[str, str] = {
     "status_report": f"""{_judged()} SELECT calculated_status, calculated_reasons, COUNT(*) AS shipments FROM judged
         GROUP BY 1, 2""",
     "process_and_publish": f"""{_judged(_LAST_APPENDED)}
-        SELECT 'all_shipments' AS output, COUNT(*) AS rows FROM ship
-        UNION ALL SELECT 'all_issues', COUNT(*) FROM judged WHERE is_delivered <> 1
-        UNION ALL SELECT 'pretransit', COUNT(*) FROM judged WHERE is_pretransit = 1
-        UNION ALL SELECT 'stalled', COUNT(*) FROM judged WHERE is_stalled = 1
-        UNION ALL SELECT 'damaged_or_returned', COUNT(*) FROM judged WHERE damaged = 1 OR is_rts = 1
-        UNION ALL SELECT 'marker', CAST(1 AS BIGINT)""",
+        SELECT 'all_shipments' AS output, row_id, COALESCE({_key("tracking_number")}, '') AS tracking_number, '' AS status FROM ship
+        UNION ALL SELECT 'processed', row_id, '', calculated_status FROM judged
+        UNION ALL SELECT 'all_issues', row_id, {_CLEAN}, calculated_status FROM judged WHERE is_delivered <> 1
+        UNION ALL SELECT 'pretransit', row_id, {_CLEAN}, calculated_status FROM judged WHERE is_pretransit = 1
+        UNION ALL SELECT 'stalled', row_id, {_CLEAN}, calculated_status FROM judged WHERE is_stalled = 1
+        UNION ALL SELECT 'damaged_or_returned', row_id, {_CLEAN}, calculated_status FROM judged WHERE damaged = 1 OR is_rts = 1
+        UNION ALL SELECT 'marker', (SELECT COUNT(*) FROM ship), CAST(COUNT(*) AS STRING), 'ok' FROM judged""",
     "tn_snapshot": f"""{_judged()}, firsts AS (SELECT k AS tracking_number, arg_min(idle_days, row_id) AS d,
         arg_min(calculated_reasons, row_id) AS r, arg_min(is_stalled, row_id) AS s FROM judged WHERE k IS NOT NULL GROUP BY 1)
         SELECT CAST(c_custkey AS STRING) AS tracking_number, CAST(d AS DOUBLE) AS days, r AS reasons, s AS stalled

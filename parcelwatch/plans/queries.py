@@ -834,17 +834,16 @@ def q_process_and_publish(spark: SparkSession, sf: str) -> DataFrame:
         bodies_layout="lines",
         settings=ALL_WEEKS,
     )
-    names = ("all_shipments", "all_issues", "pretransit", "stalled", "damaged_or_returned", "marker")
-    counts = [
-        spark.read.parquet(f"{base}/out/{n}").agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(n).alias("output"), "rows"
-        )
-        for n in names
-    ]
-    whole = counts[0]
-    for c in counts[1:]:
-        whole = whole.unionByName(c)
-    return whole
+
+    def output(name: str, row_id: str, number: Column, status: Column) -> DataFrame:
+        table = spark.read.parquet(f"{base}/out/{name}")
+        return table.select(F.lit(name).alias("output"), F.col(row_id).alias("row_id"), number.alias("tracking_number"), status.alias("status"))
+
+    number, status, none = F.col("`Tracking Number`"), F.col(LABEL), F.lit("")
+    whole = output("all_shipments", "RowId", number, none).unionByName(output("processed", "RowId", none, status))
+    for name in ("all_issues", "pretransit", "stalled", "damaged_or_returned"):
+        whole = whole.unionByName(output(name, "RowId", number, status))
+    return whole.unionByName(output("marker", "input_rows", F.col("output_rows").cast("string"), F.col("run_marker")))
 
 
 @query

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from parcelwatch.operators import filters, shaping
 from parcelwatch.operators.metrics import with_idle_days
+from parcelwatch.plans.queries import QUERIES
 from parcelwatch.schema import CONTRACT_SUFFIX
 
 REF = dt.date(2024, 3, 6)
@@ -103,3 +104,13 @@ def test_idle_days(rows):
     df = rows([{"LatestEventTimestampUtc": t} for t in want])
     assert [r["DaysSinceLatestEvent"] for r in with_idle_days(df, now).collect()] == list(want.values())
     assert with_idle_days(rows([{"a": "1"}]), now).first()["DaysSinceLatestEvent"] == 0
+
+
+def test_generated_code_stays_small(spark):
+    """Code that grows beyond the limit of a method is an error here, not a silent fall back to slow evaluation."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        for name in ("preprocess", "filter_prior_week", "clean_tracking_number", "blank_key_filter"):
+            assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
