@@ -195,7 +195,7 @@ def label_texts(docs: DataFrame, model: Languages, spans: bool = False, text: st
     schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     if spans:
-        schema = schema.add("spans", T.ArrayType(T.StructType().add("lang", "string").add("start", "int").add("end", "int")))
+        schema = schema.add("spans", T.ArrayType(T.StructType().add("lang", "string").add("start", "integer").add("end", "integer")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = _Labeller(model)
