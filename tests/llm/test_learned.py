@@ -1,19 +1,24 @@
 """Operators 8 and 10 on documents they have not seen, the pipeline, and what all queries share."""
 
+import re
 import sys
 import zlib
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent / "tools"))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import __spark_entry__ as entry
 import check_oracles
 import corpus_pipeline
 from parcelwatch.llm import language, quality
 from parcelwatch.llm.queries import ORACLES, QUERIES
+from test_copies import brute_components
 
 BIG = "/root/testdata/sf0.01"
 
@@ -129,3 +134,21 @@ def test_query_equals_sql(spark, name):
 def test_ten_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and set(QUERIES) | {"pipeline"} <= names
+
+
+def test_pipeline_equals_brute_force(spark):
+    """All stages in plain Python: copies by text, near copies over all pairs, whole items, the library's ids."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    last = {}
+    for d in sorted(texts):
+        last[texts[d]] = d
+    texts = {d: texts[d] for d in last.values() if any(c.isalpha() for c in texts[d])}
+    groups = brute_components(texts.items(), 5, 80)
+    texts = {d: t for d, t in texts.items() if groups[d][1] == d}
+    plain = lambda t: " " + " ".join(re.findall(r"\w+", t.lower())) + " "
+    items = [plain(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    texts = {d: t for d, t in texts.items() if not any(i in plain(t) for i in items)}
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = {d: [sp.bos_id(), *sp.encode(t), sp.eos_id()] for d, t in texts.items()}
+    assert {r.doc_id: r.ids for r in corpus_pipeline.run(spark, sf).collect()} == want
