@@ -152,7 +152,7 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Languages:
 
 
 class _Labeller:
-    def __init__(self, model: Languages, max_words: int = 400_000):
+    def __init__(self, model: Languages, max_words: int = 150_000):
         self.model, self.max_words = model, max_words
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.names)), np.float32)

@@ -25,7 +25,7 @@ MARK = "▁"
 class PieceChunks:
     """``ids(text)`` gives begin id, ids and end id as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, max_chunks: int = 500_000):
+    def __init__(self, path: str, max_chunks: int = 150_000):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)

@@ -22,7 +22,7 @@ class Shingler:
     """``hashes(text)``: the distinct shingles of ``width`` words, sorted; words are runs of characters other than
     ASCII white space, A-Z in lower case. A text with fewer words is one shingle; one without words has none."""
 
-    def __init__(self, width: int, max_words: int = 500_000):
+    def __init__(self, width: int, max_words: int = 150_000):
         self.width, self.max_words = width, max_words
         self.table: dict[bytes, bytes] = {}
 

@@ -53,7 +53,7 @@ class Canonical:
     """``read(text)``: the tokens of a text, which of them are words, the kind of slot of each word (0: none), and
     their hashes in both forms."""
 
-    def __init__(self, max_words: int = 500_000):
+    def __init__(self, max_words: int = 150_000):
         self.max_words = max_words
         self.known: dict[str, bytes] = {}
         self.slots = np.array([xxhash.xxh64_intdigest(b"\0slot" + bytes([k])) for k in range(4)], _U)
