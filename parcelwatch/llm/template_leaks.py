@@ -6,10 +6,12 @@ without placeholders for names, so that a passage in other case is found as well
 words are hashed and joined to the windows of the benchmark. A window with fewer than ``LITERAL`` ordinary words says
 nothing and is left out; an item shorter than a window, with that many ordinary words, is one window.
 
-Windows that match go on to the slot check: over the matched windows of an item in a document, a value in a slot of
-the item must stand for one value in the document throughout. Where a value meets two, only windows of the most
-frequent reading are counted. A document is reported for an item if the windows left cover at least ``COVER`` of
-the item's windows.
+Windows that match go on to the slot check, occurrence by occurrence: windows whose places in document and item are
+equally far apart are one occurrence, also those that differ by up to ``DRIFT`` words (a name of two words), and the
+document as a whole is tried as well. Within one, a value in a slot of the item must stand for one value
+throughout. Where a value meets two, only windows of the most frequent reading are counted, and those with the item's
+own words. A document is reported for an item if the windows left of its best occurrence cover at least
+``COVER`` of the item's windows.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from .common import mapped, stored, whole_text, without_ids
 WINDOW = 8
 LITERAL = 5
 COVER = 0.5
+#: Most words by which two alignments of one occurrence differ.
+DRIFT = 4
 #: Most benchmark windows that are sent to all tasks; more are joined by a shuffle.
 BROADCAST_WINDOWS = 2_000_000
 _U = np.uint64
@@ -165,7 +169,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 _ITEM = "item_id bigint, form int, item_at int, total int, size int, hash bigint, item_words array<string>, kinds array<int>"
-_HIT = "doc_id bigint, hash bigint, doc_words array<string>"
+_HIT = "doc_id bigint, row bigint, doc_at int, hash bigint, doc_words array<string>"
 
 
 def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
@@ -178,8 +182,8 @@ def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
             marks = np.zeros(1 << 22, bool)  # most windows are told off by their last bits
             marks[wanted & _U((1 << 22) - 1)] = True
         for batch in batches:
-            docs, hashes, values = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            docs, rows, places, hashes, values = [], [], [], [], []
+            for doc_id, text, row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 tokens, order, kind, plain, named = canonical.read(text.as_py())
                 for form, h in ((0, plain), (1, named)):
                     for size in sizes:
@@ -194,12 +198,20 @@ def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
                         if not len(found):
                             continue
                         docs += [doc_id] * len(at)
+                        rows += [row] * len(at)
+                        places.append(at)
                         hashes.append(found)
                         values += [[tokens[i].lower() for i in order[a : a + size]] for a in at]
             if docs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, pa.int64()), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(values, pa.list_(pa.string()))],
-                    ["doc_id", "hash", "doc_words"],
+                    [
+                        pa.array(docs, pa.int64()),
+                        pa.array(rows, pa.int64()),
+                        pa.array(np.concatenate(places), pa.int32()),
+                        pa.array(np.concatenate(hashes).view(np.int64)),
+                        pa.array(values, pa.list_(pa.string())),
+                    ],
+                    ["doc_id", "row", "doc_at", "hash", "doc_words"],
                 )
 
     return run
@@ -209,6 +221,7 @@ def consistent(matches: list[dict]) -> set[int]:
     """Of matched windows (item_at, item_words, doc_words, kinds): the item_at whose slots are read alike.
 
     Each value in an item's slot has the reading that most windows give it; of equally frequent ones, the smallest.
+    Windows with the item's own values always count.
     """
     readings: dict[tuple, Counter] = {}
     for m in matches:
@@ -219,18 +232,42 @@ def consistent(matches: list[dict]) -> set[int]:
     return {
         m["item_at"]
         for m in matches
-        if all(a == b if k <= 0 else chosen[(k, a)] == b for a, b, k in zip(m["item_words"], m["doc_words"], m["kinds"], strict=True))
+        if m["item_words"] == m["doc_words"]
+        or all(a == b if k <= 0 else chosen[(k, a)] == b for a, b, k in zip(m["item_words"], m["doc_words"], m["kinds"], strict=True))
     }
 
 
+def _folded(matches: list[dict]) -> list[dict]:
+    """Over one place of an item the same reading, however often it is repeated, is one match."""
+    return list({(m["item_at"], tuple(m["doc_words"])): m for m in matches}.values())
+
+
+def occurrences(matches: list[dict]) -> Iterator[list[dict]]:
+    """Of the matched windows of an item in a document: those of each alignment, of alignments close to one another, and all."""
+    aligned: dict[tuple[int, int], list[dict]] = {}
+    for m in matches:
+        aligned.setdefault((m["row"], m["doc_at"] - m["item_at"]), []).append(m)
+    yield from aligned.values()
+    if len(aligned) == 1:
+        return
+    chain: list[tuple[int, int]] = []
+    for at in [*sorted(aligned), None]:
+        if chain and (at is None or at[0] != chain[-1][0] or at[1] - chain[-1][1] > DRIFT):
+            if len(chain) > 1:
+                yield _folded([m for c in chain for m in aligned[c]])
+            chain = []
+        chain.append(at)
+    yield _folded(matches)
+
+
 def _judge(cover: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                good = consistent(r["matches"])
-                if len(good) >= cover * r["total"]:
-                    out.append((r["doc_id"], r["item_id"], len(good), r["total"]))
+                good = max(len(consistent(o)) for o in occurrences(r["matches"]))
+                if good >= cover * r["total"]:
+                    out.append((r["doc_id"], r["item_id"], good, r["total"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
                 ["doc_id", "item_id", "windows", "total"],
@@ -247,7 +284,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole_text(benchmark).alias("text"))
     items = stored(mapped(items, _item_windows, _ITEM), "item_windows")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text"), F.monotonically_increasing_id().alias("row"))
     # Sizes of items shorter than a window; there are at most WINDOW of them.
     sizes = sorted({r["size"] for r in items.select("size").distinct().collect()})
     hashes = items.select("hash").distinct()
@@ -257,12 +294,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     else:
         hits = mapped(texts, _doc_windows(None, sizes), _HIT)
     found = stored(hits, "hits").join(items, "hash")
-    # Over one place of an item the same reading, however often a document repeats it, is one match.
-    found = found.groupBy("doc_id", "item_id", "form", "item_at", "doc_words").agg(
-        F.first("total").alias("total"), F.first("item_words").alias("item_words"), F.first("kinds").alias("kinds")
-    )
-    each = found.groupBy("doc_id", "item_id", "form").agg(
-        F.first("total").alias("total"), F.collect_list(F.struct("item_at", "item_words", "doc_words", "kinds")).alias("matches")
+    # Rows with the same doc_id are one document, those without are one each.
+    each = found.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("nameless"), "item_id", "form").agg(
+        F.first("total").alias("total"), F.collect_list(F.struct("row", "doc_at", "item_at", "item_words", "doc_words", "kinds")).alias("matches")
     )
     judged = mapped(each, _judge(cover), "doc_id bigint, item_id bigint, windows int, total int")
     return judged.groupBy("doc_id").agg(

@@ -139,6 +139,23 @@ def test_passages_with_other_slots(spark, monkeypatch, limit):
     assert got[3].cover == 1.0 and got[1].item_ids == [1]
 
 
+NUMBERS = "There are 2 red boxes with 3 large stones and 4 blue boxes with 5 small stones, then 6 green boxes with 7 heavy stones and 8 empty boxes with 9 light feathers."
+
+
+def renumbered(text, seed):
+    rnd = random.Random(seed)
+    return re.sub("[0-9]+", lambda m: str(rnd.randint(10, 99)), text)
+
+
+def test_a_second_copy_hides_nothing(spark):
+    docs = [(i, f"Before. {renumbered(NUMBERS, i)} Between them. {renumbered(NUMBERS, 100 + i)} After.") for i in range(20)]
+    docs += [(100 + i, f"{NUMBERS} {renumbered(NUMBERS, i)}") for i in range(20)]
+    docs += [(200, f"{renumbered(NUMBERS, 1)} " * 3), (201, "These are few words. " * 9), (None, NUMBERS), (None, "Nothing of the kind.")]
+    got = leaked(spark, docs, [(1, NUMBERS)])
+    assert set(got) == {*range(20), *range(100, 120), 200, None}
+    assert {r.cover for r in got.values()} == {1.0}
+
+
 def test_slots_must_be_read_alike():
     item = ["a", "3", "b", "3"]
     match = lambda at, words: {"item_at": at, "item_words": item, "doc_words": words, "kinds": [0, 1, 0, 1]}
