@@ -1,10 +1,12 @@
 """Benchmark passages in documents, also with other numbers, names and units put in.
 
 Texts become words in canonical form: a number, a unit after a number, or a name (a capitalised word that does not
-begin a sentence) is a typed placeholder; other words are in lower case. Two forms are kept side by side, with and
-without placeholders for names, so that a passage in other case is found as well. Windows of ``WINDOW`` canonical
-words are hashed and joined to the windows of the benchmark. A window with fewer than ``LITERAL`` ordinary words says
-nothing and is left out; an item shorter than a window, with that many ordinary words, is one window.
+begin a sentence) is a typed placeholder; other words are in lower case. Three forms are kept side by side: with and
+without placeholders for names, so that a passage in other case is found as well, and the words as they are (literal).
+In scripts without spaces every character is a word. Windows of ``WINDOW`` words are hashed and joined to the windows
+of the benchmark. With placeholders, a window with fewer than ``LITERAL`` ordinary words says nothing and is left out;
+a literal one may hold numbers and units only. An item shorter than a window is one window. One of fewer than
+``LITERAL`` words is found literally, with its signs, if words and signs are that many; a shorter one says nothing.
 
 Windows that match go on to the slot check, occurrence by occurrence: windows whose places in document and item are
 equally far apart are one occurrence, also those that differ by up to ``DRIFT`` words (a name of two words), and the
@@ -43,10 +45,18 @@ UNITS = frozenset(
     "meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms ton tons "
     "dollar dollars cent cents euro euros usd eur percent degree degrees kmh mph kw kwh w v hz khz mhz ghz kb mb gb tb".split()
 )
-_TOKEN = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[.!?\n%€$£]")
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_TOKEN = re.compile(rf"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_{_UNSPACED}]+|[.!?\n%€$£]|[{_UNSPACED}]")
+#: Words and signs of items too short for windows.
+_SIGN = re.compile(r"[^\W_]+|[^\w\s]|_")
+#: Characters on either side of a hit by a short item in which its outer signs are looked for.
+MARGIN = 64
 _ENDS = frozenset(".!?\n")
 _SIGNS = frozenset("%€$£")
 NUMBER, UNIT, NAME = 1, 2, 3
+#: Forms: placeholders for numbers and units, for names as well, none.
+PLAIN, NAMED, EXACT = 0, 1, 2
 
 
 #: What is known of a token by itself: kind (-1: ends a sentence), whether it may be a name or a unit, hash.
@@ -55,7 +65,7 @@ _FACTS = np.dtype([("kind", "i1"), ("name", "?"), ("unit", "?"), ("hash", "<u8")
 
 class Canonical:
     """``read(text)``: the tokens of a text, which of them are words, the kind of slot of each word (0: none), and
-    their hashes in both forms."""
+    their hashes in the three forms."""
 
     def __init__(self, max_words: int = 150_000):
         self.max_words = max_words
@@ -65,7 +75,7 @@ class Canonical:
     def _facts(self, token: str) -> bytes:
         kind = -1 if token in _ENDS else UNIT if token in _SIGNS else NUMBER if token[0].isdecimal() else 0
         low = token.lower()
-        digest = int(self.slots[kind]) if kind > 0 else xxhash.xxh64_intdigest(low.encode())
+        digest = xxhash.xxh64_intdigest(low.encode())
         return np.array((kind, kind == 0 and token[0] != low[0], kind == 0 and low in UNITS, digest), _FACTS).tobytes()
 
     def _joined(self, tokens: list[str]) -> bytes:
@@ -86,19 +96,19 @@ class Canonical:
             out.append(got)
         return b"".join(out)
 
-    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         tokens = _TOKEN.findall(text)
         facts = np.frombuffer(self._joined(tokens), _FACTS)
-        kind, plain = facts["kind"].astype(np.int8), facts["hash"].astype(_U)
+        kind, exact = facts["kind"].astype(np.int8), facts["hash"].astype(_U)
         if len(kind):
             number, end = kind[:-1] == NUMBER, kind[:-1] == -1
             unit = np.concatenate([[False], number]) & facts["unit"]  # a unit is only one after a number
             kind[unit] = UNIT
-            plain[unit] = self.slots[UNIT]
             kind[facts["name"] & (kind == 0) & ~np.concatenate([[True], end])] = NAME
         at = np.flatnonzero(kind >= 0)
-        kind, plain = kind[at], plain[at]
-        return tokens, at, kind, plain, np.where(kind == NAME, self.slots[NAME], plain)
+        kind, exact = kind[at], exact[at]
+        plain = np.where((kind == NUMBER) | (kind == UNIT), self.slots[kind], exact)
+        return tokens, at, kind, (plain, np.where(kind == NAME, self.slots[NAME], plain), exact)
 
 
 _made: list[Canonical] = []
@@ -125,35 +135,48 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def window_hashes(words: np.ndarray, form: int, size: int) -> np.ndarray:
-    """Hashes of all windows of ``size`` words: sums of word hashes times powers by place, as differences of running sums."""
-    n = len(words) - size + 1
-    if n < 1 or size < LITERAL:
+def running_sums(words: np.ndarray) -> np.ndarray:
+    """Sums of word hashes times powers by place, up to each place."""
+    return np.concatenate([np.zeros(1, _U), np.cumsum(words * _power_table(len(words))[0])])
+
+
+def window_hashes(sums: np.ndarray, form: int, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` words, as differences of running sums."""
+    n = len(sums) - size
+    if n < 1 or size < 1:
         return np.zeros(0, _U)
-    up, down = _power_table(len(words))
-    sums = np.concatenate([np.zeros(1, _U), np.cumsum(words * up)])
-    return (sums[size:] - sums[:-size]) * down[:n] + _U((size << 1) + form)
+    return (sums[size:] - sums[:-size]) * _power_table(n)[1] + _U((size << 2) + form)
 
 
 def telling(kind: np.ndarray, form: int, size: int, at: np.ndarray) -> np.ndarray:
-    """Of windows that start ``at`` these places, those with enough ordinary words (names count in form 0)."""
-    slots = np.concatenate([[0], np.cumsum((kind > 0) if form else (kind == NUMBER) | (kind == UNIT))])
+    """Of windows that start ``at`` these places, those with enough ordinary words (names count but in form NAMED)."""
+    if form == EXACT:
+        return at
+    slots = np.concatenate([[0], np.cumsum((kind > 0) if form == NAMED else (kind == NUMBER) | (kind == UNIT))])
     return at[size - (slots[at + size] - slots[at]) >= LITERAL]
 
 
+def signs(text: str) -> str:
+    """Words and signs in lower case, each between two spaces."""
+    return f" {' '.join(_SIGN.findall(text.lower()))} "
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     canonical = canonical_words()
     for batch in batches:
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            tokens, order, kind, plain, named = canonical.read(text.as_py())
+            tokens, order, kind, forms = canonical.read(text.as_py())
             words = [tokens[i].lower() for i in order]
             size = min(WINDOW, len(words))
-            for form, h in ((0, plain), (1, named)):
-                hashes = window_hashes(h, form, size)
+            short = size < LITERAL and signs(text.as_py())
+            if short and len(short.split()) < LITERAL:
+                continue
+            for form, h in enumerate(forms):
+                hashes = window_hashes(running_sums(h), form, size)
                 at = telling(kind, form, size, np.arange(len(hashes)))
                 hashes = hashes[at]
-                values = [words[a : a + size] for a in at]
-                kinds = [kind[a : a + size].tolist() for a in at]
+                values = [[short] if short else words[a : a + size] for a in at]
+                kinds = [[0] if short else kind[a : a + size].tolist() for a in at]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "item_id": pa.array([item] * len(at), pa.int64()),
@@ -172,8 +195,14 @@ _ITEM = "item_id bigint, form int, item_at int, total int, size int, hash bigint
 _HIT = "doc_id bigint, row bigint, doc_at int, hash bigint, doc_words array<string>"
 
 
-def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
-    """All windows of documents whose hash is among ``wanted`` (sorted), or all if that is None."""
+def _around(text: str, order: np.ndarray, size: int, at: np.ndarray) -> list[list[str]]:
+    """Words and signs of windows that start ``at`` these words, and of the text beside them."""
+    spans = [m.span() for m in _TOKEN.finditer(text)]
+    return [[signs(text[max(0, spans[order[a]][0] - MARGIN) : spans[order[a + size - 1]][1] + MARGIN])] for a in at]
+
+
+def _doc_windows(wanted: np.ndarray | None, sizes: list[tuple[int, int]]):
+    """All windows of documents whose hash is among ``wanted`` (sorted), or all if that is None; ``sizes`` are (form, size)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = canonical_words()
@@ -184,10 +213,11 @@ def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
         for batch in batches:
             docs, rows, places, hashes, values = [], [], [], [], []
             for doc_id, text, row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                tokens, order, kind, plain, named = canonical.read(text.as_py())
-                for form, h in ((0, plain), (1, named)):
-                    for size in sizes:
-                        found = window_hashes(h, form, size)
+                tokens, order, kind, forms = canonical.read(text.as_py())
+                for form, h in enumerate(forms):
+                    sums = running_sums(h)
+                    for size in (n for f, n in sizes if f == form):
+                        found = window_hashes(sums, form, size)
                         if wanted is None:
                             at = np.arange(len(found))
                         else:
@@ -201,7 +231,10 @@ def _doc_windows(wanted: np.ndarray | None, sizes: list[int]):
                         rows += [row] * len(at)
                         places.append(at)
                         hashes.append(found)
-                        values += [[tokens[i].lower() for i in order[a : a + size]] for a in at]
+                        if size < LITERAL:
+                            values += _around(text.as_py(), order, size, at)
+                        else:
+                            values += [[tokens[i].lower() for i in order[a : a + size]] for a in at]
             if docs:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -280,13 +313,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     """doc_id, item_ids, cover, windows: one row per document that holds a benchmark item, others have none.
 
     cover is the largest share of an item's windows found. Null text on either side counts as empty and matches
-    nothing, nor does an item of placeholders only. Rows with the same doc_id are one document.
+    nothing, nor does an item of fewer than ``LITERAL`` words and signs. Rows with the same doc_id are one document.
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole_text(benchmark).alias("text"))
     items = stored(mapped(items, _item_windows, _ITEM), "item_windows")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text"), F.monotonically_increasing_id().alias("row"))
-    # Sizes of items shorter than a window; there are at most WINDOW of them.
-    sizes = sorted({r["size"] for r in items.select("size").distinct().collect()})
+    # Forms, and sizes of items shorter than a window; there are at most WINDOW of them in each form.
+    sizes = sorted((r["form"], r["size"]) for r in items.select("form", "size").distinct().collect())
     hashes = items.select("hash").distinct()
     if hashes.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         wanted = np.sort(hashes.toPandas()["hash"].to_numpy(np.int64).view(_U))
@@ -294,6 +327,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     else:
         hits = mapped(texts, _doc_windows(None, sizes), _HIT)
     found = stored(hits, "hits").join(items, "hash")
+    # Items too short for windows: the signs must be there as well.
+    short = F.col("size") < LITERAL
+    found = found.where(~short | F.col("doc_words")[0].contains(F.col("item_words")[0]))
+    found = found.withColumn("doc_words", F.when(short, F.col("item_words")).otherwise(F.col("doc_words")))
     # Rows with the same doc_id are one document, those without are one each.
     each = found.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("nameless"), "item_id", "form").agg(
         F.first("total").alias("total"), F.collect_list(F.struct("row", "doc_at", "item_at", "item_words", "doc_words", "kinds")).alias("matches")

@@ -156,6 +156,18 @@ def test_a_second_copy_hides_nothing(spark):
     assert {r.cover for r in got.values()} == {1.0}
 
 
+SHORT = ["What is 12 times 7?", "Compute 3 + 5 * 2 - 8 / 4 = x", "Solve 12 x + 7 = 31 for x.", "地球から月までの距離は何キロですか", "12 * 7 = ?", "5 km 3 h 20 min 8 m 2 s"]
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_items_without_telling_windows_are_found_verbatim(spark, monkeypatch, limit):
+    monkeypatch.setattr(template_leaks, "BROADCAST_WINDOWS", limit)
+    docs = [(i, f"Before it: {t} After it.") for i, t in enumerate(SHORT)]
+    docs += [(20, "What was 12 times 7? Compute 3 - 5. 12 + 7 = ? 5 km 4 h"), (21, "地球は丸いですか、月まで行けますか"), (22, "a b")]
+    got = leaked(spark, docs, [*enumerate(SHORT), (9, "a b")])
+    assert {i: r.item_ids for i, r in got.items()} == {i: [i] for i in range(len(SHORT))}
+
+
 def test_slots_must_be_read_alike():
     item = ["a", "3", "b", "3"]
     match = lambda at, words: {"item_at": at, "item_words": item, "doc_words": words, "kinds": [0, 1, 0, 1]}
