@@ -30,7 +30,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold at least half of a benchmark item, in its own or other numbers, names and units, go."""
+    """Documents that hold at least half of a benchmark item, in its own or other numbers, names and units, or 13 of
+    its words in a row, go."""
     return template_leaks.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

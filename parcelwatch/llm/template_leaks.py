@@ -13,7 +13,8 @@ equally far apart are one occurrence, also those that differ by up to ``DRIFT``
 document as a whole is tried as well. Within one, a value in a slot of the item must stand for one value
 throughout. Where a value meets two, only windows of the most frequent reading are counted, and those with the item's
 own words. A document is reported for an item if the windows left of its best occurrence cover at least
-``COVER`` of the item's windows.
+``COVER`` of the item's windows, or if it holds ``RUN`` consecutive words of the item literally, of which ``LITERAL``
+are ordinary words.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from .common import mapped, stored, whole_text, without_ids
 WINDOW = 8
 LITERAL = 5
 COVER = 0.5
+RUN = 13
 #: Most words by which two alignments of one occurrence differ.
 DRIFT = 4
 #: Most benchmark windows that are sent to all tasks; more are joined by a shuffle.
@@ -293,13 +295,25 @@ def occurrences(matches: list[dict]) -> Iterator[list[dict]]:
     yield _folded(matches)
 
 
+def literal_run(matches: list[dict], run: int = RUN) -> bool:
+    """Whether literal windows of one alignment of ``matches`` hold ``run`` consecutive words of the item with enough ordinary ones."""
+    at = {(m["row"], m["doc_at"] - m["item_at"], m["item_at"]): m["kinds"] for m in matches}
+    for (row, apart, a), first in at.items():
+        more = run - len(first)
+        if more >= 0 and all((row, apart, a + k) in at for k in range(more + 1)):
+            kinds = first + [at[row, apart, a + k][-1] for k in range(1, more + 1)]
+            if sum(k in (0, NAME) for k in kinds) >= LITERAL:
+                return True
+    return False
+
+
 def _judge(cover: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 good = max(len(consistent(o)) for o in occurrences(r["matches"]))
-                if good >= cover * r["total"]:
+                if good >= cover * r["total"] or (r["form"] == EXACT and literal_run(r["matches"])):
                     out.append((r["doc_id"], r["item_id"], good, r["total"]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
@@ -312,7 +326,8 @@ def _judge(cover: float):
 def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """doc_id, item_ids, cover, windows: one row per document that holds a benchmark item, others have none.
 
-    cover is the largest share of an item's windows found. Null text on either side counts as empty and matches
+    cover is the largest share of an item's windows found; where a literal run reports a document it may be small. windows
+    are those found of all these items, in each form. Null text on either side counts as empty and matches
     nothing, nor does an item of fewer than ``LITERAL`` words and signs. Rows with the same doc_id are one document.
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole_text(benchmark).alias("text"))

@@ -168,6 +168,17 @@ def test_items_without_telling_windows_are_found_verbatim(spark, monkeypatch, li
     assert {i: r.item_ids for i, r in got.items()} == {i: [i] for i in range(len(SHORT))}
 
 
+def test_literal_runs_are_reported(spark):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("bcdfgaeiou") for _ in range(6)) for _ in range(60)]
+    numbers = " ".join(str(i) for i in range(40))
+    docs = [(i, "Before it all. " + " ".join(words[i : i + n]) + " and after.") for i, n in ((1, 25), (2, 13), (3, 12), (47, 13))]
+    docs += [(100, " ".join(words[:9] + words[20:29])), (101, numbers[:60]), (102, f"{' '.join(words[:10])} and {' '.join(words[3:13])}")]
+    got = leaked(spark, docs, [(1, " ".join(words)), (2, f"{' '.join(words[:3])} {numbers}")])
+    assert {i: r.item_ids for i, r in got.items()} == {1: [1], 2: [1], 47: [1]}
+    assert got[1].cover == 18 / 53
+
+
 def test_slots_must_be_read_alike():
     item = ["a", "3", "b", "3"]
     match = lambda at, words: {"item_at": at, "item_words": item, "doc_words": words, "kinds": [0, 1, 0, 1]}
