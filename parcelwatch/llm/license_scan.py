@@ -6,7 +6,13 @@ digits) and compared to licence templates by the Dice coefficient of their sets
 Two bounds save most of the work and lose nothing. A unit of a bigrams can reach ``LEAST`` only with templates of
 a r to a / r bigrams, r = LEAST / (2 - LEAST). And it must hold more than the share r of the template's bigrams, so it
 holds one of the template's anchors, words that lie in at least the rest of them; a text without any anchor is
-done with. Everything is built-in functions inside one projection: no row is moved or multiplied.
+done with.
+
+Notices that are no such unit, in several paragraphs or within longer prose, are passages: runs of words of what is
+left of the text when units that match are taken out. A run gains by every further bigram of the template at its
+ends, so the best one begins and ends where streaks of such bigrams do, and only those are compared.
+
+Everything is built-in functions inside one projection: no row is moved or multiplied.
 """
 
 from __future__ import annotations
@@ -67,18 +73,73 @@ def anchors(words: list[str], least: float) -> set[str]:
     return picked
 
 
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with the value bound to a lambda variable."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _passages(words: Column, templates: Column, part: int) -> Column:
+    """Of an array of words the runs that are most similar to a template, not overlapping, in order: (start, permille, license)."""
+
+    def runs(grams: Column, t: Column) -> Column:
+        need = F.ceil(t["size"] * part / (2000 - part)).cast("int")  # bigrams that the run must hold of the template
+        most = 2 * t["size"]
+
+        def best(at: Column) -> Column:
+            ends = lambda p, n: F.filter(
+                F.slice(F.transform(at, lambda e, m: F.struct(e.alias("e"), F.coalesce(F.get(at, m + 1) != e + 1, F.lit(True)).alias("last"))), n + need, most),
+                lambda x: x["last"] & (x["e"] - p < most),
+            )
+            starts = F.filter(
+                F.transform(at, lambda p, n: F.struct(p.alias("p"), n.alias("n"))),
+                lambda s: (F.get(at, s["n"] + need - 1) - s["p"] < most) & F.coalesce(F.get(at, s["n"] - 1) != s["p"] - 1, F.lit(True)),
+            )
+
+            def scored(p: Column, e: Column) -> Column:
+                return _let(
+                    F.array_distinct(F.slice(grams, p + 1, e - p + 1)),
+                    lambda g: F.struct(
+                        F.floor(2000 * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["size"])).cast("int").alias("permille"),
+                        t["size"].alias("size"),
+                        t["order"].alias("order"),
+                        (-p).alias("back"),
+                        e.alias("end"),
+                        t["license"].alias("license"),
+                    ),
+                )
+
+            return F.flatten(F.transform(starts, lambda s: F.transform(ends(s["p"], s["n"]), lambda x: scored(s["p"], x["e"]))))
+
+        places = F.transform(grams, lambda x, i: F.when(F.array_contains(t["grams"], x), i))
+        return _let(F.filter(places, lambda i: i.isNotNull()), best)
+
+    def chosen(every: Column) -> Column:
+        ranked = F.reverse(F.array_sort(F.filter(every, lambda r: r["permille"] >= part)))
+        none = F.filter(ranked, lambda r: F.lit(False))
+        apart = lambda kept, r: ~F.exists(kept, lambda k: (-k["back"] <= r["end"]) & (-r["back"] <= k["end"]))
+        kept = F.aggregate(ranked, none, lambda acc, r: F.when(apart(acc, r), F.concat(acc, F.array(r))).otherwise(acc))
+        return F.array_sort(F.transform(kept, lambda r: F.struct((-r["back"]).alias("start"), r["permille"].alias("permille"), r["license"].alias("license"))))
+
+    hopeful = F.filter(templates, lambda t: F.arrays_overlap(words, t["anchors"]))
+    each = F.filter(F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b)), lambda x: x.isNotNull())
+    return _let(each, lambda grams: chosen(F.flatten(F.transform(hopeful, lambda t: runs(grams, t)))))
+
+
 def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """All columns of ``docs`` but a ``matches`` it may have, and ``matches``: an array of (unit, nth, permille, license).
 
     unit is line, paragraph (where it has several lines) or text (where it has several paragraphs), nth its number among
-    those, from 0; license is that of the most similar template (of equally similar ones, the first), permille its
+    those, from 0; or passage, a run of words elsewhere, nth by order. license is that of the most similar template (of equally similar ones, the first), permille its
     coefficient, cut off. Null text counts as empty and has no matches. A unit of one word has no bigrams.
     """
-    known = [(name, _bigrams(_normal(t))) for name, t in templates]
+    known = [(name, _bigrams(_normal(t)), sorted(anchors(_normal(t), least))) for name, t in templates]
     part = round(1000 * least)  # bounds are compared in whole numbers
     hints = F.array(*map(F.lit, sorted(set().union(*(anchors(_normal(t), least) for _, t in templates)))))
     table = F.array(
-        *(F.struct(F.lit(-i).alias("order"), F.lit(n).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(len(g)).alias("size")) for i, (n, g) in enumerate(known))
+        *(
+            F.struct(F.lit(-i).alias("order"), F.lit(n).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(len(g)).alias("size"), F.array(*map(F.lit, a)).alias("anchors"))
+            for i, (n, g, a) in enumerate(known)
+        )
     )
 
     def words(body: Column) -> Column:
@@ -118,6 +179,25 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
     judged = F.transform(with_grams, lambda u: F.struct(u["unit"].alias("unit"), u["nth"].alias("nth"), best(u).alias("best")))
     found = F.filter(judged, lambda m: m["best"]["permille"] >= part)
     found = F.transform(found, lambda m: F.struct(m["unit"], m["nth"], m["best"]["permille"].alias("permille"), m["best"]["license"].alias("license")))
+
+    def left(found: Column) -> Column:
+        """The words that are in no unit that matches; one ``|`` stands for such a unit."""
+        taken = lambda kind, i: F.exists(found, lambda m: (m["unit"] == kind) & (m["nth"] == i))
+        bodies = F.filter(F.transform(F.split("_text", "\n", -1), lambda x, i: F.when(taken("line", i), F.trim(x))), lambda x: x.isNotNull())
+        rest = F.transform(
+            paragraphs,
+            lambda x, i: F.when(taken("paragraph", i), F.array(F.lit("|"))).otherwise(
+                F.transform(F.split(x, "\n", -1), lambda y: F.when(F.array_contains(bodies, F.trim(y)), F.lit("|")).otherwise(y))
+            ),
+        )
+        return F.when(taken("text", F.lit(0)), F.array().cast("array<string>")).otherwise(words(F.array_join(F.flatten(rest), " ")))
+
+    def with_passages(found: Column) -> Column:
+        more = _let(left(found), lambda w: F.when(F.arrays_overlap(w, hints), _passages(w, table, part)))
+        more = F.coalesce(more, F.array().cast("array<struct<start:int,permille:int,license:string>>"))
+        return F.concat(found, F.transform(more, lambda m, i: F.struct(F.lit("passage").alias("unit"), i.alias("nth"), m["permille"].alias("permille"), m["license"].alias("license"))))
+
+    found = _let(found, with_passages)
     none = F.array().cast("array<struct<unit:string,nth:int,permille:int,license:string>>")
     read = docs.select(*names, text.alias("_text"))
     some = F.arrays_overlap(F.split(F.translate("_text", "\n", " "), " "), hints)

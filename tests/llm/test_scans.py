@@ -102,6 +102,25 @@ def test_license_units_and_bounds(spark, edge_docs, no_docs):
     assert "matches" in license_scan.license_matches(edge_docs).columns
 
 
+def test_notices_within_longer_texts(spark):
+    full = {n: t for n, t in license_scan.TEMPLATES if len(t) > 200}
+    mit = full["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    gpl = full["GPL-3.0"].replace("version. This", "version.\n\nThis").replace("PURPOSE. See", "PURPOSE. See\n")
+    wrap = lambda t: "\n\n".join("\n".join(" # " + " ".join(p.split()[i : i + 9]) for i in range(0, len(p.split()), 9)) for p in t.split("\n\n"))
+    code = "".join(f"\n\ndef step{i}(argv{i}):\n    return path.join{i}(argv{i}, {i})\n" for i in range(40))
+    rows = [
+        (1, "Copyright 2020 A. Body\n\n" + wrap(mit) + code),
+        (2, code + wrap(gpl) + code),
+        (3, "We wrote it long ago. Released under the MIT License. Please write to us if you like it, we read all letters."),
+        (4, "Both are here: Licensed under CC BY-NC 4.0. and also this work is licensed under the GNU General Public License, version 3, as you see."),
+        (5, "Released under the MIT License.\nOther lines are here and the GNU General Public License, which is not named by its version."),
+        (6, "The license of the software is a matter of the public, without any word of the kind. " * 20),
+    ]
+    got = {r.doc_id: r for r in license_scan.license_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i: r.licenses for i, r in got.items()} == {1: "MIT", 2: "GPL-3.0", 3: "MIT", 4: "CC-BY-NC-4.0,GPL-3.0", 5: "MIT", 6: ""}
+    assert got[3].matches == "passage:0:MIT:1000" and got[5].matches == "line:0:MIT:1000" and got[1].best == 1000
+
+
 @pytest.mark.parametrize("name,text", license_scan.TEMPLATES)
 def test_anchors_cannot_be_missed(name, text):
     words = license_scan._normal(text)
