@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, length_histogram, license_scan, near_dup, piece_chunks, quality, rans, secret_links, template_leaks
+from . import exact_dedup, fill_middle, language, length_histogram, license_scan, near_dup, piece_chunks, quality, rans, secret_links, template_leaks, turn_repair
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,75 @@ def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.quality_scores(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_report(documents(spark, sf_dir))
+
+
+ORACLES["op12_fill_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           [CAST('0x' || substr(sha256('1:' || doc_id), 8 * i + 1, 8) AS BIGINT) for i in range(4)] AS h FROM documents),
+c AS (SELECT doc_id, t, u, len(u) AS n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+      CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[:a], '') AS x, array_to_string(u[a + 1 : b], '') AS y, array_to_string(u[b + 1 :], '') AS z FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired(turn_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def _repair_sql() -> str:
+    """The least (cost, audit) per role state after each row, row by row; inserts are two steps at most."""
+    crc = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ord(c)::BIGINT for c in string_split(%s, '')]), lambda a, b: xor(a >> 8, crc.v[xor(a, b) & 255 + 1])))"
+    table = "n"
+    for _ in range(8):
+        table = f"[CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END for x in [{table}]][1]"
+    crc = crc.replace("& 255 + 1", "%% 256 + 1")
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    moves = "(VALUES (0, '', 0, '', 0), (1, '', 1, '', 0), (2, '', 2, '', 0), (3, '', 3, '', 0), (0, 'I', 2, 'user:', 1), (1, 'I', 2, 'user:', 1), (2, 'I', 3, 'assistant:', 1), (3, 'I', 2, 'user:', 1), (0, 'II', 3, 'user:' || chr(10) || 'assistant:', 2), (1, 'II', 3, 'user:' || chr(10) || 'assistant:', 2)) i(f, ins, g, said, k)"
+    return f"""
+WITH RECURSIVE crc AS (SELECT [{table} for n in range(256)] AS v),
+f AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc % key} % 20 AS fault FROM conversations, crc),
+g AS (SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+      CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(CASE fault WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE fault <> 0),
+h AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS nth,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+      regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS e FROM g),
+r AS (SELECT *, substr(role, 1, 1) AS who, CASE WHEN e = '' THEN 1 WHEN again THEN 2 WHEN e NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM h),
+w AS (SELECT *, lag(who) OVER (PARTITION BY conv_id ORDER BY nth) || who AS pair FROM r),
+s AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+      count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM w GROUP BY conv_id),
+b AS (SELECT conv_id, CAST(0 AS BIGINT) AS nth, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS said FROM s
+      UNION ALL
+      SELECT conv_id, nth, q, m.cost, m.audit, m.said FROM (
+        SELECT b.conv_id, r.nth, t.q, min(struct_pack(cost := b.cost + 3 * i.k + t.c, audit := b.audit || i.ins || t.x,
+               said := list_concat(b.said, CASE i.k WHEN 0 THEN [] ELSE [i.said] END, t.said))) AS m
+        FROM b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.nth = b.nth + 1
+        JOIN {moves} ON i.f = b.q,
+        LATERAL (SELECT unnest([
+          {{'x': 'D', 'q': i.g, 'c': 4, 'said': CAST([] AS VARCHAR[]), 'ok': true}},
+          {{'x': 'K', 'q': CASE i.g WHEN 2 THEN 3 ELSE 2 END, 'c': CASE r.fault WHEN 3 THEN 3 ELSE 0 END, 'said': [r.role || ':' || r.text],
+            'ok': r.fault IN (0, 3) AND r.who = CASE i.g WHEN 2 THEN 'a' ELSE 'u' END}},
+          {{'x': 'K', 'q': 1, 'c': CASE r.fault WHEN 3 THEN 3 ELSE 0 END, 'said': [r.role || ':' || r.text], 'ok': r.fault IN (0, 3) AND r.who = 's' AND i.g = 0}},
+          {{'x': 'R', 'q': CASE i.g WHEN 2 THEN 3 ELSE 2 END, 'c': CASE r.fault WHEN 3 THEN 6 ELSE 3 END,
+            'said': [CASE i.g WHEN 2 THEN 'assistant:' ELSE 'user:' END || r.text], 'ok': r.fault IN (0, 3)}}], recursive := true)) t
+        WHERE t.ok GROUP BY b.conv_id, r.nth, t.q)),
+z AS (SELECT b.conv_id, min(struct_pack(cost := b.cost + CASE q WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END, audit := b.audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+      said := list_concat(b.said, CASE q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END))) AS m
+      FROM b JOIN s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.n = b.nth GROUP BY b.conv_id),
+a AS (SELECT s.* EXCLUDE (n), m.cost AS cost, m.audit AS audit, sha256(array_to_string(m.said, chr(10))) AS repaired_sha256 FROM s JOIN z ON s.conv_id IS NOT DISTINCT FROM z.conv_id)
+FROM a UNION ALL
+SELECT DISTINCT conv_id, 0, 0, 0, 0, 0, 0, '', sha256('') FROM conversations c WHERE NOT EXISTS (FROM g WHERE g.conv_id IS NOT DISTINCT FROM c.conv_id)
+"""
+
+
+ORACLES["op13_turn_repair"] = _repair_sql()
