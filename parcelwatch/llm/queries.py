@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fill_middle, language, length_histogram, license_scan, near_dup, piece_chunks, quality, rans, secret_links, template_leaks, turn_repair
+from . import exact_dedup, fill_middle, language, length_histogram, license_scan, near_dup, piece_chunks, quality, rans, secret_links, set_relations, template_leaks, turn_repair
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,11 @@ def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+@query
+def op11_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_relations.similar_sets(documents(spark, sf_dir), width=5, percent=80)
+
+
 @query
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_report(documents(spark, sf_dir))
