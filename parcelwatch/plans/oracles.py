@@ -221,7 +221,10 @@ _TN_DEEP = "kind < 4"
 ORACLES: dict[str, str] = {
     # sources and sinks
     "src_shipments": f"WITH {_SHIP} SELECT * FROM ship",
-    "src_bodies": f"WITH {_EV} SELECT tracking_number, COUNT(DISTINCT capture) AS bodies FROM ev GROUP BY 1",
+    "src_bodies": f"""WITH {_FACT}, {_LAST} SELECT layout, tracking_number, code, status_by_locale, scan_count
+        FROM last, (VALUES ('document'), ('lines'), ('indented')) AS l(layout)""",
+    "quarantined_bodies": f"""WITH {_FACT} SELECT tracking_number,
+         CASE WHEN kind = 4 AND user_id % 3 = 0 THEN 'not json' ELSE 'kept' END AS state, COUNT(*) AS bodies FROM fact GROUP BY 1, 2""",
     "sink_bodies": f"""WITH {_FACT}, body AS (SELECT DISTINCT capture, part, 0 AS is_flat FROM fact WHERE kind < 4
         UNION ALL SELECT capture, user_id, 1 FROM fact WHERE kind = 4)
         SELECT capture % 2 AS batch, CAST(is_flat AS BIGINT) AS is_flat, COUNT(*) AS bodies FROM body GROUP BY 1, 2""",

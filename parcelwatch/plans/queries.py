@@ -95,11 +95,19 @@ def q_src_shipments(spark: SparkSession, sf: str) -> DataFrame:
     return snake(src_shipments(spark, path)).withColumn("row_id", F.col("row_id").cast("bigint"))
 
 
-def _write_body_files(spark: SparkSession, sf: str) -> str:
-    """One array document per capture, which holds a bounded number of events."""
+def _write_body_files(spark: SparkSession, sf: str, layout: str, text: Column | None = None) -> str:
+    """One document per capture, which holds a bounded number of events. Names sort as captures do."""
     path = scratch_dir(spark, "bodies")
-    docs = fx.body_texts(spark, sf).groupBy("capture").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("text"), ","), F.lit("]")).alias("value")
+    text = F.col("text") if text is None else text
+    own_lines = F.concat(F.lit("  {\n    "), text.substr(F.lit(2), F.length(text) - 2), F.lit("\n  }"))
+    head, member, between, tail = {
+        "document": ("[", text, ",", "]"),
+        "lines": ("", text, "\n", ""),
+        "indented": ("[\n", own_lines, ",\n", "\n]"),
+    }[layout]
+    name = F.lpad(F.col("capture").cast("string"), 9, "0").alias("capture")
+    docs = fx.body_texts(spark, sf).groupBy(name).agg(
+        F.concat(F.lit(head), F.array_join(F.collect_list(member), between), F.lit(tail)).alias("value")
     )
     docs.repartition("capture").write.partitionBy("capture").text(path)
     return path
@@ -107,10 +115,28 @@ def _write_body_files(spark: SparkSession, sf: str) -> str:
 
 @query
 def q_src_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    read = body_files.src_bodies(spark, _write_body_files(spark, sf), "document")
-    return lookup.body_numbers(read, ["file", "pos"]).groupBy("tracking_number").agg(
-        F.count(F.lit(1)).alias("bodies")
-    )
+    """Facts of every number, read back from dumps of each layout."""
+    read = []
+    for layout in ("document", "lines", "indented"):
+        bodies = body_files.src_bodies(spark, _write_body_files(spark, sf, layout), layout)
+        facts = lookup.replay_facts(bodies, body_files.BODY_ORDER)
+        read.append(facts.select(F.lit(layout).alias("layout"), "tracking_number", "code", F.col("statusByLocale").alias("status_by_locale"), "scan_count"))
+    return read[0].unionAll(read[1]).unionAll(read[2])
+
+
+@query
+def q_quarantined_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """Dumps in which every third flat body is damaged, by a value without quotes or by a string that is not closed: what is kept, and what
+    is in quarantine."""
+    number = F.regexp_extract("text", r'^\{"trackingNumber":"([0-9]+)', 1).cast("int")
+    harm = F.when(number % 2 == 0, '"code":x"').otherwise('"code":')
+    text = F.when((F.col("kind") == 1) & (number % 3 == 0), F.replace("text", F.lit('"code":"'), harm)).otherwise(F.col("text"))
+    path = _write_body_files(spark, sf, "document", text)
+    kept = lookup.body_numbers(body_files.src_bodies(spark, path, on_corrupt="skip"), body_files.BODY_ORDER)
+    lost = body_files.quarantined_bodies(spark, path)
+    lost = lost.select(F.regexp_extract("text", '"trackingNumber":"([0-9]+)', 1).alias("tracking_number"), F.col("cause").alias("state"))
+    every = kept.select("tracking_number", F.lit("kept").alias("state")).unionAll(lost)
+    return every.groupBy("tracking_number", "state").agg(F.count(F.lit(1)).alias("bodies"))
 
 
 def _append_in_two(spark: SparkSession, sf: str) -> str:
