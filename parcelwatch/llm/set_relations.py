@@ -7,8 +7,9 @@
 3. Skipping: a list is kept in blocks by set size, such that linked sets lie in the same block or in neighbouring ones. The place of the
    shingle in a set bounds the overlap that is still possible and so the sizes of partners; an entry is given to the
    next block only where its place lets it reach so far, and a short block gives only pairs whose places and sizes fit.
-4. Short blocks give pairs. Of a longer one each member is compared with the first, the lead. Union-find joins what is linked; a block whose
-   members are all joined by then is done.
+4. Short blocks give pairs. Of a longer one each member is compared with the first, the lead. Pairs go on to their full sets only where
+   bit patterns of the sets (each bit the parity of some shingles, so that the patterns differ in no more bits than the sets in shingles) leave
+   it open whether they are linked. Union-find joins what is linked; a block whose members are all joined by then is done.
 5. Derived answers: in what is left, members are similar to their lead, so each is known by its difference from it, shingles missing and
    shingles added. The overlap of two members follows from the two differences alone; their full sets are not touched again. Members are
    dealt into blocks of bounded size, only links leave a task, and members that are joined already are not compared.
@@ -27,14 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mapped, small_or_shuffled, stored, whole_text
+from .common import BROADCAST_IDS, components, mapped, small_or_shuffled, stored, whole_text
 from .shingles import Shingler
 
 #: Longest list that counts as short; a shingle with a longer list comes late in the order.
 COMMON = 8
 #: Shingles that come late, at most: those with the longest lists. They are sent to the tasks, 16 bytes each.
 LATE = 1 << 17
-ROUNDS = 3
+ROUNDS = 2
+#: Bits of a set's pattern.
+BITS = 2048
 #: Pairs of one lead that a task compares; members, and shingles of their sets, of a block of step 5.
 PAIRS = 512
 BLOCK, BLOCK_SHINGLES = 256, 1 << 18
@@ -49,12 +52,14 @@ def _index(width: int, percent: int, late):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                sizes, prints, lists, ends = [], [], [], [0]
+                sizes, prints, bits, lists, ends = [], [], [], [], [0]
                 for text in piece.column("text").to_pylist():
                     hashes = shingler.hashes(text)
                     n = len(hashes)
                     sizes.append(n)
                     prints.append(xxhash.xxh3_128_digest(hashes.tobytes()) if n else None)
+                    parity = np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+                    bits.append(np.packbits(parity.astype(bool)).view(np.int64))
                     if n and len(tokens):
                         place = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
                         last = tokens[place] == hashes
@@ -63,8 +68,11 @@ def _index(width: int, percent: int, late):
                     ends.append(ends[-1] + len(lists[-1]))
                 values = np.concatenate(lists).view(np.int64) if lists else np.empty(0, np.int64)
                 index = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+                patterns = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bits) if bits else np.empty(0, np.int64)), BITS // 64)
+                patterns = patterns.cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), index], ["doc_id", "n", "print", "tokens"]
+                    [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), patterns, index],
+                    ["doc_id", "n", "print", "bits", "tokens"],
                 )
 
     return run
@@ -174,23 +182,35 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int, differences: bool
     often = stored(pairs.groupBy("a").count().where(F.col("count") > PAIRS).select("a", F.ceil(F.col("count") / PAIRS).alias("salts")), "often")
     often = small_or_shuffled(often)
     salts = F.coalesce("salts", F.lit(1))
-    members = pairs.join(sets.select(F.col("node").alias("b"), "shingles"), "b").join(often, "a", "left")
-    members = members.select("a", F.pmod(F.xxhash64("b"), salts).alias("salt"), "b", "shingles")
-    leads = pairs.select("a").distinct().join(sets.select(F.col("node").alias("a"), "shingles"), "a").join(often, "a", "left")
-    leads = leads.select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"), F.lit(None).cast("bigint").alias("b"), "shingles")
-    rows = leads.union(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    members = pairs.join(often, "a", "left").select("a", F.pmod(F.xxhash64("b"), salts).alias("salt"), "b", F.col("b").alias("node"))
+    leads = pairs.select("a").distinct().join(often, "a", "left")
+    salt = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt")
+    leads = leads.select("a", salt, F.lit(None).cast("bigint").alias("b"), F.col("a").alias("node"))
+    rows = leads.union(members).join(sets, "node").select("a", "salt", "b", "shingles")
+    rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     schema = "a bigint, b bigint" + (", minus binary, plus binary, lead_n bigint" if differences else "")
     return stored(mapped(rows, _against_lead(percent, differences), schema), label)
 
 
-def _of_nodes(texts: DataFrame, nodes: DataFrame, run, schema: str) -> DataFrame:
-    """What ``run`` makes of the texts of ``nodes(node, doc_id, print)``, a stored table, beside their node."""
-    wanted = small_or_shuffled(nodes.select(F.col("doc_id").alias("_id")).distinct())
-    rows = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
-    rows = mapped(rows, run, schema).dropDuplicates(["print"])
+def _of_nodes(texts: DataFrame, nodes: DataFrame, run, schema: str, select: bool) -> DataFrame:
+    """What ``run`` makes of the texts of ``nodes(node, doc_id, print)``, a stored table, beside their node. Where there are too many nodes to
+    send to the tasks, texts are selected by a shuffle, or (``select`` false, for small results) afterwards."""
+    wanted = nodes.select(F.col("doc_id").alias("_id")).distinct()
+    few = nodes.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    if few or select:
+        wanted = F.broadcast(wanted) if few else wanted
+        texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
+    rows = mapped(texts, run, schema).dropDuplicates(["print"])
     return rows.join(nodes.select("print", "node"), "print").drop("print")
 
 
+def _discard(table: DataFrame) -> None:
+    """Delete a stored table that all readers are done with."""
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.inputFiles()[0]).getParent()
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def similar_sets(
     docs: DataFrame, width: int = 5, percent: int = 80, common: int = COMMON, late: int = LATE, rounds: int = ROUNDS, block: int = BLOCK
 ) -> DataFrame:
@@ -203,15 +223,16 @@ def similar_sets(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-    signed = mapped(texts, _index(width, percent, None), "doc_id bigint, n bigint, print binary, tokens array<bigint>")
+    columns = "doc_id bigint, n bigint, print binary, bits array<bigint>, tokens array<bigint>"
+    signed = mapped(texts, _index(width, percent, None), columns)
     signed = stored(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
     classes = signed.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("node"))
     classes = stored(classes, "classes")
     index = signed.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "n", "tokens")
 
     found = np.empty(0, np.int64), np.empty(0, np.int64)
+    index = stored(index, "index")
     for left in reversed(range(rounds)):
-        index = stored(index, "index")
         counts = stored(index.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1"), "counts")
         if not left or late <= len(found[0]):
             break
@@ -227,17 +248,18 @@ def similar_sets(
         moved = F.broadcast(counts.where(F.col("count") > common).orderBy(F.desc("count"), "token").limit(late))
         touched = index.select("node", F.explode("tokens").alias("token")).join(moved, "token").select("node").distinct()
         touched = stored(touched.join(classes, "node"), "touched")
-        again = _of_nodes(texts, touched, _index(width, percent, sent), "doc_id bigint, n bigint, print binary, tokens array<bigint>")
+        again = _of_nodes(texts, touched, _index(width, percent, sent), columns, select=False)
         kept = index.join(small_or_shuffled(touched.select("node")), "node", "left_anti")
-        index = kept.unionByName(again.select("node", "n", "tokens"))
+        before, index = index, stored(kept.unionByName(again.select("node", "n", "tokens")), "index")
+        _discard(before)
 
     # Blocks of list entries: sizes from ``low`` on and below ``high``, each bound 100 / percent times the one before it.
     bounds = [1]
     while bounds[-1] < 1 << 40:
         bounds.append(bounds[-1] * 100 // percent + 1)
     edges = F.array(*(F.lit(b).cast("bigint") for b in bounds))
-    entries = index.select("node", "n", F.size(F.filter(edges, lambda b: b <= F.col("n"))).alias("band"), F.posexplode("tokens").alias("pos", "token"))
-    entries = entries.join(counts.select("token"), "token")
+    entries = index.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(counts.select("token"), "token")
+    entries = entries.withColumn("band", F.size(F.filter(edges, lambda b: b <= F.col("n"))))
     # With its first common shingle at ``pos`` a set has at most n - pos in common with another, which limits the other's size.
     most = F.floor((F.col("n") - F.col("pos")) * (100 + percent) / percent + 1e-9).cast("bigint") - F.col("n")
     reach = most >= F.element_at(edges, F.col("band") + 1)
@@ -248,6 +270,7 @@ def similar_sets(
         F.count(F.lit(1)).alias("size"), F.min(F.when(F.col("own"), F.col("node"))).alias("lead"), F.bit_xor(F.xxhash64("node", "own")).alias("mark")
     )
     lists = stored(lists.where("size > 1 and lead is not null"), "lists")
+    _discard(index)
 
     few = hits.join(lists.where(F.col("size") <= common).select("token", "band"), ["token", "band"])
     few = few.groupBy("token", "band").agg(F.sort_array(F.collect_list(F.struct("node", "n", "most", "own"))).alias("m"))
@@ -260,13 +283,18 @@ def similar_sets(
     pairs = few.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
     long = lists.where(F.col("size") > common).dropDuplicates(["size", "lead", "mark"]).select("token", "band", "lead", "size")
     long = stored(long, "long")
-    many = stored(hits.join(long, ["token", "band"]).select("token", "band", "lead", "size", "node", "n"), "many")
+    many = stored(hits.join(small_or_shuffled(long), ["token", "band"]).select("token", "band", "lead", "size", "node", "n"), "many")
     pairs = stored(pairs.union(many.where("node != lead").select("lead", "node")).distinct(), "pairs")
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = stored(needed.join(classes, "node"), "needed")
-    sets = stored(_of_nodes(texts, needed, _sets(width), "print binary, shingles binary"), "sets")
-    links = _compared(pairs, sets, percent, False, "links")
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "ends")
+    patterns = stored(signed.join(small_or_shuffled(ends), "row").select("row", "n", "bits"), "patterns")
+    for end in ("a", "b"):
+        pairs = pairs.join(patterns.select(F.col("row").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")), end)
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    common_at_most = F.least("n_a", "n_b", F.floor((F.col("n_a") + F.col("n_b") - differ) / 2))
+    pairs = pairs.where(100 * common_at_most >= percent * (F.col("n_a") + F.col("n_b") - common_at_most)).select("a", "b")
+    pairs = stored(pairs, "candidates")
+    links = _compared(pairs, _full_sets(texts, classes, pairs, width), percent, False, "links")
     groups = stored(components(links), "groups")
 
     marked = many.join(groups, "node", "left").select("token", "band", "lead", "size", "node", "n", F.coalesce("component", "node").alias("joined"))
@@ -274,18 +302,27 @@ def similar_sets(
     opened = marked.groupBy("token", "band", "lead", "size").agg(F.min("joined").alias("x"), F.max("joined").alias("y")).where("x != y")
     opened = stored(opened.select("token", "band", "lead", "size"), "opened")
     if not opened.isEmpty():
-        links = links.union(_left_open(marked, opened, groups, pairs, sets, percent, block))
+        links = links.union(_left_open(marked, opened, groups, texts, classes, width, percent, block))
         groups = stored(components(links), "groups")
 
     least = groups.join(classes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = classes.join(groups, "node", "left").join(least, "component", "left")
+    named = classes.join(groups, "node", "left").join(small_or_shuffled(stored(least, "least")), "component", "left")
     named = named.select(F.col("print").alias("_print"), F.coalesce("component_id", "doc_id").alias("component_id"))
     out = signed.join(named, signed["print"] == named["_print"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _left_open(marked: DataFrame, opened: DataFrame, groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def _full_sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of all that ``pairs(a, b)`` name."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = stored(needed.join(classes, "node"), "needed")
+    return stored(_of_nodes(texts, needed, _sets(width), "print binary, shingles binary", select=True), "sets")
+
+
+def _left_open(
+    marked: DataFrame, opened: DataFrame, groups: DataFrame, texts: DataFrame, classes: DataFrame, width: int, percent: int, block: int
+) -> DataFrame:
     """Links between members of long blocks that the comparison with the lead did not join."""
     members = marked.join(small_or_shuffled(opened.select("token", "band")), ["token", "band"])
     # Lists with the same lead hold much the same sets: they are taken as one where that compares less.
@@ -312,7 +349,7 @@ def _left_open(marked: DataFrame, opened: DataFrame, groups: DataFrame, pairs: D
     last = F.when(F.col("rest"), F.col("rest_blocks") + F.col("core_blocks") - 1).otherwise(F.col("rest_blocks") - 1)
     split = split.select("lead", "key", "node", "joined", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("with"))
     split = split.select("lead", "key", "node", "joined", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"))
-    wanted = members.select(F.col("lead").alias("a"), F.col("node").alias("b")).where("a != b").distinct()
-    answers = _compared(wanted, sets, percent, True, "answers").withColumnsRenamed({"a": "lead", "b": "node"})
+    wanted = stored(members.select(F.col("lead").alias("a"), F.col("node").alias("b")).where("a != b").distinct(), "wanted")
+    answers = _compared(wanted, _full_sets(texts, classes, wanted, width), percent, True, "answers").withColumnsRenamed({"a": "lead", "b": "node"})
     more = split.join(answers, ["lead", "node"]).groupBy("lead", "key", "lo", "hi").applyInPandas(_derive(percent), "a bigint, b bigint")
     return stored(more.distinct(), "more_links")
