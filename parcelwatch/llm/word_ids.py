@@ -1,15 +1,22 @@
 """Ids of the word-end BPE tokenizer, segmenting each distinct word once.
 
 The tokenizer drops white space and never joins characters across it, so a text's ids are its words' ids in
-order. A table of words seen, bounded in size, saves most of the work; what it misses goes to the library.
+order. A table of words seen, bounded in size, saves most of the work; what it misses goes to the library. The table has two
+generations: when the younger is full it becomes the older, and words that come again move back, so that a flood of
+rare words does not push out the frequent ones.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-_ALPHA = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+_BIG_ENDIAN = sys.byteorder == "big"
+# Letters up to U+024F, but for one, keep their number in lower case and are composed already.
+_LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c) != "İ")
+_ALPHA = re.compile(rf"([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)")
 
 
 def byte_letters() -> dict[str, str]:
@@ -34,45 +41,55 @@ class WordIds:
         self.model = self.tokenizer.model
         self.max_words = max_words
         self.table: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
         self.letters = {ord(a): b for a, b in byte_letters().items()}
 
     def _library(self, text: str) -> bytes:
         return b"".join(i.to_bytes(2, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _model(self, stem: str) -> bytes:
+        ids = array("H", [t.id for t in self.model.tokenize(stem)])
+        if _BIG_ENDIAN:
+            ids.byteswap()
+        return ids.tobytes()
+
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters alone
+            return self._model(word.decode().lower())
         text = word.decode()
         m = _ALPHA.fullmatch(text)
-        # Letters up to U+024F, but for one, keep their number in lower case and are composed already: the
-        # library's normaliser and splitter leave such a word whole, and its model can be asked directly.
-        if m and m[1].isalpha() and "<|" not in text and max(m[1]) < "ɐ" and "İ" not in m[1]:
-            stem = m[1].lower().encode().decode("latin-1").translate(self.letters)
+        # The library's normaliser and splitter leave such a word whole, and its model can be asked directly.
+        if m and "<|" not in m[2]:
+            stem = m[1].lower()
+            if not stem.isascii():
+                stem = stem.encode().decode("latin-1").translate(self.letters)
             if m[2] not in self.tails:
                 if len(self.tails) > 10_000:
                     self.tails = {"": b""}
                 self.tails[m[2]] = self._library(m[2])
-            return b"".join(t.id.to_bytes(2, "little") for t in self.model.tokenize(stem)) + self.tails[m[2]]
+            return self._model(stem) + self.tails[m[2]]
         return self._library(text)
 
     def ids(self, text: str) -> bytes:
         raw = text.encode()
         # Special tokens are matched by their exact spelling, so a text that may hold one keeps its case.
         words = (raw if b"<|" in raw else raw.lower()).split()
-        table = self.table
-        try:
-            return b"".join([table[w] for w in words])
-        except KeyError:
-            pass
-        if len(table) > self.max_words:
-            table.clear()
-        out = []
-        for w in words:
-            got = table.get(w)
+        if len(self.table) > self.max_words // 2:
+            self.older, self.table = self.table, {}
+        table, older = self.table, self.older
+        out = list(map(table.get, words))
+        if None not in out:
+            return b"".join(out)
+        for i, got in enumerate(out):
             if got is None:
-                got = self._word(w)
+                w = words[i]
+                got = table.get(w) or older.get(w)
+                if got is None:
+                    got = self._word(w)
                 if len(w) <= 64:
                     table[w] = got
-            out.append(got)
+                out[i] = got
         return b"".join(out)
 
 
