@@ -20,11 +20,53 @@ _ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
 # Accepted spellings of a date besides ISO; extend through the ``formats`` argument.
 DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy/M/d", "MMM d, yyyy")
 
+# Spellings of a time besides ISO, by shape: letters A, numbers of four digits Y, other numbers 9. Months are names of
+# three letters by then, weekday, zone and fraction are taken off. Dates of two numbers put the month first.
+_DAY_SHAPES = {
+    "9/9/Y": "M/d/y", "9-9-Y": "M-d-y", "9.9.Y": "d.M.y", "Y/9/9": "y/M/d", "Y.9.9": "y.M.d", "A 9, Y": "MMM d, y", "A 9 Y": "MMM d y",
+    "9 A Y": "d MMM y", "9-A-Y": "d-MMM-y", "Y A 9": "y MMM d",
+}
+_CLOCK_SHAPES = {"": "", " 9:9": " H:m", " 9:9:9": " H:m:s", " 9:9 A": " h:m a", " 9:9:9 A": " h:m:s a", " 9:9A": " h:ma", " 9:9:9A": " h:m:sa"}
+TIME_SHAPES = {d + c: f + g for d, f in _DAY_SHAPES.items() for c, g in _CLOCK_SHAPES.items()}
+_WEEKDAY = "(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[,.]? +"
+_NAMED_ZONE = r"(?i) *(Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+
+
+def _bare_sql(text: str) -> str:
+    """SQL text: the spelling without weekday, zone and fraction, months cut to three letters, spaces single."""
+    for pattern, to in (
+        (_WEEKDAY, ""), (r"(?<=:\d{2}) *(?i:Z|UTC|GMT|[+-]\d{2}:?\d{2})$|(?<=[AaPp][Mm]) *(?i:Z|UTC|GMT|[+-]\d{2}:?\d{2})$", ""),
+        (r"(:\d{2})\.\d+", "$1"), (r"([A-Za-z]{3})[a-z]+\.?", "$1"), (r"(\d),? +(?=\d{1,2}:)|(\d)T(?=\d{1,2}:)| at (?=\d{1,2}:)", "$1$2 "), (r" +", " "),
+    ):
+        text = f"regexp_replace({text}, r'{pattern}', '{to}')"
+    return text
+
+
+def _shape_sql(bare: str) -> str:
+    shape = f"regexp_replace({bare}, r'\\b[0-9]{{4}}\\b', 'Y')"
+    return f"regexp_replace(regexp_replace({shape}, r'[0-9]+', '9'), r'(?!Y\\b)[A-Za-z]+', 'A')"
+
+
+def _other_micros_sql() -> str:
+    """SQL text over ``stamp``: microseconds since the epoch of a spelling of ``TIME_SHAPES``, or of digits alone; else NULL."""
+    read = " ".join(f"WHEN '{shape}' THEN try_to_timestamp(bare || ' +00', '{form} x')" for shape, form in TIME_SHAPES.items())
+    digits = "WHEN '9' THEN CASE length(bare) WHEN 8 THEN try_to_timestamp(bare || ' +00', 'yyyyMMdd x') WHEN 14 THEN try_to_timestamp(bare || ' +00', 'yyyyMMddHHmmss x') END"
+    zone = rf"regexp_extract(stamp, r'{_NAMED_ZONE}', 1)"
+    minutes = "CASE WHEN zone RLIKE r'^[+-]' AND contains(bare, ':') THEN (cast(substr(zone, 1, 3) AS int) * 60 + if(startswith(zone, '-'), -1, 1) * cast(right(zone, 2) AS int)) ELSE 0 END"
+    fraction = r"coalesce(cast(rpad(substr(nullif(regexp_extract(stamp, r':\d{2}\.(\d+)', 1), ''), 1, 6), 6, '0') AS bigint), 0)"
+    micros = f"unix_micros(CASE {_shape_sql('bare')} {read} {digits} END) + {fraction} - 60000000L * ({minutes})"
+    return f"transform(array({_bare_sql('stamp')}), bare -> transform(array({zone}), zone -> {micros})[0])[0]"
+
+
+def time_shape_sql(text: str) -> str:
+    """SQL text: the shape of a spelling, as in ``TIME_SHAPES``."""
+    return _shape_sql(_bare_sql(f"trim(cast({text} AS string))"))
+
 
 def epoch_micros_sql(text: str, kind: T.DataType | None = None) -> str:
-    """SQL text: microseconds since the epoch of an ISO text; NULL when it does not parse.
+    """SQL text: microseconds since the epoch of an ISO text, or one of the shapes of ``TIME_SHAPES``; NULL when it does not parse.
 
-    A text without an offset is UTC. The offset is always made explicit before
+    Only texts that do not start as ISO ones do are looked at for their shape. A text without an offset is UTC. The offset is always made explicit before
     the cast, so the session time zone plays no part. Pass the column's type
     to read timestamp and date columns as they are.
     """
@@ -41,7 +83,8 @@ def epoch_micros_sql(text: str, kind: T.DataType | None = None) -> str:
         f"WHEN stamp RLIKE r'{_ZONE}$' THEN replace(stamp, ' +', '+') "
         "ELSE stamp || 'Z' END"
     )
-    micros = f"unix_micros(try_cast({zoned} AS timestamp))"
+    iso = "substring(stamp, 5, 1) = '-' AND substring(stamp, 2, 1) <> '-' AND substring(stamp, 3, 1) <> '-'"
+    micros = f"CASE WHEN {iso} THEN unix_micros(try_cast({zoned} AS timestamp)) ELSE {_other_micros_sql()} END"
     return f"transform(array(trim(cast({text} AS string))), stamp -> {micros})[0]"
 
 

@@ -360,6 +360,12 @@ ORACLES: dict[str, str] = {
         )
     ),
     "normalize_status": _facts("capture, tracking_number, code, derived_code, status_by_locale, description"),
+    # Each spelling keeps the day, the minute, the second or all of a time; the one with an offset is behind by it.
+    "event_time_spellings": f"""WITH t AS (SELECT event_id, event_id % 12 AS k, CAST(ts AS TIMESTAMP) AS ts FROM events),
+        r AS (SELECT event_id, CASE WHEN k IN (0, 6) THEN date_trunc('day', ts) WHEN k IN (1, 7) THEN date_trunc('minute', ts)
+         WHEN k IN (2, 3, 5, 8) THEN date_trunc('second', ts) WHEN k = 9 THEN date_trunc('second', ts) - INTERVAL '330' MINUTE WHEN k = 4 THEN ts END AS ts FROM t)
+        SELECT event_id, CASE WHEN ts IS NOT NULL THEN {_iso("ts")} END AS read FROM r""",
+    "unread_time_shapes": "SELECT CASE event_id % 12 WHEN 10 THEN 'A 9' ELSE '9:9' END AS shape, COUNT(*) AS n FROM events WHERE event_id % 12 >= 10 GROUP BY 1",
     "latest_event_ts": _facts("capture, tracking_number, latest_ts"),
     "latest_status_detail": _facts(
         "capture, tracking_number, CAST(kind > 2 AS BIGINT) AS is_empty, CASE WHEN kind <= 2 THEN code END AS code, "

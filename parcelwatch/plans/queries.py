@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from parcelwatch.functions import payload as P
 from parcelwatch.functions import text as X
-from parcelwatch.functions.times import iso_utc, prior_week_bounds
+from parcelwatch.functions.times import epoch_micros_sql, iso_utc, prior_week_bounds
 from parcelwatch.operators import batches, enrich, filters, indicators, labels, lookup, shaping
-from parcelwatch.operators.metrics import with_idle_days
+from parcelwatch.operators.metrics import unread_time_shapes, with_idle_days
 from parcelwatch.plans import fixtures as fx
 from parcelwatch.plans.process import (
     Settings,
@@ -632,6 +632,35 @@ def q_normalize_status(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: How the spelled fixture writes a time, by event_id modulo their number.
+SPELLINGS = (
+    "M/d/yyyy", "MM/dd/yyyy h:mm a", "MMM d, yyyy H:mm:ss", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyy/MM/dd HH:mm:ss.SSSSSS", "yyyyMMddHHmmss",
+    "dd-MMM-yyyy", "MMMM d, yyyy 'at' h:mm a", "yyyy-MM-dd'T'HH:mm:ss'Z'", "MM/dd/yyyy HH:mm:ss '+0530'", "'week' w", "H:mm",
+)
+
+
+def _spelled_times(spark: SparkSession, sf: str) -> DataFrame:
+    """(event_id, spelled) of every event."""
+    wall = F.to_timestamp_ntz(F.regexp_replace(iso_utc(F.unix_micros(F.col("ts").cast("timestamp"))), "Z$", ""))
+    if dict(spark.read.parquet(f"{sf}/events.parquet").dtypes)["ts"] == "timestamp_ntz":
+        wall = F.col("ts")
+    texts = F.concat(*(F.when(F.col("event_id") % len(SPELLINGS) == i, F.date_format(wall, f)).otherwise("") for i, f in enumerate(SPELLINGS) if f != "'week' w"))
+    texts = F.when(F.col("event_id") % len(SPELLINGS) == SPELLINGS.index("'week' w"), F.concat(F.lit("week "), (F.col("event_id") % 50).cast("string"))).otherwise(texts)
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", texts.alias("spelled"))
+
+
+@query
+def q_event_time_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Times of events written in a dozen spellings, as the job reads them; two of them are no time."""
+    micros = F.expr(epoch_micros_sql("spelled"))
+    return _spelled_times(spark, sf).select("event_id", iso_utc(micros).alias("read"))
+
+
+@query
+def q_unread_time_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    return unread_time_shapes(_spelled_times(spark, sf), "spelled")
+
+
 @query
 def q_latest_event_ts(spark: SparkSession, sf: str) -> DataFrame:
     read = _views(spark, sf).withColumn("m", F.expr(P.latest_micros("d.dates")))

@@ -143,3 +143,25 @@ def test_arguments_are_written_once(spark):
     for rule in (clean_tracking_number, key_text, strip, parse_date):
         plan = spark.createDataFrame([("1",)], "t string").select(rule(heavy).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("ARGUMENT") == 1, rule.__name__
+
+
+SPELLED = [
+    ("2025-10-07T10:15:00Z", 0), ("10/7/2025 10:15", 0), ("10/07/2025 10:15 AM", 0), ("10/7/2025 10:15am", 0), ("Oct 7, 2025 10:15:00", 0), ("October 7, 2025 at 10:15 AM", 0),
+    ("7 Oct 2025 10:15", 0), ("07-Oct-2025 10:15:00", 0), ("Tue, 07 Oct 2025 10:15:00 GMT", 0), ("Tue, 07 Oct 2025 15:45:00 +0530", 0), ("2025/10/07 03:15:00 -07:00", 0),
+    ("20251007101500", 0), ("10/7/2025 10:15:00.25", 250_000), ("10/7/2025", -36_900_000_000), ("20251007", -36_900_000_000), ("Tuesday, October 7, 2025", -36_900_000_000),
+    ("99/99/2025", None), ("now", None), ("12:30", None), ("", None), ("2025-13-45", None), (None, None), ("x" * 100_000, None), ("Yaw 7, 2025", None),
+]
+
+
+def test_times_in_other_spellings(spark):
+    from pyspark.sql import functions as F
+
+    from parcelwatch.functions.times import epoch_micros_sql
+    from parcelwatch.operators.metrics import unread_time_shapes
+
+    table = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(SPELLED)], "i int, s string")
+    got = [r.m for r in table.orderBy("i").select(F.expr(epoch_micros_sql("s")).alias("m")).collect()]
+    base = 1_759_832_100_000_000
+    assert got == [None if m is None else base + m for _, m in SPELLED]
+    shapes = {r["shape"]: r.n for r in unread_time_shapes(table, "s").collect()}
+    assert shapes == {"9/9/Y": 1, "A": 2, "9:9": 1, "Y-9-9": 1, "A 9, Y": 1}
