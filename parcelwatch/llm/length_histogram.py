@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mapped, whole_text
+from .common import mapped, stored, whole_text
 
 BLOCK = 1024
 
@@ -47,7 +47,8 @@ def token_lengths(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 
 def length_histogram(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """n_tokens, docs: one row per length that occurs. An empty table gives no rows."""
+    """n_tokens, docs: one row per length that occurs. Null text counts as empty; every row counts, repeated ones too; a long text is
+    encoded whole, whatever other columns there are. An empty table gives no rows."""
     return token_lengths(docs, ranks, pattern).groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
 
 
@@ -56,8 +57,11 @@ def context_limits(histogram: DataFrame) -> DataFrame:
 
     docs (of that length), docs_over (longer ones), docs_fit, tokens_fit (tokens of those that fit),
     tokens_kept (tokens left when longer documents are cut at L), tokens_lost, total_docs, total_tokens,
-    share_fit (of documents, the rank of the quantile that L is).
+    share_fit (of documents, the rank of the quantile that L is). An empty histogram gives no rows.
+
+    The histogram is read twice, so it is written first: texts are encoded once.
     """
+    histogram = stored(histogram, "histogram")
     h = histogram.select("n_tokens", "docs", F.floor(F.col("n_tokens") / BLOCK).alias("block"), (F.col("n_tokens") * F.col("docs")).alias("tokens"))
     blocks = h.groupBy("block").agg(F.sum("docs").alias("bd"), F.sum("tokens").alias("bt"))
     later = Window.orderBy(F.desc("block"))
