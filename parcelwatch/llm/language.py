@@ -40,7 +40,9 @@ SCRIPTS = (
 _STARTS = np.array([a for a, _ in SCRIPTS])
 _NAMES = sorted({n for _, n in SCRIPTS})
 _SCRIPT = np.array([_NAMES.index(n) for _, n in SCRIPTS])
-_WORD = re.compile(r"[^\W\d_]+")
+# Signs of number such as ½ ² ① count as word characters in patterns, but are no letters.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _U = np.uint64
 
 
