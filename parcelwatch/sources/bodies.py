@@ -88,6 +88,12 @@ def _document_members(spark: SparkSession, path: str) -> DataFrame:
     return found.where(~empty)
 
 
+def _one_body(text: Column) -> Column:
+    """Whether the text is one JSON value; the parser alone overlooks what follows the first."""
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.coalesce(F.size(listed) == 1, F.lit(False))
+
+
 def _document(spark: SparkSession, path: str, on_corrupt: str) -> DataFrame:
     found = _document_members(spark, path)
     text, pos = F.col("text").cast("string"), F.lit(0).alias("pos")
@@ -96,7 +102,7 @@ def _document(spark: SparkSession, path: str, on_corrupt: str) -> DataFrame:
         body = F.when(F.col("sound_end") == F.lit(False), unfinished).otherwise(F.parse_json(text))
         return found.select("file", "block", "line", pos, body.alias("body"))
     # One parse of each member; what cannot be parsed is searched for members.
-    parsed = found.withColumn("body", F.try_parse_json(text))
+    parsed = found.withColumn("body", F.when(_one_body(text), F.try_parse_json(text)))
     sound = parsed.where("body is not null").select("file", "block", "line", pos, "body")
     rest = blocks.salvage(parsed.where("body is null and listed").select("file", "block", "line", "offset", "text"))
     rest = rest.select("file", "block", "line", "pos", F.try_parse_json(text).alias("body")).where("body is not null")
@@ -114,7 +120,7 @@ def quarantined_bodies(spark: SparkSession, path: str) -> DataFrame:
     """
     found = _document_members(spark, path)
     text = F.col("text").cast("string")
-    bad = found.where(F.try_parse_json(text).isNull())
+    bad = found.where(~_one_body(text))
     whole = bad.where("not listed").select("file", "offset", "text", F.lit(False).alias("cut_off"))
     listed = bad.where("listed")
     pieces = blocks.salvage(listed.select("file", "block", "line", "offset", "text"))
