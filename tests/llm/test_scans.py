@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -222,3 +223,81 @@ def test_leaks_of_edge_cases(spark, edge_docs, no_docs):
     assert template_leaks.leaks(edge_docs, benchmark.limit(0)).count() == 0
     copy = spark.createDataFrame([(9, edge_docs.where("doc_id = 7").first().text)], "item_id bigint, text string")
     assert {r.doc_id for r in template_leaks.leaks(edge_docs, copy).collect()} == {7, 8}
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_rows_without_doc_id_go_one_by_one(spark, monkeypatch, limit):
+    monkeypatch.setattr(template_leaks, "BROADCAST_WINDOWS", limit)
+    rows = [(None, NUMBERS, "a"), (None, "Clean one.", "b"), (None, None, "c"), (None, "Clean two.", "d"), (None, "Clean two.", "e"), (3, NUMBERS, "f"), (4, "", "g")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, gone string")
+    benchmark = spark.createDataFrame([(1, NUMBERS)], "item_id bigint, text string")
+    assert sorted(r.gone for r in template_leaks.without_leaks(docs, benchmark).collect()) == ["b", "c", "d", "e", "g"]
+
+
+def test_items_without_or_with_the_same_id_are_judged_by_themselves(spark):
+    words = lambda n: " ".join(f"{'abcdefghijkl'[i]}{n}x" for i in range(12)).translate(str.maketrans("0123456789", "klmnopqrst"))
+    items = [(None, words(1)), (5, words(2)), (5, words(3)), (6, words(4)[: len(words(4)) // 2]), (6, words(4))]
+    got = leaked(spark, [(1, words(1)), (2, words(2)), (3, words(3)), (4, words(5))], items)
+    assert {i: (r.item_ids, r.cover) for i, r in got.items()} == {1: ([], 1.0), 2: ([5], 1.0), 3: ([5], 1.0)}
+
+
+def test_items_of_one_template_are_one_family(spark):
+    """Two thousand items of a template against two thousand documents of it: no row for a pair of them."""
+    fill = lambda i: f"A train number {i} leaves Dover with {i + 1} people on board and {2 * i + 5000} bags of wool, how many bags does each of them own?"
+    items = spark.createDataFrame([(i, fill(i)) for i in range(2000)] + [(9000, NUMBERS)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"Before it. {fill(7 * i)} After it.") for i in range(2000)] + [(9001, "None of these words."), (9002, f"So {NUMBERS}")], "doc_id bigint, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r.item_ids for r in template_leaks.leaks(docs, items).collect()}
+    assert time.monotonic() - began < 60
+    assert got == {**{i: [0] for i in range(2000)}, 9002: [9000]}
+    families = {r.item_id: r.family_item for r in template_leaks.item_families(items).collect()}
+    assert families == {**{i: 0 for i in range(2000)}, 9000: 9000}
+
+
+def brute_force_slots(item: str, doc: str, cover: float = template_leaks.COVER) -> bool:
+    """Windows of number placeholders, placed side by side one alignment at a time; lower-case words and numbers only."""
+    a, b = item.split(), doc.split()
+    form = lambda w: ["#" if t.isdigit() else t for t in w]
+    n = template_leaks.WINDOW
+    places = [i for i in range(len(a) - n + 1) if sum(not t.isdigit() for t in a[i : i + n]) >= template_leaks.LITERAL]
+    for shift in range(-len(a), len(b)):
+        same = [i for i in places if 0 <= i + shift <= len(b) - n and form(a[i : i + n]) == form(b[i + shift : i + shift + n])]
+        readings: dict[str, list[str]] = {}
+        for i in same:
+            for x, y in zip(a[i : i + n], b[i + shift : i + shift + n], strict=True):
+                if x.isdigit():
+                    readings.setdefault(x, []).append(y)
+        read = {x: min(set(ys), key=lambda y, ys=ys: (-ys.count(y), y)) for x, ys in readings.items()}
+        good = [
+            i
+            for i in same
+            if a[i : i + n] == b[i + shift : i + shift + n]
+            or all(not x.isdigit() or read[x] == y for x, y in zip(a[i : i + n], b[i + shift : i + shift + n], strict=True))
+        ]
+        if places and len(good) >= cover * len(places):
+            return True
+    return False
+
+
+def test_slots_and_windows_against_brute_force(spark):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("bcdfgaeiou") for _ in range(5))
+    items, docs = [], []
+    for i in range(30):
+        values = [str(rnd.randint(10, 99)) for _ in range(3)]
+        items.append((i, " ".join(rnd.choice(values) if rnd.random() < 0.25 else word() for _ in range(rnd.randint(9, 20)))))
+    for i in range(300):
+        tokens = rnd.choice(items)[1].split()
+        renamed = {t: str(rnd.randint(100, 999)) for t in sorted(set(tokens)) if t.isdigit()}
+        tokens = [renamed[t] if t.isdigit() and rnd.random() < 0.9 else t for t in tokens]
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            tokens[rnd.randrange(len(tokens))] = word()
+        cut = rnd.choice([0, 0, rnd.randint(0, len(tokens) // 2)])
+        docs.append((i, " ".join([word() for _ in range(rnd.randint(0, 9))] + tokens[cut:] + [word() for _ in range(9)])))
+    # The run of literal words and the other forms only add documents, never where slots hold other values throughout.
+    want = {d for d, text in docs if any(brute_force_slots(t, text) for _, t in items)}
+    got = leaked(spark, docs, items)
+    more = set(got) - want
+    assert want <= set(got) and 50 < len(want) < 290
+    plain = {d: t for d, t in docs}
+    assert all(any(sum(" ".join(t.split()[i : i + 8]) in plain[d] for i in range(len(t.split()) - 7)) for _, t in items) for d in more)
