@@ -239,8 +239,10 @@ ORACLES: dict[str, str] = {
          arg_max(code, row_id) AS code, arg_max(derived_code, row_id) AS derived_code,
          arg_max(status_by_locale, row_id) AS status_by_locale, arg_max(description, row_id) AS description
         FROM enriched WHERE k IS NOT NULL GROUP BY 1, 2""",
-    "run_marker": f"""{_judged()} SELECT (SELECT COUNT(*) FROM ship) AS input_rows,
-        (SELECT COUNT(*) FROM judged) AS output_rows, CAST(6 AS BIGINT) AS input_cols, CAST(24 AS BIGINT) AS output_cols""",
+    "run_marker": f"""{_judged()} SELECT 'ok' AS run_marker, 'shipments.parquet' AS input_name, '/in/week' AS input_dir,
+        'week' AS output_name, false AS env_has_creds, CAST(NULL AS VARCHAR) AS api_bodies_path,
+        (SELECT COUNT(*) FROM ship) AS input_rows, CAST(6 AS BIGINT) AS input_cols,
+        (SELECT COUNT(*) FROM judged) AS output_rows, CAST(24 AS BIGINT) AS output_cols""",
     # projections
     "drop_first_column": f"WITH {_SHIP} SELECT * EXCLUDE (lead) FROM ship",
     "column_contract": f"""WITH {_RULE} SELECT event_id, code, derived AS derived_code, status AS status_by_locale,
@@ -426,6 +428,11 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'stalled', row_id, {_CLEAN}, calculated_status FROM judged WHERE is_stalled = 1
         UNION ALL SELECT 'damaged_or_returned', row_id, {_CLEAN}, calculated_status FROM judged WHERE damaged = 1 OR is_rts = 1
         UNION ALL SELECT 'marker', (SELECT COUNT(*) FROM ship), CAST(COUNT(*) AS STRING), 'ok' FROM judged""",
+    "published_versions": f"""
+        SELECT CAST(1 AS BIGINT) AS version, * FROM ({_judged(where=f"{_IN_WEEK} AND {_NOT_DELIVERED}")}
+         SELECT row_id, calculated_status AS status FROM judged WHERE is_stalled = 1)
+        UNION ALL SELECT CAST(2 AS BIGINT), * FROM ({_judged()}
+         SELECT row_id, calculated_status FROM judged WHERE is_stalled = 1)""",
     "tn_snapshot": f"""{_judged()}, firsts AS (SELECT k AS tracking_number, arg_min(idle_days, row_id) AS d,
         arg_min(calculated_reasons, row_id) AS r, arg_min(is_stalled, row_id) AS s FROM judged WHERE k IS NOT NULL GROUP BY 1)
         SELECT CAST(c_custkey AS STRING) AS tracking_number, CAST(d AS DOUBLE) AS days, r AS reasons, s AS stalled

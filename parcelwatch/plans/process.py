@@ -22,6 +22,7 @@ from parcelwatch.operators.metrics import with_idle_days
 from parcelwatch.operators.shaping import column_contract, publishable, reasons_not_null
 from parcelwatch.schema import IDLE_DAYS, REASONS, TRACKING_NUMBER, col
 from parcelwatch.sources.bodies import BODY_ORDER, src_bodies
+from parcelwatch.sources.publication import commit_run, new_run
 from parcelwatch.sources.shipments import src_shipments
 from parcelwatch.sources.views import sink_sidecar, sink_views
 
@@ -137,6 +138,7 @@ def process_and_publish(
     sidecar_order: str | None = None,
     facts: DataFrame | None = None,
     normalizer: Normalizer | None = None,
+    versioned: bool = False,
 ) -> dict[str, Any]:
     """Run the job and publish ``all_shipments``, ``processed``, the views and the ``marker``.
 
@@ -145,14 +147,20 @@ def process_and_publish(
     stage of preparation. With ``sidecar_order``, the column that orders the input rows, the status of every
     (carrier, tracking number) is also published as ``sidecar``. The input is scanned for the raw copy and once more for the processed table; the
     views are cut from the written processed table. Row counts ride on the writes.
+
+    Without ``versioned`` the tables lie in ``out_dir`` itself and are replaced one after another. With it each run has a
+    folder of its own and becomes the version read (``read_published``) when all its tables are there.
     """
-    out_dir = out_dir.rstrip("/")
+    root = out_dir.rstrip("/")
+    out_dir = new_run(root) if versioned else root
     shipments = src_shipments(spark, input_path, input_format, must_exist=True)
     if bodies_path is not None:
         bodies = src_bodies(spark, bodies_path, bodies_layout)
         facts = replay_facts(bodies, BODY_ORDER) if normalizer is None else replayed_pairs_facts(bodies, BODY_ORDER, normalizer)
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
 
+    tables: list[str] = []
+
     def write(df: DataFrame, name: str) -> int:
         if not df.columns:
             # A table without columns has no file form; only its row count is kept, and no
@@ -160,6 +168,7 @@ def process_and_publish(
             old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{name}")
             old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
             return df.count()
+        tables.append(name)
         seen = Observation(name)
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
             f"{out_dir}/{name}"
@@ -184,8 +193,13 @@ def process_and_publish(
         input_shape=(rows_in, len(shipments.columns)),
         output_shape=(rows_out, len(processed.columns)),
     ).write.mode("overwrite").parquet(f"{out_dir}/marker")
+    version = None
+    if versioned:
+        sides = ["sidecar"] if sidecar_order is not None else []
+        version = commit_run(spark, root, out_dir, [*tables, *views, *sides, "marker"]).number
     return {
         "output_path": out_dir,
+        "version": version,
         "views": views,
         "env_has_creds": has_credentials,
         "timestamp_utc": stamp,

@@ -21,11 +21,13 @@ from parcelwatch.plans.process import (
     Settings,
     process_and_publish,
     process_shipments,
+    run_marker,
     shape_counts,
     snapshot_of,
 )
 from parcelwatch.schema import FLAGS, LABEL, REASONS, STATUS_FIELDS, col
 from parcelwatch.sources import bodies as body_files
+from parcelwatch.sources.publication import new_run, published_version, read_published
 from parcelwatch.sources.scratch import scratch_dir
 from parcelwatch.sources.shipments import src_shipments
 from parcelwatch.sources.views import sink_sidecar, sink_views
@@ -217,7 +219,18 @@ def q_sink_sidecar(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def q_run_marker(spark: SparkSession, sf: str) -> DataFrame:
-    return shape_counts(fx.shipments(spark, sf), _processed(spark, sf))
+    """The audit row of a run over these tables, but for its time."""
+    shapes = shape_counts(fx.shipments(spark, sf), _processed(spark, sf)).first()
+    return run_marker(
+        spark,
+        input_path="/in/week/shipments.parquet",
+        output_path="/out/week/",
+        bodies_path=None,
+        has_credentials=False,
+        timestamp="",
+        input_shape=(shapes["input_rows"], shapes["input_cols"]),
+        output_shape=(shapes["output_rows"], shapes["output_cols"]),
+    ).drop("timestamp_utc")
 
 
 # ---- projections ------------------------------------------------------------------
@@ -901,6 +914,24 @@ def q_process_and_publish(spark: SparkSession, sf: str) -> DataFrame:
     return whole.unionByName(output("marker", "input_rows", F.col("output_rows").cast("string"), F.col("run_marker")))
 
 
+@query
+def q_published_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Stalled shipments of three runs: of one week, of all weeks, and one that failed before its last table."""
+    base = scratch_dir(spark, "versions")
+    fx.shipments(spark, sf).write.parquet(f"{base}/input")
+    for settings in (ONE_WEEK, ALL_WEEKS):
+        process_and_publish(spark, f"{base}/input", f"{base}/out", facts=_facts(spark, sf), settings=settings, versioned=True)
+    read_published(spark, f"{base}/out", "stalled").limit(0).write.parquet(f"{new_run(f'{base}/out')}/stalled")
+    newest = published_version(spark, f"{base}/out").number
+    whole = None
+    for version in range(1, newest + 1):
+        rows = read_published(spark, f"{base}/out", "stalled", version).select(
+            F.lit(version).cast("bigint").alias("version"), F.col("RowId").alias("row_id"), F.col(LABEL).alias("status")
+        )
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole
+
+
 @query
 def q_tn_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     numbers = fx.table(spark, sf, "customer").select(
