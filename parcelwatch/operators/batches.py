@@ -2,52 +2,45 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelwatch.functions import payload as P
 from parcelwatch.functions.text import key_text, strip_sql
 from parcelwatch.operators.lookup import carrier_map, pointers_and_bodies, replay_lookup
-from parcelwatch.schema import TRACKING_NUMBER, col
+from parcelwatch.schema import CARRIER_CODE, TRACKING_NUMBER, col, has
+from parcelwatch.sources.scratch import stored
 
 # Numbers per request, and envelope keys in unwrap order.
 BATCH_SIZE = 30
 ENVELOPES = ("output", "body", "response", "data")
 
-_BITS = 16
+#: Bits of ``monotonically_increasing_id`` that count the rows of a partition.
+_PLACE_BITS = 33
 
 
 def global_rank(df: DataFrame, order: str) -> DataFrame:
-    """Add ``rank``: the zero-based position of each row by a unique bigint column.
+    """Add ``rank``: the zero-based position of each row by a unique bigint column; NULL in it is refused.
 
-    A running count over the whole table would need one task. Instead the order
-    value is cut into 16-bit digits and counts are summed digit by digit, so that
-    no window ever spans more than 65,536 rows however the values are spread, and
-    nothing is sampled or brought to the driver.
+    A running count over the whole table would need one task. Instead the rows are dealt by range, sorted within
+    their partitions and written with partition and place. The rank of a row is its place plus the exact number of rows in
+    the partitions before its own, so it is right whatever splitters the ranges have; they only decide how even the
+    partitions are. What reaches the driver is one count per partition. The table is written when this is called.
     """
     o = F.coalesce(col(order).cast("bigint"), F.raise_error(F.lit(f"{order} must not be NULL")).cast("bigint"))
-    cut = {f"_d{i}": F.shiftright(o, _BITS * i) for i in (1, 2, 3)}
-    keyed = df.withColumns(cut)
-    fine = keyed.groupBy("_d3", "_d2", "_d1").agg(F.count(F.lit(1)).alias("n"))
-    mid = fine.groupBy("_d3", "_d2").agg(F.sum("n").alias("n"))
-    top = mid.groupBy("_d3").agg(F.sum("n").alias("n"))
-
-    def before(parent: list[str], digit: str) -> Column:
-        w = W.partitionBy(*parent).orderBy(digit).rowsBetween(W.unboundedPreceding, -1)
-        return F.coalesce(F.sum("n").over(w), F.lit(0))
-
-    top = top.select("_d3", before([], "_d3").alias("_b3"))
-    mid = mid.select("_d3", "_d2", before(["_d3"], "_d2").alias("_b2"))
-    fine = fine.select("_d2", "_d1", before(["_d2"], "_d1").alias("_b1"))
-    start = (
-        fine.join(mid, "_d2").join(top, "_d3").select("_d1", (F.col("_b1") + F.col("_b2") + F.col("_b3")).alias("_b"))
-    )
-    local = F.row_number().over(W.partitionBy("_d1").orderBy(order)) - 1
+    dealt = df.withColumn("_o", o).repartitionByRange("_o").sortWithinPartitions("_o").drop("_o")
+    placed = stored(dealt.withColumn("_at", F.monotonically_increasing_id()), "placed")
+    part, place = F.shiftright("_at", _PLACE_BITS), F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    sizes = sorted(tuple(r) for r in placed.groupBy(part.alias("_part")).agg(F.max(place) + 1).collect())
+    before = accumulate((n for _, n in sizes), initial=0)
+    starts = df.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(sizes, before, strict=False)], "_part bigint, _before bigint")
     return (
-        keyed.join(start, "_d1")
-        .withColumn("rank", F.col("_b") + local)
-        .drop("_d1", "_d2", "_d3", "_b")
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn("rank", F.col("_before") + place)
+        .drop("_part", "_before", "_at")
     )
 
 
@@ -57,6 +50,8 @@ def number_batches(rows: DataFrame, order: str, size: int = BATCH_SIZE) -> DataF
     Columns: ``batch``, ``slot``, ``tracking_number``, ``carrier_code`` (the last
     non-blank carrier of the number in the whole table, else NULL).
     """
+    # Dealing by range reads its input twice and the carriers once more: only these columns, from one computation.
+    rows = stored(rows.select(*(col(c) for c in dict.fromkeys((order, TRACKING_NUMBER, CARRIER_CODE)) if has(rows, c))), "numbers")
     listed = rows.select(
         col(order).alias("_order"), key_text(col(TRACKING_NUMBER)).alias("tracking_number")
     ).filter(F.col("tracking_number").isNotNull())

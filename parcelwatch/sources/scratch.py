@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -19,3 +19,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written to a new folder and read from there."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -31,12 +31,35 @@ def test_request_batches_follow_row_order(spark, size):
     assert got == {b: {"trackingInfo": w, "includeDetailedScans": True} for b, w in want.items()}
 
 
-def test_rank_windows_are_bounded(spark):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ranks_of_skewed_and_negative_order_values(spark, adaptive):
+    rng = random.Random(7)
+    ids = [*range(-1500, 1500), *rng.sample(range(-(2**61), 2**61), 40), 2**63 - 1, -(2**63), *range(2**40, 2**40 + 500)]
+    rng.shuffle(ids)
+    rows = spark.createDataFrame([(i, f"n{i}") for i in ids], "id bigint, name string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        got = batches.global_rank(rows, "id").collect()
+        assert batches.global_rank(rows.limit(0), "id").collect() == []
+        with pytest.raises(Exception, match="must not be NULL"):
+            batches.global_rank(spark.createDataFrame([(1,), (None,)], "id bigint"), "id").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert [(r["id"], r["name"], r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(i, f"n{i}", k) for k, i in enumerate(sorted(ids))]
+
+
+def test_ranks_need_no_window_and_requests_few_exchanges(spark):
     plan = batches.global_rank(spark.range(10), "id")._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    # Only the window over the top digits may be unpartitioned: it sees at most 65,536 rows.
-    unpartitioned = [w for w in windows if w.rstrip().split("], [")[0].count("windowspecdefinition(_d3#") and "sum(n" in w and "windowspecdefinition(_d3" in w and "_d2#" not in w]
-    assert len(windows) == 4 and len(unpartitioned) == 1
+    assert "Window" not in plan and plan.count("Exchange") == 1 == plan.count("BroadcastExchange")
+    rows = spark.createDataFrame([(1, "a", "FDX")], "id bigint, `Tracking Number` string, `Carrier Code` string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = batches.request_batches(rows, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Window" not in plan and plan.count("Exchange") <= 4
 
 
 def cr(tn=None, nested=(), mark="m"):
