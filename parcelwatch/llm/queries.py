@@ -61,14 +61,26 @@ SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {counts} AS counts, n, h, sum(l
 FROM (SELECT doc_id, unnest(string_split_regex(t, '{quoted}')) AS g, unnest(regexp_extract_all(t, '{quoted}')) AS h,
              unnest(regexp_extract_all(t, '{quoted}', {group})) AS p, unnest(range(1, 1 + len(regexp_extract_all(t, '{quoted}')))) AS n FROM d
       WHERE regexp_matches(t, '{quoted}')) WHERE h IS NOT NULL""")
-    near = f"EXISTS (FROM s o WHERE o.doc_id = s.doc_id AND o.kind IN (%s) AND o.b <= s.e + {secret_links.REACH} AND o.e >= s.b - {secret_links.REACH})"
-    ident, secret = near % "'access', 'ident'", near % "'assign', 'hex', 'value'"
+    sections, others = ("'" + p.replace("'", "''") + "'" for _, p, *_ in secret_links.ENDS)
+    padded = "chr(10) || t || chr(10)"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 m AS ({" UNION ALL ".join(parts)}),
 s AS (SELECT doc_id, rank, kind, CAST(e - length(h) AS BIGINT) AS b, CAST(e AS BIGINT) AS e FROM m WHERE counts),
-k AS (SELECT *, kind || ':' || b || ':' || e AS w FROM s
-      WHERE rank < 3 OR kind = 'ident' AND {secret} OR kind = 'value' AND {ident} OR kind = 'endpoint' AND {ident} AND {secret})
+c AS (SELECT doc_id, {padded} AS x,
+             CASE WHEN regexp_matches({padded}, {sections}) THEN {sections} WHEN length(t) > {secret_links.SHORT} THEN {others} ELSE 'a^' END AS pattern
+      FROM d WHERE doc_id IN (SELECT doc_id FROM s)),
+f AS (SELECT doc_id, b - 1 AS b FROM (
+        SELECT doc_id, h, sum(length(g) + length(h)) OVER (PARTITION BY doc_id ORDER BY n) - length(h) AS b
+        FROM (SELECT doc_id, unnest(string_split_regex(x, {sections})) AS g, unnest(regexp_extract_all(x, {sections})) AS h, unnest(range(1, 1 + len(regexp_extract_all(x, {sections})))) AS n
+              FROM c WHERE pattern = {sections} UNION ALL
+              SELECT doc_id, unnest(string_split_regex(x, {others})), unnest(regexp_extract_all(x, {others})), unnest(range(1, 1 + len(regexp_extract_all(x, {others}))))
+              FROM c WHERE pattern = {others})) WHERE h IS NOT NULL),
+o AS (SELECT s.*, (SELECT count(*) FROM f WHERE f.doc_id = s.doc_id AND f.b < s.b) AS scope FROM s),
+j AS (SELECT *, bool_or(kind IN ('access', 'ident')) OVER same AS ident, bool_or(kind IN ('assign', 'hex', 'value')) OVER same AS secret
+      FROM o WINDOW same AS (PARTITION BY doc_id, scope)),
+k AS (SELECT *, kind || ':' || b || ':' || e AS w FROM j
+      WHERE rank < 3 OR kind = 'ident' AND secret OR kind = 'value' AND ident OR kind = 'endpoint' AND ident AND secret)
 SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
        sha256(coalesce(string_agg(w, ',' ORDER BY b, rank) FILTER (rank < 3), '')) AS base_sha256,
        coalesce(string_agg(w, ',' ORDER BY b, rank), '') AS spans

@@ -8,12 +8,17 @@ Strong findings (base kinds) stand for themselves:
 
 Weak candidates are common in harmless text: ``ident`` (names of an account or client, temporary key
 identifiers), ``value`` (a long run of mixed characters), ``endpoint`` (a service URL or an IPv4 address). They are
-reported only where complementary parts lie within ``REACH`` code points in the same document: an ident
-with a secret (assign, hex, value), a value with an identifier (access, ident), an endpoint with both.
+reported only where complementary parts lie in the same scope of a document: an ident with a secret (assign, hex,
+value), a value with an identifier (access, ident), an endpoint with both.
 
-The interval join is a sweep. Over a document's parts in order of position, the running maximum of
-the ends of all identifiers (or secrets) that begin within reach tells whether one of them reaches the
-candidate. It is exact and linear: no pairs are made. Everything is built-in functions.
+Scopes are intervals of a text, side by side. In a text with section headers (``[name]`` alone on a line) they are its
+sections, and what comes before the first. In any other they are paragraphs and blocks: they end at blank lines, at
+lines that begin with ``---``, and at lines that begin with a closing brace or bracket. Such a text of at most ``SHORT`` code
+points is one scope. How far parts lie from each other within a scope makes no difference.
+
+The interval join is a sweep over a document's parts and scope ends in order of position: the scope ends passed so far
+number the scope of a part, and a scope's parts tell which kinds it has. It is exact, no pairs are made, and ends of scopes are
+looked for only in texts that hold complementary parts at all. Everything is built-in functions.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import whole_text
 
-REACH = 256
+#: Code points up to which a text without section headers is one scope.
+SHORT = 256
 #: Kinds in the order of reports, their patterns and the shortest match or group that counts.
 #: kind, pattern, group that is measured, its least length
 KINDS = (
@@ -34,8 +40,13 @@ KINDS = (
     ("value", r"[A-Za-z0-9+/]{32,}", 0, 32),
     ("endpoint", r"""(?:https?|s3|ftp|sftp|ldaps?|redis|amqps?|mongodb|postgres(?:ql)?|mysql)://[^\x20\x09-\x0D"'<>]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{1,5})?""", 0, 0),
 )
+#: Ends of scopes, as kinds; looked for between two added line feeds, so that every line lies between two.
+ENDS = (
+    ("section", r"\n[\x20\t]*\[\[?[A-Za-z_][^\[\]\n]*\]\]?[\x20\t\r]*\n", 0, 0),
+    ("paragraph", r"\n(?:[\x20\t\r]*\n|---|[}\]])", 0, 0),
+)
 BASE = ("assign", "access", "hex")
-_RANK = {k: i for i, (k, *_) in enumerate(KINDS)}
+_RANK = {k: i for i, (k, *_) in enumerate(KINDS + ENDS)}
 #: A run of mixed characters has a digit, a capital and a small letter.
 _MIXED = r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])"
 
@@ -61,16 +72,22 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> tup
     return matches, F.when(F.size(name) > 0, parts).otherwise(none)
 
 
-def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secret_spans(docs: DataFrame, short: int = SHORT) -> DataFrame:
     """One row per row of ``docs(doc_id, text, ..)``: doc_id, spans (array of start, rank, end, kind in order).
 
-    Positions are code points, the end exclusive. Null text counts as empty. Rows with the same doc_id are
-    documents of their own.
+    Positions are code points, the end exclusive. Null text counts as empty. Rows with the same doc_id, or with none, are
+    documents of their own. A table without rows gives none.
     """
-    text = F.col("_text")
     one = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("_text"), F.monotonically_increasing_id().alias("row"))
-    found = {k: _found(text, k, *rest) for k, *rest in KINDS}
+    found = {k: _found(F.col("_text"), k, *rest) for k, *rest in KINDS}
     one = one.select("*", *(m.alias(f"_{k}") for k, (m, _) in found.items()))
+    any_of = lambda *kinds: F.greatest(*(F.size(f"_{k}") for k in kinds)) > 0
+    linkable = any_of("access", "ident") & any_of("assign", "hex", "value") & any_of("ident", "value", "endpoint")
+    one = one.select("*", F.when(linkable, F.concat(F.lit("\n"), "_text", F.lit("\n"))).alias("_lines"))
+    for k, *rest in ENDS:
+        found[k] = _found(F.col("_lines"), k, *rest)
+        wanted = F.col("_lines").isNotNull() if k == "section" else (F.size("_section") == 0) & (F.length("_text") > short)
+        one = one.select("*", F.when(wanted, found[k][0]).alias(f"_{k}"))
     one = one.select("doc_id", "row", F.concat(*(p for _, p in found.values())).alias("parts"))
     each = one.select("row", "doc_id", F.explode_outer("parts").alias("p")).select("row", "doc_id", "p.*").repartition("row")
     before = Window.partitionBy("row", "rank").orderBy("nth")
@@ -78,31 +95,27 @@ def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
     # A match that does not count only moves what follows. A text without any finding keeps a row, without a rank.
     placed = placed.select("row", "doc_id", F.when(F.col("counts"), F.col("rank")).alias("rank"), "start", "end")
 
-    is_ident = F.col("rank").isin(_RANK["access"], _RANK["ident"])
-    is_secret = F.col("rank").isin(_RANK["assign"], _RANK["hex"], _RANK["value"])
-    weak = F.col("rank") >= len(BASE)
-    # A part enters the sweep where it starts; a candidate also asks, as far behind its end as it reaches.
-    asks = F.array(F.struct(F.col("start").alias("at"), F.lit(False).alias("asks")), F.struct((F.col("end") + reach).alias("at"), F.lit(True).alias("asks")))
-    events = placed.select("*", F.explode(F.when(weak, asks).otherwise(F.slice(asks, 1, 1))).alias("e")).select("*", "e.at", "e.asks")
-    sweep = Window.partitionBy("row").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
-    seen = events.select(
-        "*",
-        F.max(F.when(is_ident & ~F.col("asks"), F.col("end"))).over(sweep).alias("ident_end"),
-        F.max(F.when(is_secret & ~F.col("asks"), F.col("end"))).over(sweep).alias("secret_end"),
-    )
-    ident, secret = (F.coalesce(F.col(c) >= F.col("start") - reach, F.lit(False)) for c in ("ident_end", "secret_end"))
+    # An end of a scope begins with a line feed, one place later than in the text; no part begins with one.
+    is_end = F.col("rank") >= len(KINDS)
+    sweep = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    scoped = placed.withColumn("scope", F.count(F.when(is_end, 1)).over(sweep))
+    scope = Window.partitionBy("row", "scope")
+    holds = lambda *kinds: F.coalesce(F.max(F.col("rank").isin(*(_RANK[k] for k in kinds))).over(scope), F.lit(False))
+    seen = scoped.select("*", holds("access", "ident").alias("ident"), holds("assign", "hex", "value").alias("secret"))
     linked = (
-        F.when(F.col("rank") == _RANK["ident"], secret).when(F.col("rank") == _RANK["value"], ident).otherwise(ident & secret)
+        F.when(F.col("rank") == _RANK["ident"], F.col("secret"))
+        .when(F.col("rank") == _RANK["value"], F.col("ident"))
+        .when(F.col("rank") == _RANK["endpoint"], F.col("ident") & F.col("secret"))
+        .otherwise(F.col("rank") < len(BASE))
     )
-    kept = F.col("rank").isNull() | F.when(weak, F.col("asks") & linked).otherwise(~F.col("asks"))
     kind = F.element_at(F.array(*(F.lit(k) for k in _RANK)), F.col("rank") + 1)
-    span = F.when(F.col("rank").isNotNull() & kept, F.struct("start", "rank", "end", kind.alias("kind")))
+    span = F.when(linked, F.struct("start", "rank", "end", kind.alias("kind")))
     return seen.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(span)).alias("spans")).select("doc_id", "spans")
 
 
-def secret_report(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secret_report(docs: DataFrame, short: int = SHORT) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans; see ``secret_spans``."""
-    found = secret_spans(docs, reach)
+    found = secret_spans(docs, short)
 
     def of_kind(kind: str) -> Column:
         return F.size(F.filter("spans", lambda x: x["kind"] == kind))

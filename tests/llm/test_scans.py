@@ -45,33 +45,53 @@ def test_weak_parts_count_only_together(spark):
     rows = [
         (1, ident), (2, value), (3, url), (4, f"{ident} {value}"), (5, f"{ident} {value} {url}"), (6, f"{url} {ident}"),
         (7, f"{ident}{far}{value}"), (8, f"AKIA0123456789ABCD {value}"), (9, f"password=abcdefgh9 {url}"), (10, f"password=abcdefgh9 {url} {ident}"),
+        (11, f"[a]\n{ident}\n[b]\n{value}"), (12, f"[a]\n{ident}\n\n;{far}\n\n{value}\n[b]\n{url}"), (13, f"{ident}\n\n{far}\n\n{value}"),
+        (14, f"{ident}\n\n{value}"), (15, f"{{\n{ident}{far}\n}}\n{{\n{value}\n}}"), (16, f"{far}\n---\n{ident}\nmore\n{url}\n{value}\n---\n{url}"),
+        (17, f'["x"]\n{ident}\n["y"]\n{value}'), (18, f"  [[t.a]]  \r\n[b]\n{ident}\n{value}\n[c]"),
     ]
     got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in secret_links.secret_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    both = ["ident", "value"]
     assert got == {
-        1: [], 2: [], 3: [], 4: ["ident", "value"], 5: ["ident", "value", "endpoint"], 6: [], 7: [], 8: ["access", "value"],
-        9: ["assign"], 10: ["assign", "endpoint", "ident"],
+        1: [], 2: [], 3: [], 4: both, 5: [*both, "endpoint"], 6: [], 7: both, 8: ["access", "value"], 9: ["assign"], 10: ["assign", "endpoint", "ident"],
+        11: [], 12: both, 13: [], 14: both, 15: [], 16: ["ident", "endpoint", "value"], 17: both, 18: both,
     }
 
 
-def test_sweep_equals_all_pairs(spark):
+def scopes(text, short):
+    """The ends of scopes, line by line."""
+    lines, at, starts = text.split("\n"), 0, []
+    for line in lines:
+        starts.append((at, line))
+        at += len(line) + 1
+    heads = [at for at, line in starts if re.fullmatch(r"[ \t]*\[\[?[A-Za-z_][^\[\]]*\]\]?[ \t\r]*", line)]
+    if heads or len(text) <= short:
+        return heads
+    return [at for at, line in starts if not line.strip(" \t\r") or line.startswith(("---", "}", "]"))]
+
+
+@pytest.mark.parametrize("short", [0, 80, 10**6])
+def test_sweep_equals_scopes_by_line(spark, short):
     rnd = random.Random(2)
     parts = {"ident": "user_id=abc", "value": "Zk3" * 12, "endpoint": "10.1.2.3", "assign": "token=abcdefgh", "access": "AKIA0123456789AB"}
+    fill = ["\n", "\n\n", " \n \t\n", "\n---\n", "\n}\n", "\n]\n", "é😀 word", "\r\n\r\n", "[x]"]
     rows = []
-    for i in range(60):
-        rows.append((i, " ".join(rnd.choice(list(parts.values())) if rnd.random() < 0.3 else "w" * rnd.randint(1, 90) for _ in range(rnd.randint(1, 60)))))
+    for i in range(150):
+        more = [*fill, "\n[head]\n", "\n [t.b] \r\n"] if i % 3 == 0 else fill
+        rows.append((i, " ".join(rnd.choice(list(parts.values())) if rnd.random() < 0.3 else rnd.choice(more) for _ in range(rnd.randint(1, 40)))))
+        rows.append((1000 + i, "".join(rnd.choice([*parts.values(), *more]) + "\n" for _ in range(rnd.randint(1, 20)))))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    everything = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_links.secret_spans(docs, reach=10**6).collect()}
-    got = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_links.secret_spans(docs, reach=40).collect()}
+    got = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in secret_links.secret_spans(docs, short=short).collect()}
     for i, text in rows:
         found = sorted((m.start(), k, m.end()) for k, p in parts.items() for m in re.finditer(re.escape(p), text))
-        near = lambda s, e, kinds: any(b <= e + 40 and f >= s - 40 for b, k, f in found if k in kinds)
+        ends = scopes(text, short)
+        scope = {s: sum(e <= s for e in ends) for s, *_ in found}
+        there = lambda s, kinds: any(scope[b] == scope[s] and k in kinds for b, k, _ in found)
         want = []
         for s, k, e in found:
-            a, b = near(s, e, ("access", "ident")), near(s, e, ("assign", "value"))
+            a, b = there(s, ("access", "ident")), there(s, ("assign", "value"))
             if k in ("assign", "access") or (k == "ident" and b) or (k == "value" and a) or (k == "endpoint" and a and b):
                 want.append((k, s, e))
-        assert sorted(got[i], key=lambda x: x[1]) == want
-        assert len(everything[i]) >= len(want)
+        assert sorted(got[i], key=lambda x: x[1]) == want, repr(text)
 
 
 def test_secrets_of_edge_cases(edge_docs, no_docs):
