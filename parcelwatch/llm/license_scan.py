@@ -130,7 +130,8 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
 
     unit is line, paragraph (where it has several lines) or text (where it has several paragraphs), nth its number among
     those, from 0; or passage, a run of words elsewhere, nth by order. license is that of the most similar template (of equally similar ones, the first), permille its
-    coefficient, cut off. Null text counts as empty and has no matches. A unit of one word has no bigrams.
+    coefficient, cut off. Null text counts as empty and has no matches. A unit of one word has no bigrams. Repeated rows are
+    judged one by one, a table without rows gives none. Each unit is looked at once, so units cost in proportion to the text.
     """
     known = [(name, _bigrams(_normal(t)), sorted(anchors(_normal(t), least))) for name, t in templates]
     part = round(1000 * least)  # bounds are compared in whole numbers
@@ -166,38 +167,38 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
 
     names = [c for c in docs.columns if c != "matches"]
     text = F.regexp_replace(F.lower(whole_text(docs)), r"[^\p{L}\p{N}\n]+", " ")
-    lines = F.transform(F.split("_text", "\n", -1), lambda x, i: unit("line", i, x))
-    paragraphs = F.split("_text", "\n *\n[ \n]*", -1)
-    several = F.filter(F.transform(paragraphs, lambda x, i: F.struct(i.alias("nth"), x.alias("body"))), lambda x: F.trim(x["body"]).contains("\n"))
-    units = F.concat(
-        lines,
-        F.transform(several, lambda x: unit("paragraph", x["nth"], x["body"])),
-        F.when(F.size(paragraphs) > 1, F.array(unit("text", F.lit(0), F.col("_text")))).otherwise(F.array().cast("array<struct<unit:string,nth:int,words:array<string>>>")),
+    lines = F.split("_text", "\n", -1)
+    breaks = "\n *\n[ \n]*"
+    paragraphs = F.split("_text", breaks, -1)
+    several = lambda x: F.when(F.trim(x).contains("\n"), x).otherwise("")
+
+    def judged(units: Column) -> Column:
+        """The units in their order; permille and license are null where no template is near."""
+        one = lambda u: F.when(F.arrays_overlap(u["words"], hints), best(F.struct(bigrams(u["words"]).alias("grams"))))
+        named = lambda u, m: F.struct(u["unit"].alias("unit"), u["nth"].alias("nth"), m["permille"].alias("permille"), m["license"].alias("license"))
+        return F.transform(units, lambda u: _let(one(u), lambda m: named(u, m)))
+
+    everything = F.struct(
+        judged(F.transform(lines, lambda x, i: unit("line", i, x))).alias("lines"),
+        judged(F.transform(paragraphs, lambda x, i: unit("paragraph", i, several(x)))).alias("paragraphs"),
+        judged(F.array(unit("text", F.lit(0), F.when(F.size(paragraphs) > 1, F.col("_text")).otherwise("")))).alias("text"),
     )
-    hopeful = F.filter(units, lambda u: F.arrays_overlap(u["words"], hints))
-    with_grams = F.transform(hopeful, lambda u: F.struct(u["unit"], u["nth"], bigrams(u["words"]).alias("grams")))
-    judged = F.transform(with_grams, lambda u: F.struct(u["unit"].alias("unit"), u["nth"].alias("nth"), best(u).alias("best")))
-    found = F.filter(judged, lambda m: m["best"]["permille"] >= part)
-    found = F.transform(found, lambda m: F.struct(m["unit"], m["nth"], m["best"]["permille"].alias("permille"), m["best"]["license"].alias("license")))
-
-    def left(found: Column) -> Column:
-        """The words that are in no unit that matches; one ``|`` stands for such a unit."""
-        taken = lambda kind, i: F.exists(found, lambda m: (m["unit"] == kind) & (m["nth"] == i))
-        bodies = F.filter(F.transform(F.split("_text", "\n", -1), lambda x, i: F.when(taken("line", i), F.trim(x))), lambda x: x.isNotNull())
-        rest = F.transform(
-            paragraphs,
-            lambda x, i: F.when(taken("paragraph", i), F.array(F.lit("|"))).otherwise(
-                F.transform(F.split(x, "\n", -1), lambda y: F.when(F.array_contains(bodies, F.trim(y)), F.lit("|")).otherwise(y))
-            ),
-        )
-        return F.when(taken("text", F.lit(0)), F.array().cast("array<string>")).otherwise(words(F.array_join(F.flatten(rest), " ")))
+    matches = lambda m: F.coalesce(m["permille"] >= part, F.lit(False))
+
+    def left(every: Column) -> Column:
+        """The words that are in no unit that matches; one ``|`` stands for such a unit. Units are found by their place, and a
+        marked line is no blank one, so the paragraphs of the marked text are those of the text."""
+        marked = F.array_join(F.transform(lines, lambda x, i: F.when(matches(F.get(every["lines"], i)), F.lit("|")).otherwise(x)), "\n")
+        rest = F.transform(F.split(marked, breaks, -1), lambda x, i: F.when(matches(F.get(every["paragraphs"], i)), F.lit("|")).otherwise(x))
+        return F.when(matches(F.get(every["text"], 0)), F.array().cast("array<string>")).otherwise(words(F.array_join(rest, " ")))
 
-    def with_passages(found: Column) -> Column:
-        more = _let(left(found), lambda w: F.when(F.arrays_overlap(w, hints), _passages(w, table, part)))
+    def with_passages(every: Column) -> Column:
+        more = _let(left(every), lambda w: F.when(F.arrays_overlap(w, hints), _passages(w, table, part)))
         more = F.coalesce(more, F.array().cast("array<struct<start:int,permille:int,license:string>>"))
-        return F.concat(found, F.transform(more, lambda m, i: F.struct(F.lit("passage").alias("unit"), i.alias("nth"), m["permille"].alias("permille"), m["license"].alias("license"))))
+        passages = F.transform(more, lambda m, i: F.struct(F.lit("passage").alias("unit"), i.alias("nth"), m["permille"].alias("permille"), m["license"].alias("license")))
+        return F.concat(F.filter(F.concat(every["lines"], every["paragraphs"], every["text"]), matches), passages)
 
-    found = _let(found, with_passages)
+    found = _let(everything, with_passages)
     none = F.array().cast("array<struct<unit:string,nth:int,permille:int,license:string>>")
     read = docs.select(*names, text.alias("_text"))
     some = F.arrays_overlap(F.split(F.translate("_text", "\n", " "), " "), hints)

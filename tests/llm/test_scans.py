@@ -5,9 +5,11 @@ import random
 import re
 import time
 
+import duckdb
 import pytest
 
 from parcelwatch.llm import license_scan, secret_links, template_leaks
+from parcelwatch.llm.queries import ORACLES
 
 BASE = (
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)),
@@ -142,6 +144,33 @@ def test_notices_within_longer_texts(spark):
     assert got[3].matches == "passage:0:MIT:1000" and got[5].matches == "line:0:MIT:1000" and got[1].best == 1000
 
 
+def test_licenses_of_texts_with_very_many_lines(spark):
+    notice = "Released under the MIT License."
+    half = "\n".join(notice if i % 2 else f"line {i} of other words" for i in range(2000))
+    one = "\n".join(["some words of a line"] * 8000 + [notice] + ["some words of a line"] * 8000)
+    started = time.monotonic()
+    got = {r.doc_id: r for r in license_scan.license_report(spark.createDataFrame([(1, half), (2, one)], "doc_id bigint, text string")).collect()}
+    assert time.monotonic() - started < 30
+    assert got[1].n_matches == 1000 and got[1].matches.startswith("line:1:MIT:1000,line:3:MIT:1000,")
+    assert got[2].matches == "line:8000:MIT:1000"
+
+
+def test_secret_sql_links_by_scope(spark):
+    """The tables hold no weak parts, so the SQL is held to the query on texts that do."""
+    ident, value, url = "client_id=webshop", "Zk3" * 14, "https://host.example/x"
+    far = " filler" * 60
+    texts = [
+        f"[a]\n{ident}\n[b]\n{value}", f"[a]\n{ident}\n\n;{far}\n\n{value}\n[b]\n{url}", f"{ident}\n\n{far}\n\n{value}", f"{ident}\n\n{value}",
+        f"{{\n{ident}{far}\n}}\n{{\n{value}\n}}", f"{far}\n---\n{ident}\nmore\n{url}\n{value}\n---\n{url}", f" [a] \r\n[b]\n{ident}\n{value}", "", None,
+    ]
+    rows = list(enumerate(texts))
+    got = {tuple(r) for r in secret_links.secret_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == set(db.execute(ORACLES["op4_secret_links"]).fetchall())
+
+
 @pytest.mark.parametrize("name,text", license_scan.TEMPLATES)
 def test_anchors_cannot_be_missed(name, text):
     words = license_scan._normal(text)
