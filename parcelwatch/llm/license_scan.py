@@ -153,7 +153,7 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
         each = F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
         return F.array_distinct(F.filter(each, lambda x: x.isNotNull()))
 
-    def best(u: Column) -> Column:
+    def best(u: dict[str, Column]) -> Column:
         near = F.filter(table, lambda t: (t["size"] * (2000 - part) >= F.size(u["grams"]) * part) & (t["size"] * part <= F.size(u["grams"]) * (2000 - part)))
         scored = F.transform(
             near,
@@ -174,7 +174,7 @@ def license_matches(docs: DataFrame, least: float = LEAST, templates: tuple[tupl
 
     def judged(units: Column) -> Column:
         """The units in their order; permille and license are null where no template is near."""
-        one = lambda u: F.when(F.arrays_overlap(u["words"], hints), best(F.struct(bigrams(u["words"]).alias("grams"))))
+        one = lambda u: F.when(F.arrays_overlap(u["words"], hints), _let(bigrams(u["words"]), lambda g: best({"grams": g})))
         named = lambda u, m: F.struct(u["unit"].alias("unit"), u["nth"].alias("nth"), m["permille"].alias("permille"), m["license"].alias("license"))
         return F.transform(units, lambda u: _let(one(u), lambda m: named(u, m)))
 
