@@ -43,6 +43,7 @@ _SCRIPT = np.array([_NAMES.index(n) for _, n in SCRIPTS])
 # Signs of number such as ½ ² ① count as word characters in patterns, but are no letters.
 _NUMBERS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
 _WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_PLAIN_WORD = re.compile(r"[^\W\d_]+")
 _U = np.uint64
 
 
@@ -50,6 +51,17 @@ def held_out(docs: DataFrame) -> Column:
     return F.crc32(docs["doc_id"].cast("bigint").cast("string").cast("binary")) % 3 == 1
 
 
+def _word_pattern(text: str) -> re.Pattern[str]:
+    """A pattern that finds the words of ``text``: the long class is slow, and needed only where a sign of number occurs."""
+    return _PLAIN_WORD if "".join(_PLAIN_WORD.findall(text)).isalpha() else _WORD
+
+
+def find_words(text: str) -> list[str]:
+    """Runs of letters."""
+    words = _PLAIN_WORD.findall(text)
+    return words if "".join(words).isalpha() else _WORD.findall(text)
+
+
 def word_features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(word, feature) arrays, one pair for each length of n-gram; the ends of a word count as a letter."""
     c = np.frombuffer(("\n" + "\n".join(words) + "\n").lower().encode("utf-32-le"), "<u4").astype(_U)
@@ -78,7 +90,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words = _WORD.findall(text.as_py())
+            words = find_words(text.as_py())
             if not words:
                 continue
             own = totals.setdefault(lang, np.zeros(FEATURES + len(_NAMES), np.int64))
@@ -179,7 +191,7 @@ class _Labeller:
 
 def _spans(text: str, labels: np.ndarray, names: list[str]) -> list[dict]:
     out: list[dict] = []
-    for m, k in zip(_WORD.finditer(text), labels, strict=True):
+    for m, k in zip(_word_pattern(text).finditer(text), labels, strict=True):
         if out and out[-1]["lang"] == names[k]:
             out[-1]["end"] = m.end()
         else:
@@ -223,7 +235,7 @@ def label_texts(docs: DataFrame, model: Languages, spans: bool = False, text: st
         for batch in batches:
             words, held, start = [], 0, 0
             for i, t in enumerate(batch.column(names.index(text))):
-                words.append(_WORD.findall(t.as_py() or ""))
+                words.append(find_words(t.as_py() or ""))
                 held += len(words[-1])
                 if held >= _FLUSH_WORDS:
                     yield labelled(batch.slice(start, i + 1 - start), words)

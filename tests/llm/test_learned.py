@@ -86,6 +86,8 @@ def test_signs_of_number_are_no_letters(spark, small):
     assert got[-1][0] == "und" and got[-2][0] != "und"
     words = language._WORD.findall("a½b x²y Ⅷ 一二 ª٣")
     assert words == ["a", "b", "x", "y", "一二", "ª"] and all(w.isalpha() for w in words)
+    for text in ("plain words, 12 of_them", "a½b x²y Ⅷ 一二 ª٣", "", "½", "漢字 слово 𝟘𠀀 x\u0301"):
+        assert language.find_words(text) == language._WORD.findall(text) == [m[0] for m in language._word_pattern(text).finditer(text)]
 
 
 def test_quality_of_unseen_documents(spark):
