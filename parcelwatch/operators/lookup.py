@@ -215,19 +215,43 @@ def number_views(
     )
 
 
-def view_status() -> Column:
-    """Status struct of a number view: detail, then first scan event, then flat fields.
+# A body with one result is read whole: its top-level scan events come before, its flat fields after what
+# the result says. A result of many stands by itself.
+_VIEW_PARTS = {
+    "detail_status": f"coalesce(d.detail_status, {P.BLANK_STATUS})",
+    "scan_status": f"coalesce(CASE WHEN alone THEN top.scan_status END, d.scan_status, {P.BLANK_STATUS})",
+    "flat_status": f"CASE WHEN alone OR at = {WHOLE} THEN top.flat_status ELSE {P.BLANK_STATUS} END",
+    "detail": "d.detail",
+    "ancillary": "d.ancillary",
+}
+_PAIR_PARTS = {
+    "detail_status": f"coalesce(focus.detail_status, {P.BLANK_STATUS})",
+    "scan_status": f"coalesce(focus.scan_status, {P.BLANK_STATUS})",
+    "flat_status": f"CASE WHEN status_at IS NULL THEN top.flat_status ELSE {P.BLANK_STATUS} END",
+    "detail": "focus.detail",
+    "ancillary": "focus.ancillary",
+}
+
+
+def _with_parts(df: DataFrame, parts: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(sql) for name, sql in parts.items()})
 
-    A body with one result is read whole: its top-level scan events come before, its
-    flat fields after what the result says. A result of many stands by itself.
-    """
-    scan = f"coalesce(CASE WHEN alone THEN top.scan_status END, d.scan_status, {P.BLANK_STATUS})"
-    flat = f"CASE WHEN alone OR at = {WHOLE} THEN top.flat_status ELSE {P.BLANK_STATUS} END"
+
+def view_status() -> Column:
+    """Status struct of a number view: detail, then first scan event, then flat fields."""
+    scan, flat = _VIEW_PARTS["scan_status"], _VIEW_PARTS["flat_status"]
     return F.expr(P.bind("scn", scan, P.first_status("d.detail_status", "scn", flat)))
 
 
+#: Replaces the built-in reading of statuses: gets digests, one row per number and place, and returns columns by
+#: name, which enrichment then writes. It may read ``tracking_number``; the structs ``detail_status``,
+#: ``scan_status`` and ``flat_status`` (code, derivedCode, statusByLocale, description, blanks where there is
+#: none; events of a result whose detail has a status are not read); ``detail`` (JSON text) and ``ancillary``.
+Normalizer = Callable[[DataFrame], dict[str, Column]]
+
+
 def replay_facts(
-    bodies: DataFrame, order: Sequence[str], *, reference_scan_count: bool = False
+    bodies: DataFrame, order: Sequence[str], *, normalizer: Normalizer | None = None, reference_scan_count: bool = False
 ) -> DataFrame:
     """Facts of the last body of every tracking number.
 
@@ -236,6 +260,9 @@ def replay_facts(
 
     ``reference_scan_count`` counts only scans outside ``output``, which leaves every
     matched number at zero; the default counts all.
+
+    ``normalizer`` reads the statuses where the bodies are read, before the aggregation, so that no document
+    travels for it. Its columns must be such as can be compared (no maps, no VARIANT); every body counts as readable.
     """
     whole = f"(at = {WHOLE})"
     count, times = "d.scan_count", "d.scan_times"
@@ -245,7 +272,14 @@ def replay_facts(
             f"CASE WHEN NOT {whole} THEN {P.none('string')} WHEN wrapped THEN top.scan_times "
             f"ELSE {times} END"
         )
-    views = _with_latest(number_views(bodies, order), "d.dates").withColumn("s", view_status())
+    views = _with_latest(number_views(bodies, order), "d.dates")
+    if normalizer is None:
+        views = views.withColumn("s", view_status())
+        fields = {f: F.col(f"s.{f}") for f in STATUS_FIELDS}
+        readable = F.expr(f"d.readable AND (is_object OR NOT {whole})")
+    else:
+        views = _with_parts(views, _VIEW_PARTS)
+        fields, readable = normalizer(views), F.lit(True)
     # The status is read where the number is matched as written; time, scans and detail
     # also where it is matched padded, should that result come first.
     facts = views.select(
@@ -253,8 +287,8 @@ def replay_facts(
         "exact",
         F.expr("struct(seq, -at AS at)").alias("rank"),
         F.struct(
-            *(F.col(f"s.{f}").alias(f) for f in STATUS_FIELDS),
-            F.expr(f"d.readable AND (is_object OR NOT {whole})").alias("readable"),
+            *(c.alias(n) for n, c in fields.items()),
+            readable.alias("readable"),
         ).alias("status"),
         F.struct(
             "latest_ts",
@@ -270,7 +304,7 @@ def replay_facts(
     )
     scoped = F.expr("CASE WHEN padded.rank > best.rank THEN padded.scoped ELSE best.scoped END")
     return best.select("tracking_number", "best.status.*", scoped.alias("scoped")).select(
-        "tracking_number", *STATUS_FIELDS, "readable", "scoped.*"
+        "tracking_number", *(col(n) for n in fields), "readable", "scoped.*"
     )
 
 
@@ -305,16 +339,8 @@ def scope_to_number(pairs: DataFrame, *, all_scans: bool = False) -> DataFrame:
 
 def normalize_status() -> Column:
     """Status struct of a scoped pair: detail, then first scan event, then flat fields."""
-    return F.expr(
-        P.first_status(
-            "focus.detail_status",
-            f"coalesce(focus.scan_status, {P.BLANK_STATUS})",
-            f"CASE WHEN status_at IS NULL THEN top.flat_status ELSE {P.BLANK_STATUS} END",
-        )
-    )
-
-
-Normalizer = Callable[[DataFrame], dict[str, Column]]
+    scan, flat = _PAIR_PARTS["scan_status"], _PAIR_PARTS["flat_status"]
+    return F.expr(P.first_status("focus.detail_status", scan, flat))
 
 
 def payload_facts(
@@ -325,8 +351,8 @@ def payload_facts(
 ) -> DataFrame:
     """Facts of (``tracking_number``, ``body``) pairs, one row per pair.
 
-    ``normalizer`` replaces the built-in status reading: it gets the scoped pairs
-    (``raw`` is the body) and returns columns by name, which enrichment then writes.
+    ``normalizer`` replaces the built-in status reading. Here, where each number comes with its body, it gets
+    the scoped pairs, and may also look at the body itself (``raw``).
     """
     placed = scope_to_number(pairs)
     if normalizer is None:
@@ -334,6 +360,7 @@ def payload_facts(
         fields = {f: F.col(f"_status.{f}") for f in STATUS_FIELDS}
         readable = F.col("is_object") & F.col("focus.readable")
     else:
+        placed = _with_parts(placed, _PAIR_PARTS)
         fields, readable = normalizer(placed), F.lit(True)
     count, times = "scoped.scan_count", "scoped.scan_times"
     if reference_scan_count:
@@ -358,6 +385,7 @@ def payload_facts(
 __all__ = [
     "body_numbers",
     "carrier_map",
+    "Normalizer",
     "WHOLE",
     "normalize_status",
     "number_views",

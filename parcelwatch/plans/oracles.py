@@ -428,6 +428,10 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'stalled', row_id, {_CLEAN}, calculated_status FROM judged WHERE is_stalled = 1
         UNION ALL SELECT 'damaged_or_returned', row_id, {_CLEAN}, calculated_status FROM judged WHERE damaged = 1 OR is_rts = 1
         UNION ALL SELECT 'marker', (SELECT COUNT(*) FROM ship), CAST(COUNT(*) AS STRING), 'ok' FROM judged""",
+    "normalizer": f"""{_judged(_LAST_APPENDED)}, places AS (SELECT tracking_number AS tn,
+         CASE WHEN kind <= 2 THEN 'detail' WHEN kind = 3 THEN 'scan' ELSE 'flat' END AS place FROM last)
+        SELECT row_id, COALESCE(place, '') AS place, COALESCE(place || ':' || code, '') AS code, derived_code, status_by_locale,
+         description, ancillary, latest_ts, scan_count, calculated_status FROM judged LEFT JOIN places ON k = tn""",
     "published_versions": f"""
         SELECT CAST(1 AS BIGINT) AS version, * FROM ({_judged(where=f"{_IN_WEEK} AND {_NOT_DELIVERED}")}
          SELECT row_id, calculated_status AS status FROM judged WHERE is_stalled = 1)

@@ -142,8 +142,8 @@ def process_and_publish(
 ) -> dict[str, Any]:
     """Run the job and publish ``all_shipments``, ``processed``, the views and the ``marker``.
 
-    Facts come from replayed bodies, read by ``normalizer`` if that is given, or are handed in
-    as ``facts``, such as those of ``response_facts``. The summary has the rows after each
+    Facts come from replayed bodies, their statuses read by ``normalizer`` if that is given, or are handed in
+    as ``facts``, such as those of ``response_facts``, or of ``replayed_pairs_facts`` for a normalizer that looks at whole bodies. The summary has the rows after each
     stage of preparation. With ``sidecar_order``, the column that orders the input rows, the status of every
     (carrier, tracking number) is also published as ``sidecar``. The input is scanned for the raw copy and once more for the processed table; the
     views are cut from the written processed table. Row counts ride on the writes.
@@ -156,7 +156,7 @@ def process_and_publish(
     shipments = src_shipments(spark, input_path, input_format, must_exist=True)
     if bodies_path is not None:
         bodies = src_bodies(spark, bodies_path, bodies_layout)
-        facts = replay_facts(bodies, BODY_ORDER) if normalizer is None else replayed_pairs_facts(bodies, BODY_ORDER, normalizer)
+        facts = replay_facts(bodies, BODY_ORDER, normalizer=normalizer)
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
 
     tables: list[str] = []
@@ -248,7 +248,10 @@ def snapshot_of(
 
 
 def replayed_pairs_facts(bodies: DataFrame, order: Sequence[str], normalizer: Normalizer) -> DataFrame:
-    """Facts of the last body of every number, with the status read by ``normalizer``."""
+    """Facts of the last body of every number, with the status read by ``normalizer`` from whole bodies.
+
+    Each number gets its body for that; ``replay_facts`` moves digests only.
+    """
     numbers = replay_index(bodies, order).select(F.col("tracking_number").alias(TRACKING_NUMBER))
     pairs = replay_lookup(numbers, bodies, order).select(F.col(f"`{TRACKING_NUMBER}`").alias("tracking_number"), "body")
     return payload_facts(pairs, normalizer=normalizer)

@@ -914,6 +914,40 @@ def q_process_and_publish(spark: SparkSession, sf: str) -> DataFrame:
     return whole.unionByName(output("marker", "input_rows", F.col("output_rows").cast("string"), F.col("run_marker")))
 
 
+def _placed_status(digests: DataFrame) -> dict[str, Column]:
+    """A normalizer that also tells where a status was found, and marks codes with it."""
+    places = ("detail", "scan", "flat")
+    given = {p: (F.col(f"{p}_status.code") != "") | (F.col(f"{p}_status.statusByLocale") != "") for p in places}
+
+    def first(value: Callable[[str], Column]) -> Column:
+        return F.coalesce(*(F.when(given[p], value(p)) for p in places), F.lit(""))
+
+    read = {f: first(lambda p, f=f: F.col(f"{p}_status.{f}")) for f in STATUS_FIELDS}
+    marked = first(lambda p: F.concat(F.lit(f"{p}:"), F.col(f"{p}_status.code")))
+    return {**read, "code": marked, "place": first(F.lit)}
+
+
+@query
+def q_normalizer(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed shipments of a run over a dump whose statuses a normalizer reads."""
+    base = scratch_dir(spark, "normalizer")
+    fx.shipments(spark, sf).write.parquet(f"{base}/input")
+    dump = _append_in_two(spark, sf)
+    process_and_publish(
+        spark,
+        f"{base}/input",
+        f"{base}/out",
+        bodies_path=f"{dump}/batch=*",
+        bodies_layout="lines",
+        settings=ALL_WEEKS,
+        normalizer=_placed_status,
+    )
+    return snake(
+        spark.read.parquet(f"{base}/out/processed"),
+        "RowId", "place", "code", "derivedCode", "statusByLocale", "description", "LatestAncillaryText", "LatestEventTimestampUtc", "ScanEventsCount", LABEL,
+    ).withColumnRenamed(LABEL, "calculated_status")
+
+
 @query
 def q_published_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Stalled shipments of three runs: of one week, of all weeks, and one that failed before its last table."""

@@ -298,6 +298,34 @@ def test_custom_normalizer_writes_its_own_columns(bodies, rows):
     assert (r["code"], r["extra"]) == ("hello", "e")
 
 
+def _all_places(df):
+    return {**{f"{p}_{f}": F.col(f"{p}_status.{f}") for p in ("detail", "scan", "flat") for f in STATUS}, "more": F.concat("detail", F.lit("|"), "ancillary")}
+
+
+def test_normalizer_sees_the_same_in_digests_and_in_pairs(bodies):
+    scan = {"eventType": "AR", "eventDescription": "at hub", "date": "2024-01-05T08:00:00Z"}
+    df = bodies(
+        wrapped(result("10", latestStatusDetail=detail("D1", "on its way")), result("11", scanEvents=[scan])),
+        wrapped(result("20", scanEvents=[scan]), code="T2", statusByLocale="top"),
+        bare(result("30", nested=["31"], latestStatusDetail=detail("", "", "only words"))),
+        {"trackingNumber": "40", "code": "F4", "scanEvents": [scan]},
+        wrapped(result(" 50 ", latestStatusDetail=detail("D5", ancillaryDetails=[{"reason": "r5"}])), result("50")),
+        wrapped(None, result("60"), result("61", latestStatusDetail=detail("D6"))),
+        wrapped(result("10", latestStatusDetail=detail("D7")), result("10", scanEvents=[scan])),
+    )
+    got = facts(df, normalizer=_all_places)
+    assert (got["10"]["detail_code"], got["11"]["scan_code"], got["40"]["flat_code"], got["61"]["detail_code"]) == ("D7", "AR", "F4", "D6")
+    assert (got["20"]["scan_code"], got["20"]["flat_statusByLocale"], got["11"]["flat_code"]) == ("AR", "top", "")
+
+
+def test_no_document_travels_for_a_normalizer(bodies):
+    df = lookup.replay_facts(bodies({"trackingNumber": "1", "code": "DL"}), ["pos"], normalizer=_all_places)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "MapIn" not in plan
+    kinds = {f.dataType.simpleString() for f in df.schema}
+    assert "variant" not in kinds and df.first()["flat_code"] == "DL"
+
+
 def test_normalized_record(bodies):
     pairs = bodies({"code": "DL", "statusByLocale": "Delivered"}).select(F.lit("9").alias("tracking_number"), "body")
     scoped = lookup.scope_to_number(pairs).withColumn("s", lookup.normalize_status())
