@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelwatch.functions import payload as P
 from parcelwatch.functions.text import key_text, strip_sql
-from parcelwatch.operators.lookup import carrier_map, pointers_and_bodies, replay_lookup
+from parcelwatch.operators.lookup import _left_by_key, carrier_map, pointers_and_bodies, replay_lookup
 from parcelwatch.schema import CARRIER_CODE, TRACKING_NUMBER, col, has
 from parcelwatch.sources.scratch import stored
 
@@ -159,19 +159,16 @@ def batch_result_or_body(requested: DataFrame, responses: DataFrame) -> DataFram
     no object cannot be read, so its rows keep what they have), else an empty object: a
     batch without a response row (no access token, failed call) gives empty objects.
     """
-    split = split_batch_response(responses)
-    whole = responses.select("batch", "body")
-    empty = F.parse_json(F.lit("{}"))
-    return (
+    known = (
         requested.select("batch", "tracking_number")
         .distinct()
-        .join(split, ["batch", "tracking_number"], "left")
-        .join(whole, "batch", "left")
-        .select(
-            "batch",
-            "tracking_number",
-            F.coalesce("payload", "body", empty).alias("payload"),
-        )
+        .join(split_batch_response(responses), ["batch", "tracking_number"], "left")
+    )
+    # A whole response meets only the numbers that have no result of their own.
+    keyed = known.withColumn("_key", F.when(F.col("payload").isNull(), F.col("batch").cast("string")))
+    whole = responses.select(F.col("batch").cast("string").alias("_tn"), "body")
+    return _left_by_key(keyed, whole).select(
+        "batch", "tracking_number", F.coalesce("payload", "body", F.parse_json(F.lit("{}"))).alias("payload")
     )
 
 

@@ -317,9 +317,10 @@ ORACLES: dict[str, str] = {
     "split_batch_response": _facts(f"{_BATCH}, tracking_number, scan_count", _TN_DEEP),
     "batch_result_or_body": f"""WITH {_FACT}, deep AS (SELECT capture, part, COUNT(*) FILTER (WHERE kind < 4) AS n
         FROM fact GROUP BY 1, 2) SELECT capture * 1000000 + part AS batch, tracking_number,
-        CASE WHEN n = 0 THEN 'none' WHEN kind < 4 THEN 'own' ELSE 'whole' END AS source
+        CASE WHEN n = 0 THEN 'none' WHEN kind < 4 THEN 'own' ELSE 'whole' END AS source,
+        CASE WHEN kind < 4 THEN 1 ELSE n END AS results, CASE WHEN kind <= 2 THEN ev_status ELSE '' END AS own_status
         FROM fact JOIN deep USING (capture, part)
-        UNION ALL SELECT DISTINCT CAST(-1 AS BIGINT), tracking_number, 'none' FROM fact""",
+        UNION ALL SELECT DISTINCT CAST(-1 AS BIGINT), tracking_number, 'none', CAST(0 AS BIGINT), '' FROM fact""",
     "batch_then_single": f"""WITH {_SHIP}, {_FACT}, {_LAST},
         keyed AS (SELECT DISTINCT {_key("tracking_number")} AS k FROM ship)
         SELECT k AS tracking_number, COALESCE(derived_code, '') AS derived_code,

@@ -561,6 +561,7 @@ def q_batch_result_or_body(spark: SparkSession, sf: str) -> DataFrame:
     # Every number is also requested in a batch that got no response.
     unanswered = requested.select(F.lit(-1).cast("bigint").alias("batch"), "tracking_number").distinct()
     got = batches.batch_result_or_body(requested.union(unanswered), responses)
+    own_status = "$.completeTrackResults[0].trackResults[0].latestStatusDetail.statusByLocale"
     return got.select(
         "batch",
         "tracking_number",
@@ -569,7 +570,9 @@ def q_batch_result_or_body(spark: SparkSession, sf: str) -> DataFrame:
             "WHEN size(try_variant_get(payload, '$.completeTrackResults', 'array<variant>')) = 1 "
             "AND try_variant_get(payload, '$.transactionId', 'string') IS NULL THEN 'own' ELSE 'whole' END"
         ).alias("source"),
-    )
+        F.size(F.expr(f"coalesce({batches.response_results('payload')}, array())")).cast("bigint").alias("results"),
+        F.coalesce(F.try_variant_get("payload", own_status, "string"), F.lit("")).alias("own_status"),
+    ).withColumn("own_status", F.when(F.col("source") == "own", F.col("own_status")).otherwise(""))
 
 
 @query

@@ -109,6 +109,17 @@ def test_requested_numbers_get_their_result_the_body_or_nothing(spark, responses
     }
 
 
+def test_a_whole_response_meets_only_numbers_without_a_result(spark, responses):
+    """Of 300 numbers of one batch, 298 have a result; the other two get the response, and a batch without a key gets nothing."""
+    body = {"output": {"completeTrackResults": [cr(f"N{i}") for i in range(298)]}, "id": 5}
+    asked = [(0, f"N{i}") for i in range(300)] + [(None, "N1"), (0, "N299")]
+    got = batches.batch_result_or_body(spark.createDataFrame(asked, "batch int, tracking_number string"), responses(body))
+    read = {(r[0], r[1]): json.loads(r[2]) for r in got.select("batch", "tracking_number", F.to_json("payload")).collect()}
+    assert len(read) == 301 and read[None, "N1"] == {}
+    assert sorted(n for (b, n), p in read.items() if p == body) == ["N298", "N299"]
+    assert all(read[0, f"N{i}"] == {"completeTrackResults": [cr(f"N{i}")]} for i in range(298))
+
+
 def test_empty_batch_payload_still_beats_the_replay(spark, rows):
     bodies = spark.createDataFrame(
         [(0, '{"trackingNumber":"A","code":"X"}'), (1, '{"trackingNumber":"B","code":"Y"}')], "pos int, t string"
