@@ -20,6 +20,8 @@ from .common import mapped
 
 #: Labelled documents that the model learns from, about; chosen by a hash of doc_id.
 TRAIN_DOCS = 20_000
+#: Languages that are learned: those with most labelled documents, so that junk in lang cannot grow the model.
+MAX_LANGUAGES = 200
 FEATURES = 1 << 15
 GRAMS = (2, 3, 4)
 #: Log-likelihood that a change of language costs.
@@ -149,13 +151,17 @@ class Languages:
         return label
 
 
-def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Languages:
+def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_languages: int = MAX_LANGUAGES) -> Languages:
     """A model from text and lang of the labelled rows of ``docs`` that are not held out.
 
-    About ``train_docs`` of them, by a hash of doc_id; counts come to the driver, at most ``FEATURES`` a language.
+    About ``train_docs`` of them, by a hash of doc_id, in the ``max_languages`` values of lang with most rows (of equal
+    ones the first in order); counts come to the driver, at most ``FEATURES`` a language.
     """
     rows = docs.where(docs["text"].isNotNull() & docs["lang"].isNotNull() & ~F.coalesce(held_out(docs), F.lit(False)))
     share = min(1.0, train_docs / max(rows.count(), 1))
+    support = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    learned = [r["lang"] for r in support.orderBy(F.desc("n"), "lang").limit(max_languages).collect()]
+    rows = rows.where(F.col("lang").isin(learned))
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     counts = mapped(rows.select("lang", "text"), _count, "lang string, feature bigint, n bigint")
     table = counts.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()

@@ -80,6 +80,14 @@ def test_language_of_edge_cases(edge_docs, no_docs):
     assert language.predicted(no_docs).count() == 0 and language.with_language(no_docs).count() == 0
 
 
+def test_junk_in_lang_cannot_grow_the_model(spark):
+    rows = [(i, f"text number {i} of some words", lang) for i, lang in enumerate(["en"] * 30 + ["de"] * 20 + [f"junk{k:02}" for k in range(40)])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert language.learn(docs, max_languages=2).names == ["de", "en"]
+    assert {"de", "en"} < set(language.learn(docs).names) and len(language.learn(docs).names) > 20
+    assert language.learn(docs.where("lang = 'fr'")).names == []
+
+
 def test_signs_of_number_are_no_letters(spark, small):
     odd = spark.createDataFrame([(-1, "½ ² ① Ⅷ 12", None), (-2, "½x²y ①", None)], "doc_id bigint, text string, lang string")
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.predicted(small.select("doc_id", "text", "lang").union(odd)).where("doc_id < 0").collect()}
