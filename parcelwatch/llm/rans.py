@@ -1,7 +1,7 @@
 """Token ids in compressed files: static range asymmetric numeral systems.
 
-Documents are dealt into ranges of ascending doc_id. A task turns its documents into one stream of ids and cuts
-it into segments of at most ``SEGMENT`` ids. A segment is one row of a Parquet table and holds:
+Documents are turned into ids where they are read, and the ids are dealt into ranges of ascending doc_id: texts are
+not shuffled. A task puts the ids of its documents into one stream and cuts it into segments of at most ``SEGMENT`` ids. A segment is one row of a Parquet table and holds:
 
 * one frequency table (symbols, freqs), summing to 2^20, that all its blocks share;
 * blocks of equal length, each coded on its own with 128 interleaved coder states. Per block a checkpoint
@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType
 
 from parcelwatch.sources.scratch import scratch_dir
 
-from .common import mapped, whole_text
+from .common import mapped, stored, whole_text
 from .word_ids import word_ids
 
 SEGMENT = 1 << 21
@@ -36,6 +36,7 @@ BLOCK = 1 << 15
 LANES = 128
 SCALE_BITS = 20
 SEGMENTS_PER_FILE = 16
+_IDS_BYTES = 8 << 20
 _LOW = np.uint64(1 << 31)
 _32, _43 = np.uint64(32), np.uint64(31 - SCALE_BITS + 32)
 _SCALE, _BITS = np.uint64((1 << SCALE_BITS) - 1), np.uint64(SCALE_BITS)
@@ -151,10 +152,27 @@ def decode(segment: dict, block: int | None = None) -> np.ndarray:
     return ids[: max(0, min(steps * LANES, segment["n_ids"] - block * steps * LANES))]
 
 
-def _writer(path: str, end_id: int):
+def _encoder(path: str, end_id: int):
+    """(doc_id, tie, text) -> (doc_id, tie, ids), in batches of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, end = word_ids(path), end_id.to_bytes(2, "little")
+        for batch in batches:
+            first, size, out = 0, 0, []
+            for text in batch.column(2):
+                out.append(words.ids(text.as_py()) + end)
+                size += len(out[-1])
+                if size >= _IDS_BYTES or first + len(out) == batch.num_rows:
+                    rows = [batch.column(i).slice(first, len(out)) for i in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*rows, pa.array(out, pa.binary())], ["doc_id", "tie", "ids"])
+                    first, size, out = first + len(out), 0, []
+
+    return run
+
+
+def _writer():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = word_ids(path), TaskContext.get().partitionId()
-        end = end_id.to_bytes(2, "little")
+        part = TaskContext.get().partitionId()
         state = {"segment": 0, "first": 0, "size": 0}
         held: list[bytes] = []
         docs: list[tuple] = []  # doc_id, row, from, n, before
@@ -172,8 +190,8 @@ def _writer(path: str, end_id: int):
 
         n = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.ids(text.as_py()) + end
+            for doc_id, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = row.as_py()
                 at = 0
                 while at < len(ids):
                     piece = ids[at : at + 2 * (SEGMENT - state["size"])]
@@ -193,12 +211,12 @@ def _writer(path: str, end_id: int):
 def write_ids(docs: DataFrame, tokenizer: str, to: str, end_id: int = 1) -> None:
     """Write the ids of ``docs(doc_id, text)`` to the folder ``to``, in ascending order of doc_id (null first; rows
     with the same doc_id in order of their texts)."""
-    ordered = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-    )
-    mapped(ordered, _writer(tokenizer, end_id), SCHEMA).write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).parquet(to)
+    text = whole_text(docs)
+    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    # Dealing by range reads its input twice, so the ids are kept between the two.
+    ids = stored(mapped(read, _encoder(tokenizer, end_id), "doc_id bigint, tie bigint, ids binary"), "word-ids")
+    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
+    mapped(ordered, _writer(), SCHEMA).write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).parquet(to)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:

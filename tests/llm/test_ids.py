@@ -83,6 +83,28 @@ def test_files_hold_all_documents(edge_docs, monkeypatch):
     assert [g[1] for g in by_start] == np.cumsum([0] + [g[2] for g in by_start])[:-1].tolist()
 
 
+def test_texts_are_not_shuffled(edge_docs, monkeypatch, tmp_path):
+    fed, mapped = [], rans.mapped
+    monkeypatch.setattr(rans, "mapped", lambda df, *rest: fed.append(df) or mapped(df, *rest))
+    rans.write_ids(edge_docs, WORDS, str(tmp_path / "ids"))
+    dealt = [df.columns for df in fed if "Exchange" in df._jdf.queryExecution().executedPlan().toString()]
+    assert dealt == [["doc_id", "ids"]]
+
+
+def test_ids_leave_in_batches_of_bounded_size(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(rans, "_IDS_BYTES", 64)
+    texts = ["", "some words here", "word " * 100, "a", "b"] * 3
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array([*range(14), None], pa.int64()), "tie": pa.array(range(15), pa.int64()), "text": texts})
+    out = list(rans._encoder(WORDS, 1)(iter([rows, rows.slice(0, 0)])))
+    assert len(out) == 4
+    assert [i for b in out for i in b.column("doc_id").to_pylist()] == [*range(14), None]
+    assert [i for b in out for i in b.column("tie").to_pylist()] == list(range(15))
+    got = [np.frombuffer(i, "<u2").tolist() for b in out for i in b.column("ids").to_pylist()]
+    assert got == [[*i, 1] for i in library_ids(texts)]
+
+
 def test_nothing_in_nothing_out(no_docs):
     assert rans.encoded_index(no_docs, WORDS).count() == 0
     assert piece_chunks.encoded_pieces(no_docs, PIECES).count() == 0
