@@ -54,8 +54,10 @@ def _other_micros_sql() -> str:
     zone = rf"regexp_extract(stamp, r'{_NAMED_ZONE}', 1)"
     minutes = "CASE WHEN zone RLIKE r'^[+-]' AND contains(bare, ':') THEN (cast(substr(zone, 1, 3) AS int) * 60 + if(startswith(zone, '-'), -1, 1) * cast(right(zone, 2) AS int)) ELSE 0 END"
     fraction = r"coalesce(cast(rpad(substr(nullif(regexp_extract(stamp, r':\d{2}\.(\d+)', 1), ''), 1, 6), 6, '0') AS bigint), 0)"
-    micros = f"unix_micros(CASE {_shape_sql('bare')} {read} {digits} END) + {fraction} - 60000000L * ({minutes})"
-    return f"transform(array({_bare_sql('stamp')}), bare -> transform(array({zone}), zone -> {micros})[0])[0]"
+    micros = f"unix_micros(CASE shape {read} {digits} END) + {fraction} - 60000000L * ({minutes})"
+    # The shape is bound as well: a CASE names its operand once for every branch.
+    shaped = f"transform(array({_shape_sql('bare')}), shape -> {micros})[0]"
+    return f"transform(array({_bare_sql('stamp')}), bare -> transform(array({zone}), zone -> {shaped})[0])[0]"
 
 
 def time_shape_sql(text: str) -> str:
@@ -84,7 +86,8 @@ def epoch_micros_sql(text: str, kind: T.DataType | None = None) -> str:
         "ELSE stamp || 'Z' END"
     )
     iso = "substring(stamp, 5, 1) = '-' AND substring(stamp, 2, 1) <> '-' AND substring(stamp, 3, 1) <> '-'"
-    micros = f"CASE WHEN {iso} THEN unix_micros(try_cast({zoned} AS timestamp)) ELSE {_other_micros_sql()} END"
+    # Rows without an event have a blank time; it is told at once, not by all shapes.
+    micros = f"CASE WHEN stamp IS NULL OR stamp = '' THEN NULL WHEN {iso} THEN unix_micros(try_cast({zoned} AS timestamp)) ELSE {_other_micros_sql()} END"
     return f"transform(array(trim(cast({text} AS string))), stamp -> {micros})[0]"
 
 

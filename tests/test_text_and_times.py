@@ -165,3 +165,12 @@ def test_times_in_other_spellings(spark):
     assert got == [None if m is None else base + m for _, m in SPELLED]
     shapes = {r["shape"]: r.n for r in unread_time_shapes(table, "s").collect()}
     assert shapes == {"9/9/Y": 1, "A": 2, "9:9": 1, "Y-9-9": 1, "A 9, Y": 1}
+
+
+def test_a_time_is_shaped_once(spark):
+    """The shape of a spelling is written once into the plan, not once for each shape it is compared with."""
+    table = spark.createDataFrame([("",), (None,), ("  ",), ("Mon, 01 Jan 2024 05:00:00 GMT",), ("2024-01-01T05:00:00Z",)], "s string")
+    read = table.select(F.expr(times.epoch_micros_sql("s")).alias("m"))
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") < 20
+    assert [r.m for r in read.collect()] == [None, None, None, 1_704_085_200_000_000, 1_704_085_200_000_000]
