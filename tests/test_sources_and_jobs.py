@@ -314,3 +314,17 @@ def test_other_failures_than_unreadable_content_are_raised(spark, tmp_path, monk
     monkeypatch.setattr(DataFrameReader, "load", refuse)
     with pytest.raises(PySparkException):
         src_shipments(spark, str(tmp_path / "in.csv"))
+
+
+@pytest.mark.parametrize("name", ["src_bodies", "process_and_publish", "normalizer", "batch_then_single", "scan_event_count", "published_versions"])
+def test_bodies_are_built_once_a_query(spark, monkeypatch, name):
+    """What a query reads several times comes from one computation of the bodies, or of the facts."""
+    from parcelwatch.plans import fixtures as fx
+    from parcelwatch.plans import queries
+
+    built, kept, body_texts, stored = [], [], fx.body_texts, queries.stored
+    monkeypatch.setattr(fx, "body_texts", lambda *a: built.append(a) or body_texts(*a))
+    monkeypatch.setattr(queries, "stored", lambda df, label: kept.append(label) or stored(df, label))
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(built) == 1 and kept == ["facts" if name == "published_versions" else "texts"]
+    assert "signup" not in plan
