@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, whole_text
+from .common import mapped, whole_text, worker_table
 
 MARK = "▁"
 
@@ -78,14 +78,9 @@ class PieceChunks:
         return self.sp.decode(np.frombuffer(ids, "<u4").tolist())
 
 
-_made: dict[str, PieceChunks] = {}
-
-
 def piece_chunks(path: str) -> PieceChunks:
     """One table per Python worker."""
-    if path not in _made:
-        _made[path] = PieceChunks(path)
-    return _made[path]
+    return worker_table(("pieces", path), lambda: PieceChunks(path))
 
 
 def encoded_pieces(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:

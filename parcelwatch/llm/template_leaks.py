@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, small_or_shuffled, stored, whole_text
+from .common import mapped, small_or_shuffled, stored, whole_text, worker_table
 
 WINDOW = 8
 LITERAL = 5
@@ -153,14 +153,9 @@ class Canonical:
         return tokens, at, owner, kind, (plain, np.where(kind == NAME, self.slots[NAME], plain), exact)
 
 
-_made: list[Canonical] = []
-
-
 def canonical_words() -> Canonical:
     """One table of known words per Python worker."""
-    if not _made:
-        _made.append(Canonical())
-    return _made[0]
+    return worker_table("canonical", Canonical)
 
 
 _P = 0x9E3779B97F4A7C15

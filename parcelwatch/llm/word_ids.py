@@ -13,6 +13,8 @@ import re
 import sys
 from array import array
 
+from .common import worker_table
+
 _BIG_ENDIAN = sys.byteorder == "big"
 # Letters up to U+024F, but for one, keep their number in lower case and are composed already.
 _LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c) != "İ")
@@ -93,11 +95,6 @@ class WordIds:
         return b"".join(out)
 
 
-_made: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """One table per Python worker."""
-    if path not in _made:
-        _made[path] = WordIds(path)
-    return _made[path]
+    return worker_table(("words", path), lambda: WordIds(path))

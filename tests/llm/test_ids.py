@@ -5,9 +5,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
+from parcelwatch.llm import common
 from parcelwatch.llm import length_histogram as lengths
 from parcelwatch.llm import piece_chunks, rans
 from parcelwatch.llm.word_ids import WordIds
@@ -140,3 +143,21 @@ def test_limits_against_brute_force(spark, small):
     assert [tuple(r) for r in lengths.at_limits(table, wanted).collect()] == [(w, (n <= w).sum(), np.minimum(n, w).sum()) for w in wanted]
     for r in lengths.length_quantiles(table, [0.01, 0.5, 0.9, 1.0]).collect():
         assert r.n_tokens == np.sort(n)[int(np.ceil(r.share * len(n))) - 1]
+
+
+def test_rows_reach_workers_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"size": pa.array([b.nbytes], pa.int64())})
+
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    seen = common.stored(common.mapped(rows, sizes, "size bigint"), "sizes").agg(F.max("size"), F.sum("size")).first()
+    assert seen[0] < 2 * common.BATCH_BYTES and seen[1] > 4 * common.BATCH_BYTES
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
+def test_a_worker_keeps_one_table():
+    first = common.worker_table("a", list)
+    assert common.worker_table("a", list) is first
+    common.worker_table("b", list)
+    assert common.worker_table("a", list) is not first
