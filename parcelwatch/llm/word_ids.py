@@ -19,6 +19,9 @@ _BIG_ENDIAN = sys.byteorder == "big"
 # Letters up to U+024F, but for one, keep their number in lower case and are composed already.
 _LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c) != "İ")
 _ALPHA = re.compile(rf"([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)")
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+# A full stop or comma between an ASCII letter and white space is a word of its own to the library.
+_STOP, _COMMA = (re.compile(rb"%b(?<=[a-z]%b)(?=[ \n]|\Z)" % (c, c)) for c in (rb"\.", b","))
 
 
 def byte_letters() -> dict[str, str]:
@@ -44,7 +47,7 @@ class WordIds:
         self.max_words = max_words
         self.table: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.tails: dict[bytes, bytes] = {b"": b""}
         self.letters = {ord(a): b for a, b in byte_letters().items()}
 
     def _library(self, text: str) -> bytes:
@@ -56,27 +59,31 @@ class WordIds:
             ids.byteswap()
         return ids.tobytes()
 
+    def _tail(self, tail: bytes) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {b"": b""}
+            self.tails[tail] = self._library(tail.decode())
+        return self.tails[tail]
+
     def _word(self, word: bytes) -> bytes:
-        if word.isalpha():  # ASCII letters alone
-            return self._model(word.decode().lower())
-        text = word.decode()
-        m = _ALPHA.fullmatch(text)
-        # The library's normaliser and splitter leave such a word whole, and its model can be asked directly.
-        if m and "<|" not in m[2]:
-            stem = m[1].lower()
-            if not stem.isascii():
-                stem = stem.encode().decode("latin-1").translate(self.letters)
-            if m[2] not in self.tails:
-                if len(self.tails) > 10_000:
-                    self.tails = {"": b""}
-                self.tails[m[2]] = self._library(m[2])
-            return self._model(stem) + self.tails[m[2]]
-        return self._library(text)
+        stem = word.rstrip(_PUNCTUATION)
+        tail = word[len(stem) :]
+        # The library's normaliser and splitter leave a word of letters whole, and its model can be asked directly.
+        if b"<|" not in tail:
+            if stem.isalpha():  # ASCII letters alone
+                low = stem.lower()
+                got = (self.table.get(low) or self.older.get(low)) if tail else None
+                return (got or self._model(low.decode())) + self._tail(tail)
+            m = _ALPHA.fullmatch(word.decode())
+            if m:
+                return self._model(m[1].lower().encode().decode("latin-1").translate(self.letters)) + self._tail(tail)
+        return self._library(word.decode())
 
     def ids(self, text: str) -> bytes:
         raw = text.encode()
         # Special tokens are matched by their exact spelling, so a text that may hold one keeps its case.
-        words = (raw if b"<|" in raw else raw.lower()).split()
+        words = (raw if b"<|" in raw else _COMMA.sub(b" ,", _STOP.sub(b" .", raw.lower()))).split()
         if len(self.table) > self.max_words // 2:
             self.older, self.table = self.table, {}
         table, older = self.table, self.older

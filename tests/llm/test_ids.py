@@ -145,6 +145,16 @@ def test_limits_against_brute_force(spark, small):
         assert r.n_tokens == np.sort(n)[int(np.ceil(r.share * len(n))) - 1]
 
 
+def test_a_word_is_segmented_once_whatever_follows_it():
+    table = WordIds(WORDS)
+    asked = []
+    ask = table._model
+    table._model = lambda stem: asked.append(stem) or ask(stem)
+    text = "Thoraned anblewh. thoraned, anblewh Thoraned. ANBLEWH, (b) thoraned! anblewh?\nthoraned.\tx1a. don't, a.b, é."
+    assert np.frombuffer(table.ids(text), "<u2").tolist() == library_ids([text])[0]
+    assert sorted(asked) == sorted({*asked}) and {"thoraned", "anblewh"} <= {*asked}
+
+
 def test_rows_reach_workers_in_small_batches(spark):
     def sizes(batches):
         for b in batches:
