@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import parcelwatch
 from parcelwatch.operators import enrich, lookup, shaping
-from parcelwatch.plans import process
+from parcelwatch.plans import fixtures, process
 from parcelwatch.plans.process import tn_snapshot
 from parcelwatch.sources import bodies as src
 from parcelwatch.sources.bodies import BODY_ORDER, read_bodies, sink_bodies, src_bodies
@@ -328,3 +328,14 @@ def test_bodies_are_built_once_a_query(spark, monkeypatch, name):
     plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert len(built) == 1 and kept == ["facts" if name == "published_versions" else "texts"]
     assert "signup" not in plan
+
+
+def test_bodies_are_made_in_as_many_partitions_as_are_set(spark, tmp_path):
+    """Few bytes are shuffled for much work after it, so partitions are not merged by their size."""
+    kinds = "element_at(array('signup', 'purchase', 'error', 'view', 'click'), cast(id % 5 + 1 AS int)) AS event_type"
+    times = "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id AS int)) AS ts"
+    spark.range(6000).selectExpr("id AS event_id", times, "id % 200 AS user_id", kinds).write.parquet(str(tmp_path / "events.parquet"))
+    texts = fixtures.body_texts(spark, str(tmp_path))
+    assert texts.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # 160 deep users share 7 groups a capture, 40 flat ones have a body each; two captures hold all users.
+    assert texts.groupBy("kind").count().orderBy("kind").collect() == [(0, 14), (1, 80)]
